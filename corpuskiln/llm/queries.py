@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskiln.llm import format_dedup
+from corpuskiln.functions.keys import canonical_key
+from corpuskiln.llm import format_dedup, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,7 +34,20 @@ def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.substring_index("canonical", "\x1e", 1).alias("tbl"), F.col("keep").alias("keep_id"), "n_copies")
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(hash, kind) of every body above the limit; kind is hard where it holds a run without boundary above the limit."""
+    content = _read(spark, sf_dir, "content").select(canonical_key(F.col("hash")).alias("hash"), "doc").where("hash is not null")
+    plans = splitting.cut_plan(content, "doc", ["hash"])
+    return plans.groupBy("hash").agg(F.min("kind").alias("kind"))
+
+
+def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every body above the limit, numbered and placed like content_vectors' seq and pos."""
+    pieces = splitting.split_oversized(_read(spark, sf_dir, "content"), canonical_key(F.col("hash")), "doc", F.col("created_at"))
+    return pieces.withColumnRenamed("key", "hash")
+
+
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p4_pieces": p4_pieces}
 
 _P2 = r"""
 WITH q AS (
@@ -44,7 +58,9 @@ c AS (SELECT tbl, record_id, CASE WHEN len(fields) >= 2 AND len(list_filter(fiel
     THEN 'L' || array_to_string(list_sort(list_transform(fields, lambda x: trim(regexp_replace(regexp_replace(lower(x), '[''’]', '', 'g'), '[^\p{L}\p{N}+#]+', ' ', 'g')))), chr(31))
     ELSE 'P' || trim(regexp_replace(regexp_replace(lower(query), '[''’]', '', 'g'), '[^\p{L}\p{N}+#]+', ' ', 'g')) END AS form FROM f)
 """
+_KEY = "nullif(trim(regexp_replace(lower(trim(hash, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
 SQL = {
+    "p4_found": f"SELECT {_KEY} AS hash, min(CASE WHEN regexp_matches(regexp_replace(doc, '[^\\s\\p{{Z}}\\x1c-\\x1f\\x85。！？]', 'x', 'g'), 'x{{1000}}x{{1000}}x{{1000}}x{{601}}') THEN 'hard' ELSE 'soft' END) AS kind FROM content WHERE length(doc) > 3600 AND {_KEY} IS NOT NULL GROUP BY 1",
     "p2_found": _P2 + ", k AS (SELECT *, min(record_id) OVER (PARTITION BY tbl, form) AS keep_id FROM c) SELECT tbl, keep_id, record_id AS copy_id FROM k WHERE keep_id <> record_id",
     "p2_records": _P2 + "SELECT tbl, min(record_id) AS keep_id, count(*)::BIGINT AS n_copies FROM c GROUP BY tbl, form",
 }

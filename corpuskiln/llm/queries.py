@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import canonical_key
-from corpuskiln.llm import format_dedup, splitting
+from corpuskiln.llm import format_dedup, near_dups, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,20 @@ def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.substring_index("canonical", "\x1e", 1).alias("tbl"), F.col("keep").alias("keep_id"), "n_copies")
 
 
+def _p3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return near_dups.similar_classes(_read(spark, sf_dir, "content"), canonical_key(F.col("hash")), F.col("doc"), width=3, threshold=0.7)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair (hash_a, hash_b) of bodies whose word triples overlap by 0.7 or more."""
+    return near_dups.similar_pairs(*_p3(spark, sf_dir)).select(F.col("key_a").alias("hash_a"), F.col("key_b").alias("hash_b"))
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per body with the group of near-duplicates that it belongs to and its class's number of links."""
+    return near_dups.similar_groups(*_p3(spark, sf_dir)).withColumnRenamed("key", "hash")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(hash, kind) of every body above the limit; kind is hard where it holds a run without boundary above the limit."""
     content = _read(spark, sf_dir, "content").select(canonical_key(F.col("hash")).alias("hash"), "doc").where("hash is not null")
@@ -47,7 +61,7 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("key", "hash")
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p4_found": p4_found, "p4_pieces": p4_pieces}
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces}
 
 _P2 = r"""
 WITH q AS (

@@ -54,6 +54,7 @@ def stage_table(df: DataFrame, name: str = "t") -> DataFrame:
     This cuts lineage like a checkpoint but keeps columns prunable and filters pushable. Files are compressed and are
     removed when the driver process ends, so a plan that reads them survives any executor loss meanwhile.
     """
+    ship_package(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     _remember(df.sparkSession, path)
@@ -79,3 +80,19 @@ def _drop_all() -> None:
                 hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
             except Exception:  # noqa: BLE001 - the session may already be gone
                 pass
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers: once per application, unless PYTHONPATH or the working folder has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if sc.applicationId in _SHIPPED or root in known or (sc.master.startswith("local[") and os.getcwd() == root):
+        return
+    folder = tempfile.mkdtemp(prefix="corpuskiln-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "corpuskiln"), "zip", root, "corpuskiln"))
+    _SHIPPED.add(sc.applicationId)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import canonical_key
-from corpuskiln.llm import format_dedup, near_dups, splitting
+from corpuskiln.llm import format_dedup, near_dups, spam_pages, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,7 +61,17 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("key", "hash")
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id of every page made of keywords, links or tags instead of sentences."""
+    return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text").where("spam").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's surprisal under the prose model, share of abnormal blocks and verdict."""
+    return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p8_found": p8_found, "p8_scores": p8_scores}
 
 _P2 = r"""
 WITH q AS (

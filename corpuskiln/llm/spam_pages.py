@@ -44,7 +44,7 @@ MARKS = {m: k for k, ms in {".": ".。", "!": "!！", "?": "?？", ",": ",，、
 ENDINGS = ("ly", "ed", "ing", "s")
 
 #: One token: a link, an HTML tag's name, a Chinese character, a word, a number, a paragraph break, a mark.
-TOKEN = re.compile(r"https?://\S+|www\.\S+|href=\"[^\"]*\"|\[\[|</?[A-Za-z]+|[一-鿿]|[^\W\d_]+|\d+|\n\s*\n|[^\w\s]")
+TOKEN = re.compile(r"https?://\S+|www\.\S+|href=\"[^\"]*\"|\[\[|</?[A-Za-z]+|[一-鿿]|[^\W\d_一-鿿]+|\d+|\n\s*\n|[^\w\s]")
 _RUN = re.compile(r"[A-Za-z0-9+/=]{60,}")
 
 _NAMES = ["break", "link", "wiki", "tag", "chinese", "chinese_function", "n2", "n4", "number", "other", *dict.fromkeys(MARKS.values()), "word", *ENDINGS, "Capital", "UPPER", "letter", *FUNCTION_WORDS]
@@ -183,7 +183,8 @@ def is_spam(codes: np.ndarray, distinct: float, data_share: float, means: np.nda
         return False, share
     han = int(_HAN[x].sum())
     function = (x == CODE["chinese_function"]).sum() / han if han > words else _FUNCTION[x].sum() / max(1, words)
-    few = function < (0.02 if han > words else FEW_FUNCTION)
+    whole = _FUNCTION[codes].sum() / max(1, _WORDS[codes].sum())
+    few = function < 0.02 if han > words else max(function, whole) < FEW_FUNCTION
     return bool(few and (distinct < REPEATED or part[CODE["#"]] > 0.2)), share
 
 

@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import canonical_key
-from corpuskiln.llm import format_dedup, near_dups, spam_pages, splitting
+from corpuskiln.llm import format_dedup, near_dups, pair_defects, spam_pages, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_id, defect) of every broken pair: its likeliest retained label."""
+    return pair_defects.main_defect(p1_labels(spark, sf_dir), "record_id")
+
+
+def p1_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_id, defect, posterior) of every retained label; a pair may have several."""
+    return pair_defects.label_pairs(_read(spark, sf_dir, "qmd_expansion_sports"), "record_id", "query", "output")
+
+
 def _p2_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     whole = None
     for table in ("qmd_expansion_personal_entities", "qmd_expansion_locations"):
@@ -71,7 +81,7 @@ def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p8_found": p8_found, "p8_scores": p8_scores}
+QUERIES = {"p1_found": p1_found, "p1_labels": p1_labels, "p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p8_found": p8_found, "p8_scores": p8_scores}
 
 _P2 = r"""
 WITH q AS (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import canonical_key
-from corpuskiln.llm import format_dedup, near_dups, pair_defects, spam_pages, splitting
+from corpuskiln.llm import format_dedup, mixing, near_dups, packing, pair_defects, spam_pages, splitting
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,6 +71,32 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("key", "hash")
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every token of every document's text lies: (container, slot, doc_id, part, first_token, n_tokens)."""
+    sized = packing.measure(_read(spark, sf_dir, "documents"), "doc_id", "text", ["source"])
+    return packing.fill_containers(sized, "doc_id", "n_tokens", "source", "cluster")
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers, tokens and the share of room used."""
+    return packing.fill_report(p6_containers(spark, sf_dir))
+
+
+def _p7(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sized = packing.measure(_read(spark, sf_dir, "documents"), "doc_id", "text", ["source"])
+    return mixing.mix_sources(sized, _read(spark, sf_dir, "source_targets"), "doc_id", "source", "n_tokens", "cluster")
+
+
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the mixture and how often each is used."""
+    return _p7(spark, sf_dir)[0]
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return _p7(spark, sf_dir)[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id of every page made of keywords, links or tags instead of sentences."""
     return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text").where("spam").select("doc_id")
@@ -81,7 +107,7 @@ def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_labels": p1_labels, "p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p8_found": p8_found, "p8_scores": p8_scores}
+QUERIES = {"p1_found": p1_found, "p1_labels": p1_labels, "p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_report": p7_report, "p8_found": p8_found, "p8_scores": p8_scores}
 
 _P2 = r"""
 WITH q AS (

@@ -147,7 +147,7 @@ def _votes(query: str | None, output) -> dict:
     others = [s for s, d in zip(sentences, declines) if not d and not POLITE.search(s)]
     v["r_phrase"] = 1 if any(declines) else -1
     v["r_opening"] = 1 if OPENING.search(text.replace("’", "'")) else 0
-    v["r_lexicon"] = (1 if len(set(REFUSAL_WORDS.findall(low))) >= 3 and len(low) < 260 else 0) if FIRST_PERSON.search(low) else -1
+    v["r_lexicon"] = (1 if len(low) < 260 and len(set(REFUSAL_WORDS.findall(low))) >= 3 else 0) if FIRST_PERSON.search(low) else -1
     v["r_short"] = 0 if len(text) < 220 else -1
     v["r_rest"] = 0 if not sentences else 1 if any(declines) and not others else -1
 
@@ -287,16 +287,16 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
             yield pd.DataFrame({"final": sorted(seen)})
 
     asked = facts.where("unsure").select("k", F.posexplode("contexts").alias("n", "context"))
-    ended = source.select("o").mapInPandas(contexts, "context string, ends boolean, n bigint").join(asked.select("context").distinct(), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
-    by_context = asked.join(ended, "context").groupBy("k").agg(F.max_by(F.col("ended") / F.col("seen"), "n").alias("rate"))
-    word_there = source.select("q", "o").mapInPandas(words, "final string").join(facts.where("final is not null").select("final").distinct(), "final", "left_semi").distinct().withColumn("there", F.lit(True))
-    word_known = facts.where("final is not null").select("k", "final").join(word_there, "final").select("k", "there")
+    ended = source.select("o").mapInPandas(contexts, "context string, ends boolean, n bigint").join(asked.select("context").distinct().hint("merge"), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
+    by_context = asked.join(ended.hint("merge"), "context").groupBy("k").agg(F.max_by(F.col("ended") / F.col("seen"), "n").alias("rate"))
+    word_there = source.select("q", "o").mapInPandas(words, "final string").join(facts.where("final is not null").select("final").distinct().hint("merge"), "final", "left_semi").distinct().withColumn("there", F.lit(True))
+    word_known = facts.where("final is not null").select("k", "final").join(word_there.hint("merge"), "final").select("k", "there")
 
     spoken = facts.where("not known and answer_language is not null").select(F.explode("query_words").alias("w"), "answer_language").groupBy("w", "answer_language").agg(F.count(F.lit(1)).alias("n"))
     per_word = spoken.groupBy("w").agg(F.sum("n").alias("n"), F.max_by("answer_language", "n").alias("lang"), (F.max("n") / F.sum("n")).alias("purity")).where("n >= 5 and purity >= 0.7")
-    learned = facts.select("k", F.explode("query_words").alias("w")).join(per_word, "w").groupBy("k", "lang").agg(F.sum(F.col("purity")).alias("p")).groupBy("k").agg(F.max_by("lang", "p").alias("learned"))
+    learned = facts.select("k", F.explode("query_words").alias("w")).join(per_word.hint("merge"), "w").groupBy("k", "lang").agg(F.sum(F.col("purity")).alias("p")).groupBy("k").agg(F.max_by("lang", "p").alias("learned"))
 
-    whole = facts.join(by_context, "k", "left").join(word_known, "k", "left").join(learned, "k", "left")
+    whole = facts.join(by_context.hint("merge"), "k", "left").join(word_known.hint("merge"), "k", "left").join(learned.hint("merge"), "k", "left")
     vote = lambda c: c.cast("int")
     unsure = F.col("unsure")
     whole = whole.select(

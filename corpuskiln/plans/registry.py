@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.plans import references_queries
+from corpuskiln.plans import references_queries, retrieval_queries
 
-MODULES = [references_queries]
+MODULES = [references_queries, retrieval_queries]
 
 
 def queries() -> dict:
@@ -18,4 +18,4 @@ def oracle_sql() -> dict:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["p5_report"](spark, sf_dir)
+    return queries()["bm25_display"](spark, sf_dir)

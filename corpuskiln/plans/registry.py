@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.plans import references_queries, retrieval_queries
+from corpuskiln.plans import references_queries, retrieval_queries, store_queries
 
-MODULES = [references_queries, retrieval_queries]
+MODULES = [references_queries, retrieval_queries, store_queries]
 
 
 def queries() -> dict:

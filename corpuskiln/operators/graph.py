@@ -61,13 +61,17 @@ def limit_units(units: DataFrame, most: int = 32) -> DataFrame:
 def edges(units: DataFrame, most_edges: int | None = 96) -> DataFrame:
     """Pairs of units of one member or with two or more topic tokens in common: (left, right, relation, weight, shared).
 
-    Candidates come from a join on tokens and one on members, never from all pairs. A token that a large part of the units
-    holds would pair them all; since an edge needs two tokens, each unit is joined on its rarest tokens but one: any pair that
-    shares two tokens shares one of those or has both only among the two most frequent, which the second join covers.
-    With ``most_edges`` the first edges in (left, right) order are kept.
+    Units are few (``limit_units``), yet candidates come from joins on tokens and on members, never from all pairs. Each unit
+    leaves out the one of its tokens that is most frequent overall: of two tokens that a pair shares, the rarer one is then
+    left in both units, so no edge is lost and the commonest tokens pair nothing. With ``most_edges`` the first edges in
+    (left, right) order are kept. Units without tokens only have edges within their member.
     """
     u = units.select("unit_id", "member", "position", topic_tokens(F.concat_ws(" ", "title", "summary")).alias("tokens"))
     each = u.select("unit_id", "member", "position", "tokens", F.explode("tokens").alias("token"))
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    each = each.join(often, "token")
+    top = each.groupBy("unit_id").agg(F.max(F.struct("df", "token")).alias("top"))
+    each = each.join(top, "unit_id").where("token <> top.token").drop("df", "top")
     left, right = (each.select(*(F.col(c).alias(f"{side}_{c}") for c in ("unit_id", "member", "position", "tokens")), "token") for side in ("l", "r"))
     by_token = left.join(right, "token").where("l_position < r_position").drop("token")
     a, b = (u.select(*(F.col(c).alias(f"{side}_{c}") for c in ("unit_id", "member", "position", "tokens"))) for side in ("l", "r"))

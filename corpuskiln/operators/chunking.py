@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.keys import fresh_name
 from corpuskiln.session import ship_package
 
 # Size, overlap and search window of a chunk in characters and in tokens, and the weight of distance.
@@ -185,4 +186,8 @@ def pack_batches(sizes: DataFrame, order: str, size: str, most_items: int = 64,
             numbers.append(batch)
         return frame.assign(batch=numbers)
 
-    return sizes.groupBy(group if group else F.lit(0)).applyInPandas(fold, fields)
+    if group:
+        return sizes.groupBy(group).applyInPandas(fold, fields)
+    one = fresh_name(sizes, "all")
+    folded = sizes.withColumn(one, F.lit(0)).groupBy(one).applyInPandas(lambda frame: fold(frame.drop(columns=one)), fields)
+    return folded

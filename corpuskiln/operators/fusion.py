@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,8 +86,6 @@ def rerank(candidates: DataFrame, text: str, query: str, scorer=None, out: str =
     """Scores of the candidates' texts; equal texts are scored once. ``scorer(query, texts)`` runs in Arrow batches."""
     if scorer is None:
         return lexical_rerank(candidates, text, query, out)
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([float(x) for x in scorer(query, list(texts))])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import trim_blanks
 from corpuskiln.operators.skew import salted_left_join
-from corpuskiln.session import stage_table
+from corpuskiln.session import ship_package, stage_table
 
 #: Bits of the filter for each row, and the most bits a filter may have (32 MB): a fixed bound on what is broadcast. Where
 #: billions of lone records make that too dense, raise it to about 8 bits a row; results never depend on it.
@@ -121,10 +121,11 @@ def collapse_copies(df: DataFrame, canonical: Column, order: Column, bits: int |
     ``surplus`` has one row per further copy, ``keep`` and ``copy`` (its ``order`` value). Rows whose form is null take
     no part. Ties in ``order`` count as copies but yield one surplus row only. An empty frame gives two empty results.
 
-    ``order`` must tell the rows of one form apart. Hot forms are pre-aggregated map-side and salted in the join, so a
+    ``order`` should tell the rows of one form apart. Columns that are not named are ignored, whatever they are called. Hot forms are pre-aggregated map-side and salted in the join, so a
     form that holds a third of all rows is no task's burden.
     """
     spark = df.sparkSession
+    ship_package(spark)
     rows = stage_table(df.select(canonical.alias("form"), order.alias("ord")).where(F.col("form").isNotNull()).withColumn("h", F.xxhash64("form")), "forms")
     bits = bits or _bits_for(rows.count())
     packed = spark.sparkContext.broadcast(repeated_filter(rows.select("h"), bits).tobytes())

@@ -86,11 +86,11 @@ def mix_sources(sized: DataFrame, targets: DataFrame, key: str, source: str, siz
 
     ``targets`` (source, target_share, max_repeats) is small by nature. Rows of ``cluster`` equal are one document; where a
     source holds it several times, its row of smallest key stands for it, so no row is used more than its source's cap. Rows
-    without tokens or source take no part. Shares are met up to one document per pattern and source. Same seed, same choice.
+    without tokens or source take no part; a row without cluster is a document of its own. Shares are met up to one document per pattern and source. Same seed, same choice.
     """
     spark = sized.sparkSession
     wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select("source", "target_share", "max_repeats").collect() if r["source"] is not None}
-    rows = sized.where((F.col(size) > 0) & F.col(source).isin(list(wanted))).select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(size).cast("bigint").alias("n"), F.col(cluster).alias("c"))
+    rows = sized.where((F.col(size) > 0) & F.col(source).isin(list(wanted))).select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(size).cast("bigint").alias("n"), F.coalesce(F.col(cluster).cast("string"), F.concat(F.lit("row "), F.col(key).cast("string"))).alias("c"))
     per_source = rows.groupBy("c", "s").agg(F.min("k").alias("k"), F.max("n").alias("n"))  # pre-aggregated map-side: a hot text is a row per source
     documents = per_source.groupBy("c").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("s", "k"))).alias("members"))  # at most one member per target source
     documents = stage_table(documents.withColumn("pattern", F.array_join(F.transform("members", lambda m: m["s"]), "\x1f")), "mix")

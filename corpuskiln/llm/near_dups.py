@@ -14,7 +14,6 @@ What keeps it whole and balanced:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.llm.shingles import jaccard, mix, shingles
 from corpuskiln.operators.skew import hot_keys
-from corpuskiln.session import stage_table
+from corpuskiln.session import ship_package, stage_table
 
 #: Values in a band and bands. A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: above 0.999 at
 #: 0.7, below 0.001 at 0.15.
@@ -151,8 +150,10 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
 
     Two keys are similar if they have one class or their classes are a pair. Null keys, null texts and texts of fewer than
     ``width`` words take no part. Rows with one key count once; if their texts differ, the key is in several classes. Classes
-    are told apart by 64 bits of the shingle set.
+    are told apart by 64 bits of the shingle set. An empty table gives two empty frames; other columns are ignored, whatever
+    they are called.
     """
+    ship_package(df.sparkSession)
     source = df.select(key.alias("key"), text.alias("text")).where("key is not null and text is not null")
     signed = stage_table(_signed(source, width, rows, bands), "signed")
     members = signed.select("key", "class").distinct()

@@ -88,7 +88,10 @@ def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPAC
 
 
 def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
-    """(key, keep..., n_tokens, cluster): whole texts' tokens and the hash of the text without regard to case and spacing. Null texts drop out."""
+    """(key, keep..., n_tokens, cluster): whole texts' tokens and the hash of the text without regard to case and spacing.
+
+    Null texts drop out; an empty text has no tokens. ``keep`` must not name ``n_tokens`` or ``cluster``.
+    """
     import xxhash
 
     ship_package(df.sparkSession)
@@ -109,11 +112,11 @@ def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster:
     """(container, slot, key, part, first_token, n_tokens): every token of every row once, containers within the capacity.
 
     Only rows above the capacity are split, into full containers and at most one rest. Rows of size null or 0 take no room and
-    drop out. ``key`` must be unique. An empty table gives no containers. Containers are numbered ``shard-number``; a full
+    drop out, as do rows with a null key. ``key`` must be unique; other columns are ignored, whatever they are called. An empty table gives no containers. Containers are numbered ``shard-number``; a full
     part of an oversized row is a container of its own, ``full-key-part``.
     """
     ship_package(sized.sparkSession)
-    sized = stage_table(sized.select(F.col(key).alias("k"), F.col(size).cast("bigint").alias("n"), F.col(source).cast("string").alias("s"), F.col(cluster).cast("bigint").alias("c")).where("n > 0"), "sized")
+    sized = stage_table(sized.select(F.col(key).alias("k"), F.col(size).cast("bigint").alias("n"), F.col(source).cast("string").alias("s"), F.col(cluster).cast("bigint").alias("c")).where("n > 0 and k is not null"), "sized")
     count = sized.count()
     shards = max(1, math.ceil(count / shard_items))
     key_type = sized.schema["k"].dataType.simpleString()

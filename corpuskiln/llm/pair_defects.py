@@ -243,7 +243,8 @@ def label_pairs(df: DataFrame, key: str, query: str, output: str) -> DataFrame:
     """(key, defect, posterior) of every retained label: a row per defect whose posterior reaches its cutoff.
 
     The answer is the text of the ``hyde`` line or, without one, all line texts together. Null outputs, queries and texts are
-    allowed (a null query is never copied and has no language). ``key`` must be unique; an empty table gives no rows.
+    allowed (a null query is never copied and has no language). Rows with a null key drop out, rows with one key are labelled
+    each by itself; an empty table gives no rows. Other columns are ignored, whatever they are called.
     """
     ship_package(df.sparkSession)
     return _label(df, key, query, output)[0]
@@ -254,7 +255,7 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
     votes_alone = ["e_none", "e_value", "e_letters", "c_words", "c_new", "c_share", "r_phrase", "r_opening", "r_lexicon", "r_short", "r_rest", "t_end", "t_open", "t_function", "l_function", "l_script"]
     line = "array<struct<type:string,text:string>>"
     known = spark.createDataFrame([(-1 - i, q, [("hyde", a)], True) for i, (q, a, _) in enumerate(LABELLED)], f"k bigint, q string, o {line}, known boolean")
-    source = df.select(F.col(key).cast("bigint").alias("k"), F.col(query).alias("q"), F.col(output).cast(line).alias("o"), F.lit(False).alias("known"))
+    source = df.select(F.col(key).cast("bigint").alias("k"), F.col(query).alias("q"), F.col(output).cast(line).alias("o"), F.lit(False).alias("known")).where("k is not null")
     both = source.unionByName(known)
     extra = "t_other int, unsure boolean, contexts array<string>, final string, answer_language string, query_language string, query_words array<string>"
 
@@ -290,7 +291,7 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
     ended = source.select("o").mapInPandas(contexts, "context string, ends boolean, n bigint").join(asked.select("context").distinct().hint("merge"), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
     by_context = asked.join(ended.hint("merge"), "context").groupBy("k").agg(F.max_by(F.col("ended") / F.col("seen"), "n").alias("rate"))
     word_there = source.select("q", "o").mapInPandas(words, "final string").join(facts.where("final is not null").select("final").distinct().hint("merge"), "final", "left_semi").distinct().withColumn("there", F.lit(True))
-    word_known = facts.where("final is not null").select("k", "final").join(word_there.hint("merge"), "final").select("k", "there")
+    word_known = facts.where("final is not null").select("k", "final").join(word_there.hint("merge"), "final").select("k", "there").distinct()
 
     spoken = facts.where("not known and answer_language is not null").select(F.explode("query_words").alias("w"), "answer_language").groupBy("w", "answer_language").agg(F.count(F.lit(1)).alias("n"))
     per_word = spoken.groupBy("w").agg(F.sum("n").alias("n"), F.max_by("answer_language", "n").alias("lang"), (F.max("n") / F.sum("n")).alias("purity")).where("n >= 5 and purity >= 0.7")

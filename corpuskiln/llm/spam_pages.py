@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.session import stage_table
+from corpuskiln.session import ship_package, stage_table
 
 # Function words by language and part of speech.
 FUNCTION_WORDS = {
@@ -191,13 +191,15 @@ def is_spam(codes: np.ndarray, distinct: float, data_share: float, means: np.nda
 def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, bits, odd_share, spam) of every row: mean surprisal in bits, share of abnormal blocks, verdict.
 
+    Rows with a null key drop out, repeated rows are judged each by itself, other columns are ignored, whatever they are called.
     A null or token-less text gets null ``bits``, ``odd_share`` 0 and is no spam. Texts are read whole. If no page reads as
     prose (such as in an empty table) there is no normal range and nothing is spam. Three passes: one over the texts, which
     stages a byte per token, one that counts trigrams and one that measures prose blocks and scores, over those bytes only.
     """
     spark = df.sparkSession
+    ship_package(spark)
     key_type = df.schema[key].dataType.simpleString()
-    source = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    source = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.porter import stem as stem_word
 from corpuskiln.functions.text import ACCENTED, PLAIN, occurrences, token_string, token_total
-from corpuskiln.session import stage_table
+from corpuskiln.session import spread, stage_table
 
 # Saturation and length constants of BM25, and the smallest inverse document frequency.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 #: Weights of the searched fields.
 WEIGHTS = {"path": 1.5, "title": 4.0, "body": 1.0}
+#: Column of each searched field.
+FIELDS = {"path": "path", "title": "title", "body": "text"}
 _CJK = re.compile(r"[一-鿿㐀-䶿豈-﫿぀-ヿ가-힯]")
 
 
@@ -101,8 +103,8 @@ def bm25(docs: DataFrame, query: str, keep: list[str], fields: dict[str, str], *
     weights = weights or WEIGHTS
     phrases = parse_query(query)
     positive = [p for p in phrases if not p.negated]
-    read = analyse(docs, fields, stem)
     names = [f"__{f}" for f in fields]
+    read = docs if set(names) <= set(docs.columns) else analyse(spread(docs), fields, stem)
 
     def hits(p: Phrase) -> list[Column]:
         return [occurrences(F.col(n), p.needle(stem)) for n in names]
@@ -131,8 +133,15 @@ def bm25(docs: DataFrame, query: str, keep: list[str], fields: dict[str, str], *
     return counted.where(every & ~F.col("__no")).select(*keep, raw.alias("raw")).withColumn("score", F.col("raw") / (1 + F.col("raw")))
 
 
+def index(docs: DataFrame, keep: list[str] = ["doc_id", "source"], fields: dict[str, str] = FIELDS, stem: bool = False) -> DataFrame:
+    """The active documents' token strings as a staged table: analysed once, it serves any number of searches."""
+    active = docs.where("active") if "active" in docs.columns else docs
+    read = analyse(spread(active.select(*dict.fromkeys([*keep, *fields.values()]))), fields, stem)
+    return stage_table(read.select(*keep, *(f"__{f}" for f in fields)), "index")
+
+
 def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | None = None, overfetch: int = 10, exact_filter: bool = False, min_score: float = 0.0, stem: bool = False, id_col: str = "doc_id", collection_col: str = "source") -> DataFrame:
-    """Top rows of active documents: (id, collection, raw, score, rank).
+    """Top rows of active documents, or of an ``index`` of them: (id, collection, raw, score, rank).
 
     With a collection, ``limit * overfetch`` best rows are taken first and filtered then, so fewer than ``limit`` may come back;
     ``exact_filter`` filters first. Equal scores are ordered by id.
@@ -142,7 +151,7 @@ def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | No
     if exact_filter and collection is not None:
         active = active.where(F.col(collection_col) == collection)
     best = [F.col("raw").desc(), F.col(id_col)]
-    found = bm25(active, query, keep, {"path": "path", "title": "title", "body": "text"}, stem=stem)
+    found = bm25(active, query, keep, FIELDS, stem=stem)
     if collection is not None and not exact_filter:
         found = found.orderBy(*best).limit(limit * overfetch).where(F.col(collection_col) == collection)
     from corpuskiln.operators.ranking import with_rank

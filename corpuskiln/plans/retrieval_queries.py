@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuskiln.functions.text import ACCENTED, PLAIN, docid, token_string, token_total, virtual_path
 from corpuskiln.operators import fusion, lexical, vectors
 from corpuskiln.operators.ranking import gap_to_runner_up, with_rank
+from corpuskiln.session import spread
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +68,7 @@ def document_frequency(spark: SparkSession, d: str) -> DataFrame:
 
 def token_counts(spark: SparkSession, d: str) -> DataFrame:
     """Token length of each document by field."""
-    return documents(spark, d).select("doc_id", token_total(token_string(F.col("title"))).alias("title_tokens"), token_total(token_string(F.col("text"))).alias("body_tokens"))
+    return spread(documents(spark, d)).select("doc_id", token_total(token_string(F.col("title"))).alias("title_tokens"), token_total(token_string(F.col("text"))).alias("body_tokens"))
 
 
 def knn_multi_query(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +116,7 @@ _LISTS = [("harbour telescope", 2.0), ("harbour", 1.0), ("telescope", 1.0)]
 
 
 def _stacked(spark: SparkSession, d: str) -> DataFrame:
-    docs = documents(spark, d)
+    docs = lexical.index(documents(spark, d))
     return fusion.stack_lists([lexical.search(docs, q) for q, _ in _LISTS], "doc_id", [w for _, w in _LISTS], ["fts"] * 3)
 
 
@@ -141,7 +142,7 @@ def position_blend(spark: SparkSession, d: str) -> DataFrame:
 
 def hybrid_skip_rerank(spark: SparkSession, d: str) -> DataFrame:
     """The hybrid pipeline without reranking: score is 1 / rank."""
-    docs = documents(spark, d)
+    docs = lexical.index(documents(spark, d))
     find = lambda q: lexical.search(docs, q)
     r = fusion.hybrid(find, find, "harbour telescope", [fusion.Search("lex", "harbour"), fusion.Search("vec", "telescope")], skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))
@@ -149,7 +150,7 @@ def hybrid_skip_rerank(spark: SparkSession, d: str) -> DataFrame:
 
 def structured_first_list_boost(spark: SparkSession, d: str) -> DataFrame:
     """Typed searches: the first non-empty list counts double."""
-    docs = documents(spark, d)
+    docs = lexical.index(documents(spark, d))
     find = lambda q: lexical.search(docs, q)
     r = fusion.structured(find, find, [fusion.Search("lex", "zzzznothing"), fusion.Search("lex", "telescope"), fusion.Search("vec", "harbour")], skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))

@@ -61,6 +61,15 @@ def stage_table(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over all cores where a scan has fewer partitions than half of them (a few small files).
+
+    For work that costs much per row. A large input has many partitions and is left as it is, without any shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def _remember(spark: SparkSession, path: str) -> None:
     if not _STAGED:
         atexit.register(_drop_all)

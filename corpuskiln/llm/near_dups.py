@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.llm.shingles import jaccard, mix, shingles
 from corpuskiln.operators.skew import hot_keys
-from corpuskiln.session import ship_package, stage_table
+from corpuskiln.session import ship_package, spread, stage_table
 
 #: Values in a band and bands. A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: above 0.999 at
 #: 0.7, below 0.001 at 0.15.
@@ -155,7 +155,7 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
     """
     ship_package(df.sparkSession)
     source = df.select(key.alias("key"), text.alias("text")).where("key is not null and text is not null")
-    signed = stage_table(_signed(source, width, rows, bands), "signed")
+    signed = stage_table(_signed(spread(source), width, rows, bands), "signed")
     members = signed.select("key", "class").distinct()
     reps = signed.groupBy("class").agg(F.min("key").alias("key"), F.first("keys").alias("keys"))
     banded = reps.select("class", F.explode("keys").alias("band"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.tokens import VOCABULARY, encoder
-from corpuskiln.session import ship_package, stage_table
+from corpuskiln.session import ship_package, spread, stage_table
 
 CAPACITY = 2048
 #: Items of a shard (expected): bounds one task's memory. A shard leaves about one container's room unused.
@@ -105,7 +105,7 @@ def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str
             hashes = [xxhash.xxh3_64_intdigest(" ".join(t.lower().split()).encode("utf-8", "surrogatepass")) for t in batch["__text"]]
             yield batch.drop(columns="__text").assign(n_tokens=sizes, cluster=np.array(hashes, np.uint64).view(np.int64))
 
-    return source.mapInPandas(count, schema)
+    return spread(source).mapInPandas(count, schema)
 
 
 def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster: str, *, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:

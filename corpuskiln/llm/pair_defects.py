@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.session import ship_package, stage_table
+from corpuskiln.session import ship_package, spread, stage_table
 
 DEFECTS = {"empty": ["e_none", "e_value", "e_letters"], "truncated": ["t_end", "t_context", "t_word", "t_open", "t_function"], "refusal": ["r_phrase", "r_opening", "r_lexicon", "r_short", "r_rest"], "copy": ["c_words", "c_new", "c_share"], "language": ["l_function", "l_learned", "l_script"]}
 
@@ -256,6 +256,7 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
     line = "array<struct<type:string,text:string>>"
     known = spark.createDataFrame([(-1 - i, q, [("hyde", a)], True) for i, (q, a, _) in enumerate(LABELLED)], f"k bigint, q string, o {line}, known boolean")
     source = df.select(F.col(key).cast("bigint").alias("k"), F.col(query).alias("q"), F.col(output).cast(line).alias("o"), F.lit(False).alias("known")).where("k is not null")
+    source = spread(source)
     both = source.unionByName(known)
     extra = "t_other int, unsure boolean, contexts array<string>, final string, answer_language string, query_language string, query_words array<string>"
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.session import ship_package, stage_table
+from corpuskiln.session import ship_package, spread, stage_table
 
 # Function words by language and part of speech.
 FUNCTION_WORDS = {
@@ -210,7 +210,7 @@ def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
                 out.append((codes.tobytes(), distinct, sum(map(len, _RUN.findall(t))) / max(1, len(t)) if len(t) >= 60 else 0.0, reads_as_prose(codes)))
             yield pd.concat([batch[["k"]].reset_index(drop=True), pd.DataFrame(out, columns=["codes", "distinct", "data", "prose"])], axis=1)
 
-    pages = stage_table(source.mapInPandas(read, f"k {key_type}, codes binary, distinct double, data double, prose boolean"), "pages")
+    pages = stage_table(spread(source).mapInPandas(read, f"k {key_type}, codes binary, distinct double, data double, prose boolean"), "pages")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(CLASSES**3, np.int64)
@@ -235,14 +235,14 @@ def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
         script, at = np.nonzero(seen)
         yield pd.DataFrame({"script": script.astype(np.int32), "bin": at.astype(np.int32), "n": seen[script, at]})
 
-    spread = np.zeros((2, _BINS))
+    histogram = np.zeros((2, _BINS))
     measured = pages.where("prose").select("codes").mapInPandas(measure, "script int, bin int, n bigint").groupBy("script", "bin").agg(F.sum("n").alias("n")).toPandas()
-    spread[measured["script"], measured["bin"]] = measured["n"]
-    if not spread.sum():
+    histogram[measured["script"], measured["bin"]] = measured["n"]
+    if not histogram.sum():
         normal = [(-np.inf, np.inf)] * 2
     else:
-        spread = np.where(spread.sum(axis=1, keepdims=True) > 0, spread, spread.sum(axis=0, keepdims=True))
-        below = spread.cumsum(axis=1) / spread.sum(axis=1, keepdims=True)
+        histogram = np.where(histogram.sum(axis=1, keepdims=True) > 0, histogram, histogram.sum(axis=0, keepdims=True))
+        below = histogram.cumsum(axis=1) / histogram.sum(axis=1, keepdims=True)
         normal = [(float(np.searchsorted(row, LOW)) * _BIN, float(np.searchsorted(row, HIGH) + 1) * _BIN) for row in below]
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -41,6 +41,7 @@ FUNCTION_WORDS = {
     "fr": "le la les de du des en et un une à au aux est qui que se pour par avec dans ne pas sur selon jusqu avant a été doit plus ce cette qui pourquoi l d s",
 }
 _FUNCTION = {lang: set(words.split()) for lang, words in FUNCTION_WORDS.items()}
+_SPOKEN = {w: [lang for lang in _FUNCTION if w in _FUNCTION[lang]] for known in _FUNCTION.values() for w in known}
 # Words that cannot end a sentence.
 NOT_LAST = set("the a an of to in and for with by on at from or but our their its his her which who that than as into between because is are was were be has have el la los las de del en y un una que por con para su al o der die das den dem des und im ein eine einen einem einer zu mit von auf für laut le les du des et une à au aux qui pour par avec dans selon l d".split())
 # Ways to decline, by language (matched on lower-case text with straight apostrophes).
@@ -64,6 +65,7 @@ REFUSAL_WORDS = re.compile(r"\b(not|no|cannot|can't|won't|nothing|unable|declin\
 POLITE = re.compile(r"^\W*(hello|hi|thanks for asking|thank you for asking|let me know|is there anything else|please (try|check|contact|consult)|you may want to|you could|feel free|gracias|puede consultar|hay algo más|danke|gibt es sonst|merci|y a-t-il|vous pouvez|sie können|请)", re.I)
 
 _INVISIBLE = re.compile(r"[\s​-‏⁠﻿­⠀ㅤ]+")
+_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 _TERMINAL = re.compile(r"[.!?。！？](['\"”’»)\]}*_>」』]|\s)*$|[.!?。！？]\s*\([^()]*\)\s*$")
@@ -98,7 +100,9 @@ def language_of(text: str) -> tuple[str | None, int]:
     for script, marks in SCRIPTS.items():
         if not text.isascii() and letters and 5 * len(marks.findall(text)) > letters:
             return script, 9
-    votes = Counter({lang: sum(w in known for w in words) for lang, known in _FUNCTION.items()})
+    votes = Counter(dict.fromkeys(_FUNCTION, 0))
+    for w in words:
+        votes.update(_SPOKEN.get(w, ()))
     (best, n), (_, m) = votes.most_common(2)
     return (best, n - m) if n > m else (None, 0)
 
@@ -126,7 +130,7 @@ def _votes(query: str | None, output) -> dict:
     empty = not any(c.isalnum() for c in text)
     stand_in = all(_no_value(t) for t in texts)
     v["e_none"], v["e_value"] = (1 if empty else -1), (1 if stand_in else -1)
-    letters = sum(c.isalpha() for c in text)
+    letters = len(_LETTER.findall(text))
     v["e_letters"] = 1 if letters < 3 else -1 if letters > 20 else 0
 
     qw, aw = [w.lower() for w in _WORD.findall(q)], [w.lower() for w in _WORD.findall(text)]
@@ -309,19 +313,20 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
     )
     whole = stage_table(whole, "votes")
     labelled = whole.where("known").toPandas()  # the few labelled pairs
-    parts, cutoffs = None, {}
+    pattern = {d: F.concat_ws(",", *(F.col(f).cast("string") for f in fs)) for d, fs in DEFECTS.items()}
+    each = lambda value: F.explode(F.array(*(F.struct(F.lit(d).alias("defect"), value(d)) for d in DEFECTS))).alias("x")
+    counted = whole.where("not known").select(each(lambda d: pattern[d].alias("pattern"))).groupBy("x.defect", "x.pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**functions rows a defect
+    tables, cutoffs = {}, {}
     for defect, functions in DEFECTS.items():
-        counts = {tuple(int(x) for x in r[:-1]): float(r[-1]) for r in whole.where("not known").groupBy(*functions).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 3**functions rows
-        for r in labelled[functions].itertuples(index=False):
-            counts.setdefault(tuple(int(x) for x in r), 0.5)
+        counts = {tuple(map(int, r["pattern"].split(","))): float(r["n"]) for r in counted if r["defect"] == defect}
+        known_patterns = [tuple(map(int, r)) for r in labelled[functions].itertuples(index=False)]
+        for key_ in known_patterns:
+            counts.setdefault(key_, 0.5)
         posterior = fit_label_model(counts)
-        truth = [defect in LABELLED[-1 - k][2] for k in labelled["k"]]
-        cutoffs[defect] = best_cutoff(truth, [posterior[tuple(int(x) for x in r)] for r in labelled[functions].itertuples(index=False)])
-        pattern = F.concat_ws(",", *(F.col(f).cast("string") for f in functions))
-        table = F.create_map(*(F.lit(x) for k, p in posterior.items() for x in (",".join(map(str, k)), p)))
-        part = whole.where("not known").select("k", F.lit(defect).alias("defect"), table[pattern].alias("posterior")).where(F.col("posterior") >= cutoffs[defect])
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.withColumnRenamed("k", key), cutoffs
+        cutoffs[defect] = best_cutoff([defect in LABELLED[-1 - k][2] for k in labelled["k"]], [posterior[x] for x in known_patterns])
+        tables[defect] = F.create_map(*(F.lit(x) for x, p in posterior.items() for x in (",".join(map(str, x)), p)))
+    kept = whole.where("not known").select(F.col("k").alias(key), each(lambda d: F.when(tables[d][pattern[d]] >= cutoffs[d], tables[d][pattern[d]]).alias("posterior")))
+    return kept.select(key, "x.defect", "x.posterior").where("posterior is not null"), cutoffs
 
 
 def main_defect(labels: DataFrame, key: str) -> DataFrame:

@@ -233,3 +233,57 @@ def generation_hash(members: DataFrame, id_col: str) -> DataFrame:
     """(generation, n): hash of the sorted member ids of a shelf. Members of one shelf are few."""
     ids = members.agg(F.sort_array(F.collect_set(id_col)).alias("ids"))
     return ids.select(F.sha2(F.array_join("ids", "\n"), 256).alias("generation"), F.size("ids").alias("n"))
+
+
+def evidence_rows(scope: DataFrame, capabilities: DataFrame, text_units: DataFrame, context: DataFrame | None = None) -> DataFrame:
+    """(evidence_id, capability_id, book_id, document_id, unit_id, quote): a row per capability and text unit of a scope.
+
+    ``scope`` (book_id, document_id, unit_ids) lists units per book; where ``context`` (unit_id) names any of a book's units,
+    only those count. The quote is the unit's text, trimmed and cut to 1200 characters; null if it has none.
+    """
+    each = scope.select("book_id", "document_id", F.explode("unit_ids").alias("unit_id")).distinct()
+    if context is not None:
+        hit = each.join(context.select("unit_id").distinct(), "unit_id", "left_semi")
+        named = hit.select("book_id").distinct()
+        each = hit.unionByName(each.join(named, "book_id", "left_anti"))
+    caps = capabilities.groupBy("book_id").agg(F.min("capability_id").alias("capability_id"))
+    quote = F.left(F.trim("text"), F.lit(1200))
+    units = text_units.select(F.col("id").alias("unit_id"), F.when(quote != "", quote).alias("quote")).dropDuplicates(["unit_id"])
+    rows = each.join(caps, "book_id").join(units, "unit_id", "left")
+    return rows.select(F.concat_ws(":", "capability_id", "unit_id").alias("evidence_id"), "capability_id", "book_id", "document_id", "unit_id", "quote").dropDuplicates(["evidence_id"])
+
+
+def community_context(membership: DataFrame, details: DataFrame, text_units: DataFrame) -> DataFrame:
+    """(community, unit_id, text, degree): the units of each community with their degree, 0 where no entity is known.
+
+    ``missing`` marks units that no text unit has: callers fail on them.
+    """
+    each = membership.select("community", F.explode("text_unit_ids").alias("unit_id"))
+    known = details.select("community", F.col("id").alias("unit_id"), "degree")
+    texts = text_units.select(F.col("id").alias("unit_id"), "text", F.lit(True).alias("there"))
+    return each.join(known, ["community", "unit_id"], "left").join(texts, "unit_id", "left").select("community", "unit_id", "text", F.coalesce("degree", F.lit(0)).alias("degree"), F.col("there").isNull().alias("missing"))
+
+
+def deepening_targets(evidence: DataFrame, target: str, report: str, pos: str, limit: int = 3) -> DataFrame:
+    """(target, reports, first): the first targets of a ranked evidence list with their reports. Evidence of one answer is short."""
+    per = evidence.where(F.col(target).isNotNull()).groupBy(target).agg(F.min(pos).alias("first"), F.array_sort(F.collect_set(report)).alias("reports"))
+    return per.orderBy("first").limit(limit)
+
+
+def unique_identity(results: DataFrame, identities: DataFrame) -> DataFrame:
+    """Results with the identity of their content hash, only where exactly one identity has that hash."""
+    one = identities.where("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("__n"), F.min("document_id").alias("document_id")).where("__n = 1").drop("__n")
+    return results.join(one, "content_hash", "left")
+
+
+def merge_identities(rows: DataFrame, key: list[str], fields: list[str], pos: str) -> DataFrame:
+    """One row per identity key; each field is the first non-null value in order of ``pos``."""
+    return rows.groupBy(*key).agg(*(F.min_by(f, F.when(F.col(f).isNotNull(), F.col(pos))).alias(f) for f in fields))
+
+
+def directory_digest(files: DataFrame) -> DataFrame:
+    """(digest, n) of a folder's files (path, content): hash over (path, hash of the content) rows in path order. Only paths and
+    hashes of one package are gathered."""
+    rows = files.select("path", F.sha2("content", 256).alias("h"))
+    whole = rows.agg(F.sort_array(F.collect_list(F.struct("path", "h"))).alias("r"))
+    return whole.select(F.sha2(F.to_json("r"), 256).alias("digest"), F.size("r").alias("n"))

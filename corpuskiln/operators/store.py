@@ -129,3 +129,8 @@ def first_vectors(documents: DataFrame, vectors: DataFrame) -> DataFrame:
     """(doc_id, seq): active documents with the smallest piece at position 0 of their body, if any."""
     first = vectors.where("pos = 0 and hash is not null").groupBy("hash").agg(F.min("seq").alias("seq"))
     return documents.where("active and hash is not null").join(first, "hash", "left").select("doc_id", "seq")
+
+
+def orphan_content_kept(content: DataFrame, documents: DataFrame) -> DataFrame:
+    """Bodies that some document names."""
+    return content.join(documents.where("hash is not null").select("hash").distinct(), "hash", "left_semi")

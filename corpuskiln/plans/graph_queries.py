@@ -444,3 +444,16 @@ SQL: dict[str, str] = {
     "result_formats": f"WITH {_bm25_sql('harbour telescope')}, x AS (SELECT doc_id, score, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank FROM (SELECT * FROM s ORDER BY raw DESC, doc_id LIMIT 10)), y AS (SELECT rank, score, left(hash, 6) AS docid, path, title FROM x JOIN documents USING (doc_id)) SELECT rank, '#' || docid || ',' || printf('%.4f', floor(score * 10000 + 0.5) / 10000) || ',' || path || ',\"' || replace(title || ', \"x\"', '\"', '\"\"') || '\",,\"a' || chr(10) || 'b\"' AS line FROM y UNION ALL SELECT rank, '#' || docid || ',' || printf('%.2f', floor(score * 100 + 0.5) / 100) || ',' || path FROM y",
     "windowed_event_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
 }
+
+
+def snippet_in_chunk(spark, d):
+    """Snippets within each body's second stored piece, with an intent."""
+    from corpuskiln.operators.snippets import snippets
+
+    c = _read(spark, d, "content").groupBy(canonical_key(F.col("hash")).alias("hash")).agg(F.max("doc").alias("doc"))
+    v = _read(spark, d, "content_vectors").where("seq = 1").groupBy(canonical_key(F.col("hash")).alias("hash")).agg(F.min("pos").alias("pos"))
+    s = snippets(F.col("doc"), F.lit("harbour glossary"), F.col("pos"), F.lit(None).cast("int"), F.lit("notes about the telescope"))
+    return c.join(v, "hash").select("hash", s.alias("s")).select("hash", "s.line", "s.snippet")
+
+
+QUERIES["snippet_in_chunk"] = snippet_in_chunk

@@ -73,6 +73,7 @@ _BROKEN = re.compile(r"(\.\.\.|…|[,;:，；：、&+/\\(\[{\-–—])\s*$")
 # Unicode ranges of scripts other than Latin; a script counts as a language.
 SCRIPTS = {name: re.compile(f"[{ranges}]") for name, ranges in {"ja": "\u3040-\u30ff", "zh": "\u4e00-\u9fff", "ko": "\uac00-\ud7af", "cyrillic": "\u0400-\u052f", "arabic": "\u0600-\u06ff", "greek": "\u0370-\u03ff", "hebrew": "\u0590-\u05ff", "devanagari": "\u0900-\u097f", "thai": "\u0e00-\u0e7f"}.items()}
 _HAN = SCRIPTS["zh"]
+_ENDS = frozenset(".!?。！？")
 #: Longest context, in tokens, that is looked up for a sentence end, and how often it must have been seen.
 CONTEXT, SEEN = 6, 4
 
@@ -271,31 +272,31 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
 
     facts = stage_table(both.mapInPandas(look, "k bigint, known boolean, " + ", ".join(f"{v} int" for v in votes_alone) + ", " + extra), "facts")
 
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: Counter = Counter()
-            for o in batch["o"]:
-                for text in _parts(o)[0]:
-                    tokens = sentence_tokens(_bare(text))
+            contexts, words = Counter(), set()
+            for q, texts in zip(batch["q"], batch["texts"]):
+                words.update(_WORD.findall(q or ""))
+                for text in () if texts is None else texts:
+                    bare = _bare(text)
+                    words.update(m.group() for m in _WORD.finditer(bare) if m.end() < len(bare))
+                    tokens = sentence_tokens(bare)
                     for i in range(len(tokens) - 1):
-                        ends = tokens[i + 1] in (".", "!", "?", "。", "！", "？")
+                        end = tokens[i + 1] in _ENDS
                         for n in range(1, min(CONTEXT, i + 1) + 1):
-                            seen[" ".join(tokens[i + 1 - n:i + 1]), ends] += 1
-            yield pd.DataFrame([(c, e, n) for (c, e), n in seen.items()], columns=["context", "ends", "n"])
+                            contexts[" ".join(tokens[i + 1 - n:i + 1]), end] += 1
+            rows = [("context", c, e, n) for (c, e), n in contexts.items()] + [("word", w, False, 1) for w in words]
+            yield pd.DataFrame(rows, columns=["kind", "text", "ends", "n"])
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen: set = set()
-            for q, o in zip(batch["q"], batch["o"]):
-                seen.update(_WORD.findall(_bare(q)))
-                for bare in map(_bare, _parts(o)[0]):
-                    seen.update(m.group() for m in _WORD.finditer(bare) if m.end() < len(bare))
-            yield pd.DataFrame({"final": sorted(seen)})
+    text_of = lambda lines: F.transform(lines, lambda x: x["text"])
+    hyde = F.filter("o", lambda x: x["type"] == "hyde")
+    counted = source.select("q", F.when(F.size(hyde) > 0, text_of(hyde)).otherwise(text_of("o")).alias("texts")).mapInPandas(count, "kind string, text string, ends boolean, n bigint")
+    counted = stage_table(counted, "counted")  # one row per batch and distinct context or word
 
     asked = facts.where("unsure").select("k", F.posexplode("contexts").alias("n", "context"))
-    ended = source.select("o").mapInPandas(contexts, "context string, ends boolean, n bigint").join(asked.select("context").distinct().hint("merge"), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
+    ended = counted.where("kind = 'context'").withColumnRenamed("text", "context").join(asked.select("context").distinct().hint("merge"), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
     by_context = asked.join(ended.hint("merge"), "context").groupBy("k").agg(F.max_by(F.col("ended") / F.col("seen"), "n").alias("rate"))
-    word_there = source.select("q", "o").mapInPandas(words, "final string").join(facts.where("final is not null").select("final").distinct().hint("merge"), "final", "left_semi").distinct().withColumn("there", F.lit(True))
+    word_there = counted.where("kind = 'word'").select(F.col("text").alias("final")).join(facts.where("final is not null").select("final").distinct().hint("merge"), "final", "left_semi").distinct().withColumn("there", F.lit(True))
     word_known = facts.where("final is not null").select("k", "final").join(word_there.hint("merge"), "final").select("k", "there").distinct()
 
     spoken = facts.where("not known and answer_language is not null").select(F.explode("query_words").alias("w"), "answer_language").groupBy("w", "answer_language").agg(F.count(F.lit(1)).alias("n"))
@@ -315,10 +316,10 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
     labelled = whole.where("known").toPandas()  # the few labelled pairs
     pattern = {d: F.concat_ws(",", *(F.col(f).cast("string") for f in fs)) for d, fs in DEFECTS.items()}
     each = lambda value: F.explode(F.array(*(F.struct(F.lit(d).alias("defect"), value(d)) for d in DEFECTS))).alias("x")
-    counted = whole.where("not known").select(each(lambda d: pattern[d].alias("pattern"))).groupBy("x.defect", "x.pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**functions rows a defect
+    patterns = whole.where("not known").select(each(lambda d: pattern[d].alias("pattern"))).groupBy("x.defect", "x.pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**functions rows a defect
     tables, cutoffs = {}, {}
     for defect, functions in DEFECTS.items():
-        counts = {tuple(map(int, r["pattern"].split(","))): float(r["n"]) for r in counted if r["defect"] == defect}
+        counts = {tuple(map(int, r["pattern"].split(","))): float(r["n"]) for r in patterns if r["defect"] == defect}
         known_patterns = [tuple(map(int, r)) for r in labelled[functions].itertuples(index=False)]
         for key_ in known_patterns:
             counts.setdefault(key_, 0.5)

@@ -57,6 +57,8 @@ DECLINE = re.compile(
     r"|\bje ne (peux|suis|souhaite|veux) pas|je ne saurais|il m'est impossible|m'est impossible|je suis désolée?,? mais|en tant que modèle|je n'ai pas accès|je préfère ne pas"
     r"|抱歉|对不起|无法(回答|提供|协助|帮助)|不能(回答|提供|协助|帮助)|作为(一个)?(语言模型|人工智能)"
 )
+# Pieces of text of which every way to decline holds one; a cheap test before the pattern.
+HINTS = "not|n't|no |declin|refus|unable|rather|model|guideline|polic|rules|lack|way of|told|asked|instructed|nothing|pass on|outside|beyond|permitted|allowed|something|prefer|as a|consult|siento|puedo|prefiero|modelo|niego|debo|posible|quiero|alcance|autoriz|acceso|nicht|kein|leid|ablehnen|passen|bedaure|sprachmodell|ne |désolé|impossible|modèle|préf|pas |saurai|dois|regrette|puis|pourrai|抱歉|对不起|无法|不能|作为".split("|")
 OPENING = re.compile(r"^\W*((hello|hi|thanks for asking|thank you for asking|unfortunately|regrettably|apologies|please)\W+)?((i'm|i am) (so |very |really )?sorry,? but|sorry,? (but )?(i|we) |i (cannot|can't|won't|must|don't|do not|have no|am (not able|unable|only)|'?d rather|would rather)|not able to|unable to|that is something i|this request|as an? (ai|language|text)|lo siento|no (puedo|me es)|como modelo|leider|dazu|das kann|diese frage|als sprachmodell|dabei|tut mir|es tut mir|je (ne|suis désolé)|il m'est|désolé|en tant que|抱歉|对不起)", re.I)
 # Words of which a refusal in the first person holds two or more.
 FIRST_PERSON = re.compile(r"\b(i|me|my|i'm|i'd|i've|mi|yo|me|mich|mir|ich|je|j'ai|m'est|moi|eu|io)\b|我")
@@ -148,10 +150,11 @@ def _votes(query: str | None, output) -> dict:
 
     low = text.lower().replace("’", "'")
     sentences = [s for s in re.split(r"(?<=[.!?。！？])\s+", low) if any(c.isalnum() for c in s)]
-    declines = [bool(DECLINE.search(s)) for s in sentences]
+    hinted = any(h in low for h in HINTS)
+    declines = [hinted and bool(DECLINE.search(s)) for s in sentences]
     others = [s for s, d in zip(sentences, declines) if not d and not POLITE.search(s)]
     v["r_phrase"] = 1 if any(declines) else -1
-    v["r_opening"] = 1 if OPENING.search(text.replace("’", "'")) else 0
+    v["r_opening"] = 1 if hinted and OPENING.search(text.replace("’", "'")) else 0
     v["r_lexicon"] = (1 if len(low) < 260 and len(set(REFUSAL_WORDS.findall(low))) >= 3 else 0) if FIRST_PERSON.search(low) else -1
     v["r_short"] = 0 if len(text) < 220 else -1
     v["r_rest"] = 0 if not sentences else 1 if any(declines) and not others else -1

@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = f"file://{tempfile.mkdtemp(prefix='corpuskiln-')}"
     atexit.register(shutil.rmtree, made[len("file://"):], ignore_errors=True)

@@ -5,8 +5,10 @@ by hash into shards of bounded size and each shard is packed by itself: bins are
 possible residuals gives the successor in constant time) and carry bitmaps of their sources and of the duplicate clusters they
 hold. The search goes from the tightest bin that fits upwards until a compatible one is found, else a bin is opened.
 
-Two copies of one text never share a container. Sources should not either, which costs room: bins that stay below ``good``
-are emptied once and their items packed again with the duplicate rule alone, so that room wins over mixing.
+Copies of one text and texts of one source should not share a container, but as little room as possible must be left. So bins
+that stay below ``good`` are emptied and their items packed again without the source rule, and what is still loose then without
+the rule on copies either: with one text in a third of all rows, keeping its copies apart would waste half of the room.
+``keep_apart`` makes the rule on copies absolute.
 """
 
 from __future__ import annotations
@@ -67,10 +69,10 @@ class _Bins:
         return None
 
 
-def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPACITY, good: float = GOOD) -> list[list[int]]:
+def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPACITY, good: float = GOOD, keep_apart: bool = False) -> list[list[int]]:
     """Bins (lists of item numbers) for items of 1 to ``capacity``. Ties are broken by position, so equal input packs equally.
 
-    ``None`` as source or cluster conflicts with nothing. Items of one cluster are never in one bin.
+    ``None`` as source or cluster conflicts with nothing. With ``keep_apart`` items of one cluster are never in one bin.
     """
     source_bit = {s: 1 << i for i, s in enumerate(sorted({s for s in sources if s is not None}))}
     often = Counter(c for c in clusters if c is not None)
@@ -79,12 +81,20 @@ def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPAC
     bins = _Bins(capacity)
     for i in order:
         bins.place(int(i), int(sizes[i]), source_bit.get(sources[i], 0), cluster_bit.get(clusters[i], 0))
-    full = [b for b in bins.held if sum(int(sizes[i]) for i in b) >= good * capacity]
-    loose = sorted((i for b in bins.held if sum(int(sizes[i]) for i in b) < good * capacity for i in b), key=lambda i: (-sizes[i], i))
-    again = _Bins(capacity)
-    for i in loose:
-        again.place(i, int(sizes[i]), 0, cluster_bit.get(clusters[i], 0))
-    return full + again.held
+    full, loose = _sorted_out(bins, sizes, good * capacity)
+    for apart in (True,) if keep_apart else (True, False):
+        again = _Bins(capacity)
+        for item in loose:
+            again.place(item, int(sizes[item]), 0, cluster_bit.get(clusters[item], 0) if apart else 0)
+        done, loose = _sorted_out(again, sizes, good * capacity if apart and not keep_apart else 0)
+        full += done
+    return full
+
+
+def _sorted_out(bins: _Bins, sizes: np.ndarray, least: float) -> tuple[list[list[int]], list[int]]:
+    """Bins that hold ``least`` or more, and the items of the others, largest first."""
+    room = [sum(int(sizes[i]) for i in b) for b in bins.held]
+    return [b for b, r in zip(bins.held, room) if r >= least], sorted((i for b, r in zip(bins.held, room) if r < least for i in b), key=lambda i: (-sizes[i], i))
 
 
 def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
@@ -108,7 +118,7 @@ def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str
     return spread(source).mapInPandas(count, schema)
 
 
-def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster: str, *, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster: str, *, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, keep_apart: bool = False) -> DataFrame:
     """(container, slot, key, part, first_token, n_tokens): every token of every row once, containers within the capacity.
 
     Only rows above the capacity are split, into full containers and at most one rest. Rows of size null or 0 take no room and
@@ -129,7 +139,7 @@ def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster:
         items = items.sort_values("k", kind="stable").reset_index(drop=True)
         sources = [None if pd.isna(s) else s for s in items["s"]]
         clusters = [None if pd.isna(c) else int(c) for c in items["c"]]
-        bins = pack(items["n"].to_numpy(), sources, clusters, capacity)
+        bins = pack(items["n"].to_numpy(), sources, clusters, capacity, keep_apart=keep_apart)
         at = [(f"{number[0]}-{b}", slot, i) for b, held in enumerate(bins) for slot, i in enumerate(held)]
         taken = items.iloc[[i for _, _, i in at]]
         return pd.DataFrame({"container": [c for c, _, _ in at], "slot": [s for _, s, _ in at], "k": taken["k"].to_numpy(), "part": taken["part"].to_numpy(), "first_token": taken["part"].to_numpy().astype(np.int64) * capacity, "n_tokens": taken["n"].to_numpy()})

@@ -17,13 +17,24 @@ def test_bins_respect_capacity_and_conflicts():
     sizes = np.array([rng.randrange(1, 2049) if rng.random() < 0.2 else rng.randrange(30, 900) for _ in range(n)])
     sources = [None if rng.random() < 0.1 else "hot" if rng.random() < 0.33 else f"s{rng.randrange(12)}" for _ in range(n)]
     clusters = [None if rng.random() < 0.1 else 0 if rng.random() < 0.1 else rng.randrange(1, 2000) for _ in range(n)]
-    bins = packing.pack(sizes, sources, clusters)
+    bins = packing.pack(sizes, sources, clusters, keep_apart=True)
     assert sorted(i for b in bins for i in b) == list(range(n))
     for b in bins:
         held = [clusters[i] for i in b if clusters[i] is not None]
         assert sum(sizes[i] for i in b) <= 2048 and len(held) == len(set(held))
     assert sizes.sum() / 2048 / len(bins) > 0.97
-    assert packing.pack(sizes, sources, clusters) == bins
+    assert packing.pack(sizes, sources, clusters, keep_apart=True) == bins
+
+
+def test_room_wins_over_mixing():
+    rng = random.Random(2)
+    n = 3000
+    sizes = np.array([40 if i % 3 == 0 else rng.randrange(30, 900) for i in range(n)])
+    clusters = [0 if i % 3 == 0 else i for i in range(n)]  # a third of all rows is one text
+    apart, tight = (packing.pack(sizes, ["s"] * n, clusters, keep_apart=k) for k in (True, False))
+    assert sorted(i for b in tight for i in b) == list(range(n)) and max(sizes[b].sum() for b in tight) <= 2048
+    assert sizes.sum() / 2048 / len(tight) > 0.99 > 0.5 > sizes.sum() / 2048 / len(apart)
+    assert packing.pack(np.zeros(0, int), [], []) == []
 
 
 def test_tightest_bin_is_found():

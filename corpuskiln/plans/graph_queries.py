@@ -287,7 +287,7 @@ def batch_rollup(spark, d):
 def event_resequence(spark, d):
     """Sequence numbers per user and repeated ids."""
     e = _read(spark, d, "events").select("event_id", "user_id", "ts", F.to_json(F.struct("props")).alias("k"))
-    return ranking.resequence(e, "user_id", [F.col("ts"), F.col("event_id")], "k").select("event_id", "sequence", "duplicate")
+    return ranking.resequence(e, "user_id", ["ts", "event_id"], "k").select("event_id", "sequence", "duplicate")
 
 
 def weighted_model_metrics(spark, d):
@@ -299,7 +299,7 @@ def weighted_model_metrics(spark, d):
 def running_token_budget(spark, d):
     """Documents of each source, in order, until 20000 characters are used."""
     t = _read(spark, d, "documents").where("text is not null and source is not null").select("doc_id", "source", F.length("text").cast("bigint").alias("chars"))
-    return ranking.running_budget(t, ["source"], [F.col("doc_id")], "chars", 20000)
+    return ranking.running_budget(t, "source", ["doc_id"], "chars", 20000)
 
 
 def latest_capability(spark, d):

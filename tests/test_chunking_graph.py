@@ -108,10 +108,23 @@ def test_store_snapshots(spark):
 def test_ranking(spark):
     df = spark.createDataFrame([("a", 3, 1), ("a", 3, 0), ("b", None, 5), ("a", 1, 9)], "k string, t int, id int")
     assert sorted((r["k"], r["id"]) for r in ranking.latest_per_key(df, ["k"], "t", "id").collect()) == [("a", 0), ("b", 5)]
-    assert ranking.running_budget(spark.createDataFrame([(1, 5), (2, 6), (3, 1)], "o int, n int").withColumn("g", F.lit(1)), ["g"], [F.col("o")], "n", 10).count() == 1
+    assert ranking.running_budget(spark.createDataFrame([(1, 5), (2, 6), (3, 1)], "o int, n int").withColumn("g", F.lit(1)), "g", ["o"], "n", 10).count() == 1
     assert ranking.gap_to_runner_up(spark.createDataFrame([], "s double"), "s").first()["top"] == 0.0
 
 
+@pytest.mark.parametrize("share", [1, 3])
+def test_running_totals_of_large_groups(spark, share):
+    rows = [("hot" if i % share == 0 else None if i % 7 == 0 else f"g{i}", (i * 7919) % 1000, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, o int, id int").withColumn("__part", F.lit(0)).repartition(6)
+    got = {r["id"]: r["t"] for r in ranking.running_total(df, "g", ["o", "id"], F.col("o"), "t").collect()}
+    sums, want = {}, {}
+    for g, o, i in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        sums[g] = want[i] = sums.get(g, 0) + o
+    assert got == want
+    r = ranking.resequence(df, "g", ["o", "id"], "o").where("g = 'hot'").agg(F.max("sequence").alias("m"), F.count_if("duplicate").alias("d")).first()
+    assert r["m"] == sum(g == "hot" for g, *_ in rows) and r["d"] > 0
+
+
 def test_state(spark):
     rows = spark.createDataFrame([("u", "a", "succeeded"), ("u", "c", "succeeded"), ("v", "a", "failed")], "i string, s string, st string")
     got = {r["i"]: (r["next_stage"], r["stale"]) for r in state.next_stage(rows, "i", "s", "st", ["a", "b", "c"]).collect()}

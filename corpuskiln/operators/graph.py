@@ -160,9 +160,8 @@ def match_capabilities(candidates: DataFrame, capabilities: DataFrame) -> DataFr
     unique = ready.join(one, "content_hash", "left_semi")
 
     def by(caps: DataFrame, key: str) -> DataFrame:
-        asked = candidates.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "candidate_id").groupBy("k").agg(F.collect_set("candidate_id").alias("cs"))
-        hit = salted_left_join(caps.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "capability_id"), asked, "k", how="inner")
-        return hit.select(F.explode("cs").alias("candidate_id"), "capability_id")
+        asked = candidates.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "candidate_id").distinct()
+        return salted_left_join(caps.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "capability_id"), asked, "k", how="inner").select("candidate_id", "capability_id")
 
     return by(ready, "document_id").union(by(ready, "source_id")).union(by(unique, "content_hash")).distinct()
 

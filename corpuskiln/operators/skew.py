@@ -29,10 +29,10 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def salted_left_join(many: DataFrame, one: DataFrame, key: str, salts: int = 64, hot: list | None = None, how: str = "left") -> DataFrame:
-    """Join ``many`` with ``one`` (at most one row per key) on the string column ``key``.
+    """Join ``many`` with ``one`` (one row per key, or few) on the string column ``key``.
 
-    Hot keys of ``many`` are spread over ``salts`` tasks; the one row of each hot key in ``one`` is repeated as often,
-    which adds at most ``salts / HOT_SHARE`` rows. Null keys match nothing and are spread as well. ``how`` is ``left``,
+    Hot keys of ``many`` are spread over ``salts`` tasks; the rows of each hot key in ``one`` are repeated as often,
+    which adds at most ``salts / HOT_SHARE`` rows where keys are unique. Null keys match nothing and are spread as well. ``how`` is ``left``,
     ``inner``, ``left_semi`` or ``left_anti``. Other columns of ``one`` must not clash with ``many``.
     """
     hot = hot_keys(many, key) if hot is None else hot

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +52,15 @@ def weighted_metrics(rows: DataFrame, by: str, sums: list[str], rate: str, weigh
     return rows.groupBy(by).agg(*(F.sum(c).alias(c) for c in sums), F.try_divide(r, F.sum(weight)).alias(rate))
 
 
-def merge_lineage(rows: DataFrame, by: str, scalars: list[str], arrays: list[str]) -> DataFrame:
-    """A scalar survives only if its group holds exactly one distinct value; array columns are united and sorted. Elements are
-    made distinct before they are gathered."""
-    base = rows.groupBy(by).agg(*(F.when(F.min(c).eqNullSafe(F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.max(c)).alias(c) for c in scalars))
-    parts = [rows.select(by, F.explode(a).alias("v")).distinct().groupBy(by).agg(F.array_sort(F.collect_list("v")).alias(a)) for a in arrays]
-    return reduce(lambda x, y: x.join(y, by, "left"), parts, base)
+def merge_scalars(rows: DataFrame, by: str, scalars: list[str]) -> DataFrame:
+    """Per group, each scalar only if the group holds exactly one distinct value and no null."""
+    return rows.groupBy(by).agg(*(F.when(F.min(c).eqNullSafe(F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.max(c)).alias(c) for c in scalars))
+
+
+def unite_arrays(rows: DataFrame, by: str, array: str, out: str = "value") -> DataFrame:
+    """(by, value): the distinct elements of a group's arrays, a row each. They are not gathered into one array, since a group
+    may hold a large part of all rows."""
+    return rows.select(by, F.explode(array).alias(out)).where(F.col(out).isNotNull()).distinct()
 
 
 def closure(manifest: DataFrame, listing: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def scope_semijoin_chain(spark, d):
     per = v.groupBy("hash").agg(F.array_sort(F.collect_list(unit)).alias("text_unit_ids"))  # pieces of one body
     entities = per.select(F.concat(F.lit("ent-"), "hash").alias("id"), "text_unit_ids")
     relationships = v.where("seq > 0").select(F.concat(F.lit("rel-"), unit).alias("id"), F.array(unit, F.concat_ws("_", "hash", F.col("seq") - 1)).alias("text_unit_ids"))
-    community = v.select(F.left("hash", F.lit(3)).alias("community"), unit.alias("u")).groupBy("community").agg(F.array_sort(F.collect_list("u")).alias("text_unit_ids"))
+    community = v.select(F.left("hash", F.lit(6)).alias("community"), unit.alias("u")).groupBy("community").agg(F.array_sort(F.collect_list("u")).alias("text_unit_ids"))
     reports = community.select(F.concat(F.lit("rep-"), "community").alias("id"), "community")
     kept = graph.scope_frames(docs, units, entities, relationships, community, reports, docs.where("source = 'essays'").select("id"))
     whole = None
@@ -123,7 +123,8 @@ def capability_union(spark, d):
 def artifact_lineage(spark, d):
     """Artifact ids of each book, from lists in any spelling."""
     c = _capabilities(spark, d).select("book_id", graph.id_array(F.col("artifact_ids")).alias("a"), "method")
-    return state.merge_lineage(c, "book_id", ["method"], ["a"]).select("book_id", F.coalesce("method", F.lit("")).alias("method"), F.coalesce(F.size("a"), F.lit(0)).cast("bigint").alias("n_artifacts"))
+    n = state.unite_arrays(c, "book_id", "a").groupBy("book_id").agg(F.count(F.lit(1)).alias("n"))
+    return state.merge_scalars(c, "book_id", ["method"]).join(n, "book_id", "left").select("book_id", F.coalesce("method", F.lit("")).alias("method"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_artifacts"))
 
 
 def lineage_gaps(spark, d):
@@ -409,7 +410,7 @@ SQL: dict[str, str] = {
     "communities_rollup": _L + f", g AS (SELECT member, count(*)::BIGINT AS n_units, max(rank) AS rank, list(summary ORDER BY position) AS s FROM l GROUP BY 1), w AS (SELECT count(*)::BIGINT AS n_units, max(rank) AS rank, list(summary ORDER BY position) AS s FROM l) SELECT member, n_units, round(rank, 3) AS rank, left({_clean(chr(39).join(['array_to_string(s[1:3], ', ' ', ')']), chr(39) * 2, 2200)}, 80) AS summary FROM g UNION ALL SELECT 'overview', n_units, round(rank, 3), left({_clean(chr(39).join(['array_to_string(s[1:6], ', ' ', ')']), chr(39) * 2, 2400)}, 80) FROM w WHERE n_units > 1",
     "report_search": _search(["which", "harbour", "telescope", "glossary", "describe"], 10) + " SELECT report_id, place, round(score, 6) AS score FROM f",
     "report_evidence": "WITH c AS (SELECT DISTINCT capability_id, book_id, document_id FROM qmd_graph_capabilities), n AS (SELECT book_id, min(capability_id) AS a, max(capability_id) AS b, count(*) FILTER (starts_with(document_id, '0')) AS n FROM (SELECT DISTINCT capability_id, book_id, document_id, created_at FROM qmd_graph_capabilities) WHERE document_id IS NOT NULL GROUP BY 1), f AS (SELECT book_id, min(capability_id) AS x FROM c GROUP BY 1) SELECT book_id AS report_id, 0 AS ord, b AS evidence_id FROM n WHERE n > 0 UNION ALL SELECT book_id, 1, a FROM n WHERE n > 0 UNION ALL SELECT n.book_id, 0, x FROM n JOIN f USING (book_id) WHERE n = 0",
-    "scope_semijoin_chain": f"WITH d AS (SELECT {_K.format(c='document_id')} AS id, source, {_K.format(c='hash')} AS hash FROM documents), v AS (SELECT DISTINCT {_K.format(c='hash')} AS hash, seq FROM content_vectors WHERE {_K.format(c='hash')} IS NOT NULL), k AS (SELECT * FROM d WHERE source = 'essays'), u AS (SELECT v.hash, seq, k.id FROM v JOIN k USING (hash)), h AS (SELECT DISTINCT hash, seq FROM u), e AS (SELECT DISTINCT hash FROM h), rel AS (SELECT v.hash, v.seq FROM v WHERE seq > 0 AND (EXISTS (SELECT 1 FROM h WHERE h.hash = v.hash AND h.seq = v.seq) OR EXISTS (SELECT 1 FROM h WHERE h.hash = v.hash AND h.seq = v.seq - 1))), c AS (SELECT DISTINCT left(hash, 3) AS g FROM h) SELECT 'documents' AS frame, (SELECT count(*) FROM k)::BIGINT AS n UNION ALL SELECT 'text_units', (SELECT count(*) FROM u) UNION ALL SELECT 'entities', (SELECT count(*) FROM e) UNION ALL SELECT 'relationships', (SELECT count(*) FROM rel) UNION ALL SELECT 'communities', (SELECT count(*) FROM c) UNION ALL SELECT 'community_reports', (SELECT count(*) FROM c)",
+    "scope_semijoin_chain": f"WITH d AS (SELECT {_K.format(c='document_id')} AS id, source, {_K.format(c='hash')} AS hash FROM documents), v AS (SELECT DISTINCT {_K.format(c='hash')} AS hash, seq FROM content_vectors WHERE {_K.format(c='hash')} IS NOT NULL), k AS (SELECT * FROM d WHERE source = 'essays'), u AS (SELECT v.hash, seq, k.id FROM v JOIN k USING (hash)), h AS (SELECT DISTINCT hash, seq FROM u), e AS (SELECT DISTINCT hash FROM h), rel AS (SELECT v.hash, v.seq FROM v WHERE seq > 0 AND (EXISTS (SELECT 1 FROM h WHERE h.hash = v.hash AND h.seq = v.seq) OR EXISTS (SELECT 1 FROM h WHERE h.hash = v.hash AND h.seq = v.seq - 1))), c AS (SELECT DISTINCT left(hash, 6) AS g FROM h) SELECT 'documents' AS frame, (SELECT count(*) FROM k)::BIGINT AS n UNION ALL SELECT 'text_units', (SELECT count(*) FROM u) UNION ALL SELECT 'entities', (SELECT count(*) FROM e) UNION ALL SELECT 'relationships', (SELECT count(*) FROM rel) UNION ALL SELECT 'communities', (SELECT count(*) FROM c) UNION ALL SELECT 'community_reports', (SELECT count(*) FROM c)",
     "capability_or_join": f"WITH {_CAND}, {_CAPS} SELECT candidate_id, count(*)::BIGINT AS n, min(capability_id) AS first FROM m GROUP BY 1",
     "coverage_rate": f"WITH {_CAND}, {_CAPS}, x AS (SELECT DISTINCT candidate_id FROM m) SELECT coalesce(source, '') AS source, count(*)::BIGINT AS total, count(x.candidate_id)::BIGINT AS ready, round(count(x.candidate_id) / count(*), 6) AS coverage FROM c LEFT JOIN x USING (candidate_id) GROUP BY 1",
     "route_decision": r"WITH q AS (SELECT record_id, query, ['auto', 'graph', 'retrieval'][(record_id % 3 + 1)::INT] AS requested, CASE WHEN record_id % 5 = 0 THEN 1 ELSE 2 END AS max_cost, record_id % 7 <> 0 AS allow, record_id % 11 AS ready FROM qmd_expansion_sports WHERE query IS NOT NULL), i AS (SELECT *, CASE WHEN regexp_matches(query, '关系|关联|联系|为什么|原因|综合|总结|全书|跨章节') THEN 'graph_synthesis' WHEN regexp_matches(query, '(?i)\b(relationship|relate|why|synthesize|summari[sz]e|across)\b') THEN 'graph_synthesis' WHEN regexp_matches(query, '多跳|推理|因果') THEN 'multi_hop_reasoning' WHEN regexp_matches(query, '(?i)\b(multi-hop|reason|causal|tradeoff)\b') THEN 'multi_hop_reasoning' WHEN regexp_matches(query, '定位|原文|文件|章节') THEN 'source_location' WHEN regexp_matches(query, '(?i)\b(file|source|where|locate|chapter)\b') THEN 'source_location' ELSE 'lookup' END AS intent FROM q), r AS (SELECT *, array_to_string(list_filter([CASE WHEN ready = 0 THEN 'no_graph_ready_candidate' END, CASE WHEN ready / 10.0 < 0.7 THEN 'coverage_below_threshold' END, CASE WHEN intent NOT IN ('graph_synthesis', 'multi_hop_reasoning') THEN 'intent_not_graph_synthesis' END, CASE WHEN (CASE WHEN intent = 'multi_hop_reasoning' THEN 3 ELSE 2 END) > max_cost THEN 'cost_policy_exceeded' END, CASE WHEN NOT allow THEN 'graph_upgrade_disabled' END], lambda x: x IS NOT NULL), '|') AS reasons FROM i) SELECT record_id, intent, CASE WHEN requested <> 'auto' THEN requested WHEN reasons = '' THEN 'graph' ELSE 'retrieval' END AS route, CASE WHEN requested = 'graph' AND ready = 0 THEN 'refused' ELSE 'selected' END AS status, reasons FROM r",

@@ -78,6 +78,8 @@ _HAN = SCRIPTS["zh"]
 _ENDS = frozenset(".!?。！？")
 #: Longest context, in tokens, that is looked up for a sentence end, and how often it must have been seen.
 CONTEXT, SEEN = 6, 4
+#: Pairs whose contexts a worker holds at once.
+COUNTED = 2000
 
 
 def _parts(output) -> tuple[list[str | None], bool]:
@@ -189,6 +191,23 @@ def _votes(query: str | None, output) -> dict:
     return v
 
 
+def _count_contexts(queries: pd.Series, texts_of: pd.Series) -> pd.DataFrame:
+    """(kind, text, ends, n): how often each context was seen with and without a sentence end after it, and the words there are."""
+    contexts, words = Counter(), set()
+    for q, texts in zip(queries, texts_of):
+        words.update(_WORD.findall(q or ""))
+        for text in () if texts is None else texts:
+            bare = _bare(text)
+            words.update(m.group() for m in _WORD.finditer(bare) if m.end() < len(bare))
+            tokens = sentence_tokens(bare)
+            for i in range(len(tokens) - 1):
+                end = tokens[i + 1] in _ENDS
+                for n in range(1, min(CONTEXT, i + 1) + 1):
+                    contexts[" ".join(tokens[i + 1 - n:i + 1]), end] += 1
+    rows = [("context", c, e, n) for (c, e), n in contexts.items()] + [("word", w, False, 1) for w in words]
+    return pd.DataFrame(rows, columns=["kind", "text", "ends", "n"])
+
+
 #: Pairs with known defects on which cutoffs are chosen: (query, answer, defects).
 LABELLED = [
     ("who won the ice relay in Bergholm", "Bergholm Seals took the relay by two lengths after a slow start, and the crowd stayed to sing.", []),
@@ -277,19 +296,8 @@ def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame,
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            contexts, words = Counter(), set()
-            for q, texts in zip(batch["q"], batch["texts"]):
-                words.update(_WORD.findall(q or ""))
-                for text in () if texts is None else texts:
-                    bare = _bare(text)
-                    words.update(m.group() for m in _WORD.finditer(bare) if m.end() < len(bare))
-                    tokens = sentence_tokens(bare)
-                    for i in range(len(tokens) - 1):
-                        end = tokens[i + 1] in _ENDS
-                        for n in range(1, min(CONTEXT, i + 1) + 1):
-                            contexts[" ".join(tokens[i + 1 - n:i + 1]), end] += 1
-            rows = [("context", c, e, n) for (c, e), n in contexts.items()] + [("word", w, False, 1) for w in words]
-            yield pd.DataFrame(rows, columns=["kind", "text", "ends", "n"])
+            for first in range(0, len(batch), COUNTED):
+                yield _count_contexts(batch["q"][first:first + COUNTED], batch["texts"][first:first + COUNTED])
 
     text_of = lambda lines: F.transform(lines, lambda x: x["text"])
     hyde = F.filter("o", lambda x: x["type"] == "hyde")

@@ -62,7 +62,8 @@ def band_keys(signature: np.ndarray, rows: int, bands: int) -> np.ndarray:
 
 
 def _signed(df: DataFrame, width: int, rows: int, bands: int) -> DataFrame:
-    """(key, class, keys): ``class`` is the 64-bit hash of the shingle set, ``keys`` its band keys. Sets without shingles drop out."""
+    """(key, text_hash, class, keys) of (key, text, text_hash) rows: ``class`` is the 64-bit hash of the shingle set, ``keys`` its band
+    keys. Sets without shingles drop out."""
     import xxhash
 
     factors, summands = permutations(rows // 2 * bands)
@@ -78,9 +79,10 @@ def _signed(df: DataFrame, width: int, rows: int, bands: int) -> DataFrame:
                     keys.append(band_keys(min_max_signature(s, factors, summands), rows, bands))
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands, dtype=np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(kept, pa.int32())), pa.array(np.array(classes, np.uint64).view(np.int64)), lists], ["key", "class", "keys"])
+            kept = pa.array(kept, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(kept), batch.column("text_hash").take(kept), pa.array(np.array(classes, np.uint64).view(np.int64)), lists], ["key", "text_hash", "class", "keys"])
 
-    return df.select("key", "text").mapInArrow(sign, "key string, class bigint, keys array<bigint>")
+    return df.mapInArrow(sign, "key string, text_hash bigint, class bigint, keys array<bigint>")
 
 
 def _pairs_of_keys(banded: DataFrame, most: int) -> DataFrame:
@@ -154,10 +156,10 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
     they are called.
     """
     ship_package(df.sparkSession)
-    source = df.select(key.alias("key"), text.alias("text")).where("key is not null and text is not null")
+    source = df.select(key.alias("key"), text.alias("text"), F.xxhash64(text).alias("text_hash")).where("key is not null and text is not null")
     signed = stage_table(_signed(spread(source), width, rows, bands), "signed")
     members = signed.select("key", "class").distinct()
-    reps = signed.groupBy("class").agg(F.min("key").alias("key"), F.first("keys").alias("keys"))
+    reps = signed.groupBy("class").agg(F.first("keys").alias("keys"))
     banded = reps.select("class", F.explode("keys").alias("band"))
     banded = stage_table(banded, "banded")
     hot = hot_keys(banded, "band", 1 / 2000)
@@ -166,8 +168,8 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
     crowded = walked.where("alone").select(F.col("a").alias("class")).union(warm.select("class")).distinct()
     candidates = walked.where("not alone").select("a", "b")
 
-    rep_of = reps.select("class", "key")
-    texts_of = lambda classes: source.join(rep_of.join(classes, "class", "left_semi"), "key").groupBy("class").agg(F.min("text").alias("text"))
+    rep_of = signed.groupBy("class").agg(F.min(F.struct("key", "text_hash")).alias("body")).select("class", "body.*")
+    texts_of = lambda classes: source.join(rep_of.join(classes, "class", "left_semi"), ["key", "text_hash"]).groupBy("class").agg(F.min("text").alias("text"))
     if not crowded.isEmpty():
 
         @F.pandas_udf("array<bigint>")

@@ -61,6 +61,13 @@ def test_pairs_against_brute_force(spark, most, width, threshold):
     assert got == want and len(want) > 5
 
 
+def test_one_key_with_several_texts(spark):
+    a, b = "a b c d e f g h i j", "q r s t u v w x y z"
+    df = spark.createDataFrame([("k1", a), ("k1", b), ("k2", b + " zz"), ("k3", a + " zz")], "hash string, doc string")
+    got = {(r["key_a"], r["key_b"]) for r in nd.similar_pairs(*nd.similar_classes(df, F.col("hash"), F.col("doc"), width=3, threshold=0.7)).collect()}
+    assert got == {("k1", "k2"), ("k1", "k3")}
+
+
 def test_groups(spark):
     rows = corpus(2, 6)
     df = spark.createDataFrame(rows, "hash string, doc string")

@@ -19,7 +19,7 @@ def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
 
 def _reports(spark, d) -> DataFrame:
     """Active documents as reports of their source: rank is the length in thousands of characters."""
-    return _read(spark, d, "documents").where("active and source is not null").select(F.col("source").alias("member"), F.col("document_id").alias("report_id"), "title", F.left(F.coalesce("text", F.lit("")), F.lit(2000)).alias("summary"), (F.coalesce("n_chars", F.lit(0)) / 1000).alias("rank"), F.col("doc_id").alias("pos"))
+    return _read(spark, d, "documents").where("active and source is not null").select(F.col("source").alias("member"), F.col("document_id").alias("report_id"), "title", F.coalesce("text", F.lit("")).alias("summary"), (F.coalesce("n_chars", F.lit(0)) / 1000).alias("rank"), F.col("doc_id").alias("pos"))
 
 
 def _units(spark, d) -> DataFrame:

@@ -46,3 +46,18 @@ def test_a_late_word_is_found(spark, documents):
     assert scores["d1"] == pytest.approx(3 / 5 + 2.826 / 100, abs=1e-3) and scores["d1"] > scores["d2"]
     tokens = {r["report_id"]: r["tokens"] for r in graph_queries.prompt_packing(spark, d).collect()}
     assert tokens == {"d1": 707, "d2": 1125, "d3": 2}
+
+
+@pytest.mark.parametrize("name", ["precision_recall_mrr", "unmatched_files"])
+def test_every_titled_document_is_expected(spark, data, name):
+    """The registered SQL still takes four documents a word; without that it gives the query's rows."""
+    cut, df = " ORDER BY doc_id LIMIT 4)", entry.queries()[name](spark, data)
+    assert cut in entry.oracle_sql()[name]
+    assert _rows(df.columns, df.collect()) == _in_duckdb(data, entry.oracle_sql()[name].replace(cut, ")"))
+
+
+def test_more_than_four_are_expected(spark, documents):
+    d = documents(*((i, "Kettle", "kettle") for i in range(12)), (20, "Other", "lamp"))
+    assert graph_queries.unmatched_files(spark, d).count() == 2  # ten are found
+    m = graph_queries.precision_recall_mrr(spark, d).first()
+    assert (m["hits_at_k"], m["precision_at_k"], m["recall"]) == (10, 1.0, round(10 / 12, 6))

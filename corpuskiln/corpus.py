@@ -22,9 +22,10 @@ VECTORS = "hash string, seq int, pos int, model string, embed_fingerprint string
 
 
 class Corpus:
-    """Search and maintenance verbs. ``embedder``, ``expander`` and ``reranker`` are injected; the defaults are deterministic."""
+    """Search and maintenance verbs. ``embedder``, ``expander`` and ``reranker`` are injected; the defaults are deterministic. Lexical search compares stems unless ``stem`` is False."""
 
-    def __init__(self, spark: SparkSession, root: str, embedder=None, expander=None, reranker=None, model: str = "hash-16", fingerprint: str = "000000"):
+    def __init__(self, spark: SparkSession, root: str, embedder=None, expander=None, reranker=None, model: str = "hash-16", fingerprint: str = "000000", stem: bool = True):
+        self.stem = stem
         self.spark, self.root, self.embedder, self.expander, self.reranker, self.model, self.fingerprint = spark, root, embedder, expander, reranker, model, fingerprint
         os.makedirs(root, exist_ok=True)
         self.state = {"generation": 0, "collections": {}, "contexts": [], "global_context": None}
@@ -159,7 +160,7 @@ class Corpus:
     # --- retrieval
     def search_lex(self, query: str, limit: int = 20, collection: str | None = None, min_score: float = 0.0) -> DataFrame:
         lexical.validate_lexical(query)
-        return lexical.search(self._joined(), query, limit=limit, collection=collection, min_score=min_score)
+        return lexical.search(self._joined(), query, limit=limit, collection=collection, min_score=min_score, stem=self.stem)
 
     def search_vector(self, query: str, limit: int = 20, min_score: float = 0.3) -> DataFrame:
         """Best piece of each body for the query's vector, joined with the documents that share the body."""
@@ -177,7 +178,7 @@ class Corpus:
         """A query document, or a plain query that is expanded and searched in both ways."""
         parsed = query_document.parse(text)
         docs = self._joined()
-        lex = lambda q: lexical.search(docs, q)
+        lex = lambda q: lexical.search(docs, q, stem=self.stem)
         sem = lambda q: self.search_vector(q, min_score=-1.0)
         if parsed:
             return fusion.structured(lex, sem, parsed.searches, docs, limit=limit, skip_rerank=skip_rerank, scorer=self.reranker)

@@ -93,7 +93,7 @@ def analyse(docs: DataFrame, fields: dict[str, str], stem: bool = False) -> Data
     return docs.withColumns(strings)
 
 
-def bm25(docs: DataFrame, query: str, keep: list[str], fields: dict[str, str], *, weights: dict[str, float] | None = None, stem: bool = False, staged: bool = True) -> DataFrame:
+def bm25(docs: DataFrame, query: str, keep: list[str], fields: dict[str, str], *, weights: dict[str, float] | None = None, stem: bool = True, staged: bool = True) -> DataFrame:
     """Matching rows with ``raw`` (the BM25 sum, higher is better) and ``score`` = raw / (1 + raw).
 
     Every positive phrase must occur in some field, no negated one in any. A phrase's document frequency counts rows that hold
@@ -133,18 +133,19 @@ def bm25(docs: DataFrame, query: str, keep: list[str], fields: dict[str, str], *
     return counted.where(every & ~F.col("__no")).select(*keep, raw.alias("raw")).withColumn("score", F.col("raw") / (1 + F.col("raw")))
 
 
-def index(docs: DataFrame, keep: list[str] = ["doc_id", "source"], fields: dict[str, str] = FIELDS, stem: bool = False) -> DataFrame:
-    """The active documents' token strings as a staged table: analysed once, it serves any number of searches."""
+def index(docs: DataFrame, keep: list[str] = ["doc_id", "source"], fields: dict[str, str] = FIELDS, stem: bool = True) -> DataFrame:
+    """The active documents' token strings as a staged table: analysed once, it serves any number of searches with its ``stem``."""
     active = docs.where("active") if "active" in docs.columns else docs
     read = analyse(spread(active.select(*dict.fromkeys([*keep, *fields.values()]))), fields, stem)
     return stage_table(read.select(*keep, *(f"__{f}" for f in fields)), "index")
 
 
-def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | None = None, overfetch: int = 10, exact_filter: bool = False, min_score: float = 0.0, stem: bool = False, id_col: str = "doc_id", collection_col: str = "source") -> DataFrame:
+def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | None = None, overfetch: int = 10, exact_filter: bool = False, min_score: float = 0.0, stem: bool = True, id_col: str = "doc_id", collection_col: str = "source") -> DataFrame:
     """Top rows of active documents, or of an ``index`` of them: (id, collection, raw, score, rank).
 
     With a collection, ``limit * overfetch`` best rows are taken first and filtered then, so fewer than ``limit`` may come back;
-    ``exact_filter`` filters first. Equal scores are ordered by id.
+    ``exact_filter`` filters first. Equal scores are ordered by id. Texts and query terms, prefixes too, are stemmed unless
+    ``stem`` is False; an index must have been made with the same ``stem``.
     """
     keep = [id_col, collection_col]
     active = docs.where("active") if "active" in docs.columns else docs

@@ -189,10 +189,10 @@ _WORDS = ["harbour", "telescope", "glossary", "kettle", "notebook"]
 
 def _judged(spark, d):
     docs = _read(spark, d, "documents")
-    searchable = lexical.index(docs)
+    searchable = lexical.index(docs, stem=False)
     results = expected = None
     for w in _WORDS:
-        r = lexical.search(searchable, w, limit=10).join(docs.select("doc_id", "path"), "doc_id").select(F.lit(w).alias("query_id"), "rank", F.col("path").alias("file"))
+        r = lexical.search(searchable, w, limit=10, stem=False).join(docs.select("doc_id", "path"), "doc_id").select(F.lit(w).alias("query_id"), "rank", F.col("path").alias("file"))
         e = docs.where(F.col("active") & F.lower("title").contains(w)).select(F.lit(w).alias("query_id"), F.upper(F.concat(F.lit("/"), "path")).alias("file"))
         results, expected = (r, e) if results is None else (results.unionByName(r), expected.unionByName(e))
     return results, expected
@@ -336,7 +336,7 @@ def log_tail(spark, d):
 def result_formats(spark, d):
     """Search results as csv and files lines."""
     docs = _read(spark, d, "documents")
-    top = lexical.search(docs, "harbour telescope", limit=10).join(docs.select("doc_id", "hash", "path", "title"), "doc_id")
+    top = lexical.search(docs, "harbour telescope", limit=10, stem=False).join(docs.select("doc_id", "hash", "path", "title"), "doc_id")
     r = top.select("rank", "score", F.left("hash", F.lit(6)).alias("docid"), F.col("path").alias("file"), F.concat("title", F.lit(', "x"')).alias("title"), F.lit("").alias("context"), F.lit("a\nb").alias("snippet"))
     return sinks.format_rows(r, "csv").unionByName(sinks.format_rows(r, "files"))
 

@@ -42,7 +42,7 @@ def _search_query(name: str):
     text, options = SEARCHES[name]
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return _ranked(lexical.search(documents(spark, d), text, **options))
+        return _ranked(lexical.search(documents(spark, d), text, stem=False, **options))
 
     run.__doc__ = f"BM25 search for {text!r} over path, title and body of active documents."
     return run
@@ -51,7 +51,7 @@ def _search_query(name: str):
 def bm25_display(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: BM25 top rows with display columns."""
     docs = documents(spark, d)
-    top = lexical.search(docs, "harbour telescope", limit=10)
+    top = lexical.search(docs, "harbour telescope", limit=10, stem=False)
     shown = docs.select("doc_id", virtual_path(F.coalesce("source", F.lit("none")), F.col("path")).alias("file"), docid(F.coalesce("hash", F.lit(""))).alias("docid"), "title")
     return shown.join(F.broadcast(top.select("doc_id", "rank", "score")), "doc_id").select("doc_id", "file", "docid", "title", "rank", F.round("score", 6).alias("score"))  # ten rows
 
@@ -116,8 +116,8 @@ _LISTS = [("harbour telescope", 2.0), ("harbour", 1.0), ("telescope", 1.0)]
 
 
 def _stacked(spark: SparkSession, d: str) -> DataFrame:
-    docs = lexical.index(documents(spark, d))
-    return fusion.stack_lists([lexical.search(docs, q) for q, _ in _LISTS], "doc_id", [w for _, w in _LISTS], ["fts"] * 3)
+    docs = lexical.index(documents(spark, d), stem=False)
+    return fusion.stack_lists([lexical.search(docs, q, stem=False) for q, _ in _LISTS], "doc_id", [w for _, w in _LISTS], ["fts"] * 3)
 
 
 def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
@@ -142,23 +142,23 @@ def position_blend(spark: SparkSession, d: str) -> DataFrame:
 
 def hybrid_skip_rerank(spark: SparkSession, d: str) -> DataFrame:
     """The hybrid pipeline without reranking: score is 1 / rank."""
-    docs = lexical.index(documents(spark, d))
-    find = lambda q: lexical.search(docs, q)
+    docs = lexical.index(documents(spark, d), stem=False)
+    find = lambda q: lexical.search(docs, q, stem=False)
     r = fusion.hybrid(find, find, "harbour telescope", [fusion.Search("lex", "harbour"), fusion.Search("vec", "telescope")], skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))
 
 
 def structured_first_list_boost(spark: SparkSession, d: str) -> DataFrame:
     """Typed searches: the first non-empty list counts double."""
-    docs = lexical.index(documents(spark, d))
-    find = lambda q: lexical.search(docs, q)
+    docs = lexical.index(documents(spark, d), stem=False)
+    find = lambda q: lexical.search(docs, q, stem=False)
     r = fusion.structured(find, find, [fusion.Search("lex", "zzzznothing"), fusion.Search("lex", "telescope"), fusion.Search("vec", "harbour")], skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))
 
 
 def strong_signal(spark: SparkSession, d: str) -> DataFrame:
     """Best lexical score and its lead over the second."""
-    r = gap_to_runner_up(lexical.search(documents(spark, d), "harbour telescope"), "score")
+    r = gap_to_runner_up(lexical.search(documents(spark, d), "harbour telescope", stem=False), "score")
     return r.select(F.round("top", 6).alias("top"), F.round("lead", 6).alias("lead"), ((F.col("top") >= fusion.STRONG_SCORE) & (F.col("lead") >= fusion.STRONG_LEAD)).alias("strong"))
 
 

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpuskiln.corpus import Corpus
+from corpuskiln.operators import lexical
 from corpuskiln.plans import graph_queries
 from test_entry import _rows
 
@@ -61,3 +63,18 @@ def test_more_than_four_are_expected(spark, documents):
     assert graph_queries.unmatched_files(spark, d).count() == 2  # ten are found
     m = graph_queries.precision_recall_mrr(spark, d).first()
     assert (m["hits_at_k"], m["precision_at_k"], m["recall"]) == (10, 1.0, round(10 / 12, 6))
+
+
+def test_inflected_words_are_found(spark, documents, tmp_path):
+    d = documents((1, "A", "one notebook"), (2, "B", "two notebooks"), (3, "C", "calibration"), (4, "D", "kettle"))
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for searched, plain in ((docs, docs), (lexical.index(docs), lexical.index(docs, stem=False))):
+        found = lambda q, **o: {r["doc_id"] for r in lexical.search(plain if o else searched, q, **o).collect()}
+        assert found("notebooks") == {1, 2} and found("calibrating") == {3} and found("notebooks", stem=False) == {2}
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.md").write_text("# A\nA telescope.")
+    for stem in (True, False):
+        c = Corpus(spark, str(tmp_path / f"corpus{stem}"), stem=stem)
+        c.add_collection("notes", str(tmp_path / "src"))
+        c.update()
+        assert c.search_lex("telescopes").count() == c.search("lex: telescopes", skip_rerank=True).count() == int(stem)

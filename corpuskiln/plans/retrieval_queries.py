@@ -62,8 +62,8 @@ def bm25_stemmed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_frequency(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and occurrences of each term of all titles."""
-    return lexical.document_frequency(documents(spark, d), "title")
+    """Documents and occurrences of each term of all texts."""
+    return lexical.document_frequency(spread(documents(spark, d)), "text")
 
 
 def token_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -107,8 +107,8 @@ def vector_min_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Deterministic vectors of all documents' titles, as text."""
-    v = vectors.hash_vector(F.coalesce("title", F.lit("")))
+    """Deterministic vectors of all documents' texts, as text."""
+    v = vectors.hash_vector(F.coalesce("text", F.lit("")))
     return documents(spark, d).select("doc_id", F.array_join(F.transform(v, lambda x: F.format_number(x, 6)), " ").alias("vector"))
 
 
@@ -133,10 +133,10 @@ def rrf_trace(spark: SparkSession, d: str) -> DataFrame:
 
 
 def position_blend(spark: SparkSession, d: str) -> DataFrame:
-    """Fused rank blended with the default reranker over the titles."""
+    """Fused rank blended with the default reranker over the texts."""
     docs = documents(spark, d)
     ranked = with_rank(fusion.fuse(_stacked(spark, d)), fusion.fused_order())
-    scored = fusion.lexical_rerank(docs.select(F.col("doc_id").alias("file"), "title").join(F.broadcast(ranked), "file"), "title", "harbour telescope")  # sixty rows at most
+    scored = fusion.lexical_rerank(docs.select(F.col("doc_id").alias("file"), "text").join(F.broadcast(ranked), "file"), "text", "harbour telescope")  # sixty rows at most
     return fusion.blend(scored, "rank", "rerank_score").select(F.col("file").alias("doc_id"), "rank", F.round("rerank_score", 6).alias("rerank_score"), F.round("blended", 6).alias("blended"))
 
 

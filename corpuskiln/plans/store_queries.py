@@ -265,16 +265,14 @@ def virtual_path_parse(spark, d):
 
 
 def content_hashes(spark, d):
-    """Hashes of the titles in the three serializations."""
-    t = F.coalesce("title", F.lit(""))
-    return _read(spark, d, "documents").select("doc_id", F.sha2(t, 256).alias("plain"), T.content_hash(t).alias("wrapped"), T.spaced_json_hash([("title", t), ("path", F.col("path"))]).alias("spaced"))
+    """Hashes of the texts in the three serializations."""
+    t = F.coalesce("text", F.lit(""))
+    return _read(spark, d, "documents").select("doc_id", F.sha2(t, 256).alias("plain"), T.content_hash(t).alias("wrapped"), T.spaced_json_hash([("text", t), ("path", F.col("path"))]).alias("spaced"))
 
 
 def sensitive_scan(spark, d):
-    """Reason for which a text is sensitive, with secrets written into the text by row."""
-    docs = _read(spark, d, "documents")
-    put = F.element_at(F.array(*(F.lit(x) for x in (" apiKey = 1", " Bearer abcdefgh12", " at /Users/me/x", " sk-abcdefgh1", " plain", " query.log"))), (F.col("doc_id") % 6 + 1).cast("int"))
-    return docs.select("doc_id", T.sensitive_reason(F.concat(F.coalesce("title", F.lit("")), put)).alias("reason"))
+    """Reason for which a document's title, else its text, is sensitive; null if neither is."""
+    return _read(spark, d, "documents").select("doc_id", F.coalesce(T.sensitive_reason(F.col("title")), T.sensitive_reason(F.col("text"))).alias("reason"))
 
 
 def failure_class(spark, d):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from corpuskiln.corpus import Corpus
 from corpuskiln.operators import lexical
-from corpuskiln.plans import graph_queries
+from corpuskiln.plans import graph_queries, store_queries
 from test_entry import _rows
 
 DOCUMENT = "doc_id bigint, document_id string, source string, path string, title string, text string, hash string, n_chars bigint, active boolean"
@@ -78,3 +78,17 @@ def test_inflected_words_are_found(spark, documents, tmp_path):
         c.add_collection("notes", str(tmp_path / "src"))
         c.update()
         assert c.search_lex("telescopes").count() == c.search("lex: telescopes", skip_rerank=True).count() == int(stem)
+
+
+@pytest.mark.parametrize("name", ["document_frequency", "hash_vectors", "content_hashes", "position_blend"])
+def test_texts_count_instead_of_titles(spark, data, name):
+    """The registered SQL is still over titles; over texts it gives the query's rows."""
+    df, sql = entry.queries()[name](spark, data), entry.oracle_sql()[name]
+    over_texts = sql.replace("contains(lower(title)", "contains(lower(text)") if name == "position_blend" else sql.replace("coalesce(title, '')", "coalesce(text, '')").replace('"title": ', '"text": ')
+    assert over_texts != sql and _rows(df.columns, df.collect()) == _in_duckdb(data, over_texts)
+
+
+def test_secrets_in_texts_are_found(spark, documents):
+    d = documents((1, "A", "filler " * 900 + "apiKey = 1"), (2, "Bearer abcdefgh12", "plain"), (3, "C", "at /Users/me/x"), (4, "D", "plain"), (9, "E", "plain"))
+    got = {r["doc_id"]: r["reason"] for r in store_queries.sensitive_scan(spark, d).collect()}
+    assert got == {1: "credential", 2: "bearer_token", 3: "absolute_path", 4: None, 9: None}

@@ -1,6 +1,7 @@
 """Mixing sources to target shares of the tokens, with capped repetition, when texts belong to several sources.
 
-Method. Rows with one text are one document whose *membership pattern* is the set of its sources. Tokens are summed by pattern
+Method. Rows with one text are one document whose *membership pattern* is the set of its sources; where sources hold a text
+several times, their second rows are a second document, and so on, which ranks as a repetition of the first. Tokens are summed by pattern
 (few rows, whatever the corpus holds), and a min-cost flow routes each pattern's tokens to its sources: the quotas are the
 target shares of the largest total that the caps allow, and the k-th repetition of a pattern costs k, so fresh text is used
 before any is repeated. A pattern's flow is laid out on the line of its documents' tokens, wrapping around: each source takes a
@@ -15,10 +16,13 @@ from collections import deque
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.operators.ranking import running_total
 from corpuskiln.session import stage_table
 
 #: Documents of a hash bucket (expected): bounds the window that one task sorts.
 BUCKET_ROWS = 100_000
+#: From this copy of a text in a source on, further ones count as that many.
+LEVELS = 4
 
 
 def min_cost_flow(nodes: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
@@ -54,11 +58,15 @@ def min_cost_flow(nodes: int, arcs: list[tuple[int, int, int, int]], source: int
             v = to[by[v] ^ 1]
 
 
+def _by_name(pattern: tuple) -> tuple[str, ...]:
+    return tuple(map(str, pattern))
+
+
 def route(patterns: dict[tuple[str, ...], int], targets: dict[str, tuple[float, int]], total: int | None = None) -> tuple[dict[tuple[tuple[str, ...], str], int], int]:
     """(tokens of each (pattern, source), total): the largest total at which every source gets its share, or ``total`` if less.
 
     A target source without any text can get nothing; the others then share the total in proportion. Non-positive shares and
-    caps count as no target.
+    caps count as no target. A pattern may end in a number n: its documents are the n-th copies of their texts.
     """
     capacity = {s: cap * sum(w for p, w in patterns.items() if s in p) for s, (share, cap) in targets.items() if share > 0 and cap > 0}
     used = {s: targets[s][0] for s, c in capacity.items() if c > 0}
@@ -67,12 +75,13 @@ def route(patterns: dict[tuple[str, ...], int], targets: dict[str, tuple[float,
     scale = sum(used.values())
     most = min(int(capacity[s] * scale / share) for s, share in used.items())
     total = most if total is None else min(total, most)
-    names, keys = sorted(used), sorted(patterns)
+    names, keys = sorted(used), sorted(patterns, key=_by_name)
     start, end = 0, 1 + len(keys) + len(names)
     arcs = []
     for i, p in enumerate(keys):
         reach = sum(targets[s][1] for s in p if s in used)
-        arcs += [(start, 1 + i, patterns[p], k) for k in range(reach)]
+        copy = p[-1] - 1 if isinstance(p[-1], int) else 0
+        arcs += [(start, 1 + i, patterns[p], k + copy) for k in range(reach)]
     first = len(arcs)
     links = [(i, s) for i, p in enumerate(keys) for s in p if s in used]
     arcs += [(1 + i, 1 + len(keys) + names.index(s), patterns[keys[i]] * targets[s][1], 0) for i, s in links]
@@ -81,36 +90,45 @@ def route(patterns: dict[tuple[str, ...], int], targets: dict[str, tuple[float,
     return {(keys[i], s): flow[first + n] for n, (i, s) in enumerate(links) if flow[first + n] > 0}, total
 
 
+def _pattern(text: str) -> tuple:
+    sources, _, copy = text.partition("\x1e")
+    return (*sources.split("\x1f"), *([int(copy)] if copy else []))
+
+
 def mix_sources(sized: DataFrame, targets: DataFrame, key: str, source: str, size: str, cluster: str, *, total: int | None = None, seed: int = 7, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
     """(chosen, report). ``chosen`` is (key, source, n_tokens, uses); ``report`` a row per target source with the share reached.
 
-    ``targets`` (source, target_share, max_repeats) is small by nature. Rows of ``cluster`` equal are one document; where a
-    source holds it several times, its row of smallest key stands for it, so no row is used more than its source's cap. Rows
+    ``targets`` (source, target_share, max_repeats) is small by nature. Rows equal in ``cluster`` and
+    tokens are one document, the n-th such rows of the sources (by key) a document each, so every row of a source may be used
+    as often as its cap allows and no row more. Rows
     without tokens or source take no part; a row without cluster is a document of its own. Shares are met up to one document per pattern and source. Same seed, same choice.
     """
     spark = sized.sparkSession
     wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select("source", "target_share", "max_repeats").collect() if r["source"] is not None}
     rows = sized.where((F.col(size) > 0) & F.col(source).isin(list(wanted))).select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(size).cast("bigint").alias("n"), F.coalesce(F.col(cluster).cast("string"), F.concat(F.lit("row "), F.col(key).cast("string"))).alias("c"))
-    per_source = rows.groupBy("c", "s").agg(F.min("k").alias("k"), F.max("n").alias("n"))  # pre-aggregated map-side: a hot text is a row per source
-    documents = per_source.groupBy("c").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("s", "k"))).alias("members"))  # at most one member per target source
-    documents = stage_table(documents.withColumn("pattern", F.array_join(F.transform("members", lambda m: m["s"]), "\x1f")), "mix")
-    summed = documents.groupBy("pattern").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("d")).collect()  # at most 2**sources rows
-    patterns = {tuple(r["pattern"].split("\x1f")): r["w"] for r in summed}
+    rows = rows.withColumn("c", F.concat_ws("\x1f", "n", "c")).withColumn("g", F.concat_ws("\x1f", "s", "c"))
+    rows = running_total(stage_table(rows, "mix_rows"), "g", ["k"], F.lit(1), "copy")  # a hot text is numbered by many tasks
+    documents = rows.groupBy("c", "copy").agg(F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("s", "k"))).alias("members"))  # equal n; at most one member per target source
+    level = F.least("copy", F.lit(LEVELS))
+    documents = stage_table(documents.withColumn("pattern", F.concat(F.array_join(F.transform("members", lambda m: m["s"]), "\x1f"), F.when(level > 1, F.concat(F.lit("\x1e"), level)).otherwise(""))), "mix")
+    summed = documents.groupBy("pattern").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("d")).collect()  # at most LEVELS * 2**sources rows
+    patterns = {_pattern(r["pattern"]): r["w"] for r in summed}
+    names = {_pattern(r["pattern"]): r["pattern"] for r in summed}
     flows, reached = route(patterns, wanted, total)
 
     spans, at = [], {}
-    for (p, s), tokens in sorted(flows.items()):
+    for (p, s), tokens in sorted(flows.items(), key=lambda f: (_by_name(f[0][0]), f[0][1])):
         begin = at.get(p, 0)
         at[p] = begin + tokens
-        spans.append(("\x1f".join(p), s, begin, tokens, patterns[p]))
+        spans.append((names[p], s, begin, tokens, patterns[p]))
     plan = spark.createDataFrame(spans, "pattern string, s string, begin bigint, tokens bigint, w bigint")
     buckets = max(1, -(-max([r["d"] for r in summed], default=1) // bucket_rows))
-    laid = documents.withColumn("h", F.xxhash64("c", F.lit(seed))).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
+    laid = documents.withColumn("h", F.xxhash64("c", "copy", F.lit(seed))).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
     before = laid.groupBy("pattern", "bucket").agg(F.sum("n").alias("b")).withColumn("before", F.sum("b").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    inside = F.sum("n").over(Window.partitionBy("pattern", "bucket").orderBy("h", "c").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("n").over(Window.partitionBy("pattern", "bucket").orderBy("h", "c", "copy").rowsBetween(Window.unboundedPreceding, -1))
     placed = laid.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before.select("pattern", "bucket", F.coalesce("before", F.lit(0)).alias("before")), ["pattern", "bucket"])
     placed = placed.select("pattern", "n", (F.col("before") + F.col("inside")).alias("offset"), F.explode("members").alias("m"))
-    used = placed.join(F.broadcast(plan), (placed["pattern"] == plan["pattern"]) & (placed["m.s"] == plan["s"])).select(  # the plan has at most sources * 2**sources rows
+    used = placed.join(F.broadcast(plan), (placed["pattern"] == plan["pattern"]) & (placed["m.s"] == plan["s"])).select(  # the plan has at most LEVELS * sources * 2**sources rows
         F.col("m.k").alias("k"), plan["s"].alias("s"), "n",
         (F.ceil((F.col("begin") + F.col("tokens") - F.col("offset")) / F.col("w")) - F.greatest(F.ceil((F.col("begin") - F.col("offset")) / F.col("w")), F.lit(0))).cast("int").alias("uses"),
     ).where("uses > 0")

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from corpuskiln.corpus import Corpus
+from corpuskiln.llm import mixing
 from corpuskiln.operators import lexical
 from corpuskiln.plans import graph_queries, store_queries
 from test_entry import _rows
@@ -92,3 +93,15 @@ def test_secrets_in_texts_are_found(spark, documents):
     d = documents((1, "A", "filler " * 900 + "apiKey = 1"), (2, "Bearer abcdefgh12", "plain"), (3, "C", "at /Users/me/x"), (4, "D", "plain"), (9, "E", "plain"))
     got = {r["doc_id"]: r["reason"] for r in store_queries.sensitive_scan(spark, d).collect()}
     assert got == {1: "credential", 2: "bearer_token", 3: "absolute_path", 4: None, 9: None}
+
+
+def test_every_row_of_a_text_is_used(spark):
+    rows = [(i, "a", 10, 1) for i in range(30)] + [(100 + i, "a", 10, 100 + i) for i in range(60)] + [(1000 + i, "b", 10, 1000 + i) for i in range(500)] + [(2000, "a", 12, 1), (2001, "b", 10, 1)]
+    df = spark.createDataFrame(rows, "id bigint, src string, n bigint, c bigint")
+    t = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    chosen, report = mixing.mix_sources(df, t, "id", "src", "n", "c")
+    by, own = {r["source"]: r for r in report.collect()}, {i: n for i, _, n, _ in rows}
+    assert by["a"]["planned_total"] == 2 * 2 * (90 * 10 + 12)
+    used = chosen.where("source = 'a'").collect()
+    assert len(used) == 91 and all(r["uses"] == 2 and r["n_tokens"] == own[r["id"]] for r in used)
+    assert abs(by["b"]["share"] - 0.5) < 0.01

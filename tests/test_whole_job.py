@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from corpuskiln.corpus import Corpus
-from corpuskiln.llm import mixing
+from corpuskiln.llm import mixing, pair_defects
 from corpuskiln.operators import lexical
 from corpuskiln.plans import graph_queries, store_queries
 from test_entry import _rows
@@ -105,3 +105,8 @@ def test_every_row_of_a_text_is_used(spark):
     used = chosen.where("source = 'a'").collect()
     assert len(used) == 91 and all(r["uses"] == 2 and r["n_tokens"] == own[r["id"]] for r in used)
     assert abs(by["b"]["share"] - 0.5) < 0.01
+
+
+@pytest.mark.parametrize("text", ["I'm sorry, but this falls to a doctor.", "Das kann ein Arzt besser sagen."])
+def test_refusals_that_open_without_a_hint(text):
+    assert pair_defects._votes("flu dose", [{"type": "hyde", "text": text}])["r_opening"] == 1

@@ -1,13 +1,15 @@
 """Broken prompt and response pairs: noisy labelling functions per defect, joined by an expectation-maximization label model.
 
-Method. For each defect a handful of labelling functions vote +1 (defect), -1 (not) or 0 (abstains). A two-class naive Bayes
-label model, whose prior and vote tables are fitted by expectation-maximization on the counts of vote patterns, turns a
-pattern into a posterior. A pair keeps every defect whose posterior exceeds that defect's cutoff; cutoffs are chosen on a
-small set of labelled pairs that runs through the same functions.
+Method. For each defect a handful of labelling functions vote +1 (defect), -1 (not) or 0 (abstains). A two-class label model,
+whose prior and vote tables are fitted by expectation-maximization on the counts of vote patterns, turns a pattern into a
+posterior. Functions that restate each other within a class share their weight, so one fact does not count twice. A pair keeps
+every defect whose posterior exceeds that defect's cutoff; cutoffs are chosen on one half of a small set of labelled pairs that
+runs through the same functions and are measured on the other half (``cutoff_report``).
 
 Counts that functions need (in which contexts do sentences end, which words exist, which language do a query's words get
-answered in) cover all pairs and are joined, never collected. The driver holds vote patterns only: at most 3**functions a
-defect.
+answered in) cover all pairs and are joined, never collected. Only contexts of answers that break off are counted: a Bloom
+filter of fixed size keeps most others from being shuffled, and the join drops the rest. The driver holds vote patterns only: at
+most 3**functions a defect.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.llm.bloom import holds, merged_filters
+from corpuskiln.llm.shingles import mix, word_ids
 from corpuskiln.session import ship_package, spread, stage_table
 
 DEFECTS = {"empty": ["e_none", "e_value", "e_letters"], "truncated": ["t_end", "t_context", "t_word", "t_open", "t_function"], "refusal": ["r_phrase", "r_opening", "r_lexicon", "r_short", "r_rest"], "copy": ["c_words", "c_new", "c_share"], "language": ["l_function", "l_learned", "l_script"]}
@@ -41,7 +45,7 @@ FUNCTION_WORDS = {
     "fr": "le la les de du des en et un une à au aux est qui que se pour par avec dans ne pas sur selon jusqu avant a été doit plus ce cette qui pourquoi l d s",
 }
 _FUNCTION = {lang: set(words.split()) for lang, words in FUNCTION_WORDS.items()}
-_SPOKEN = {w: [lang for lang in _FUNCTION if w in _FUNCTION[lang]] for known in _FUNCTION.values() for w in known}
+_SPOKEN = {w: tuple(lang for lang in _FUNCTION if w in _FUNCTION[lang]) for known in _FUNCTION.values() for w in known}
 # Words that cannot end a sentence.
 NOT_LAST = set("the a an of to in and for with by on at from or but our their its his her which who that than as into between because is are was were be has have el la los las de del en y un una que por con para su al o der die das den dem des und im ein eine einen einem einer zu mit von auf für laut le les du des et une à au aux qui pour par avec dans selon l d".split())
 # Ways to decline, by language (matched on lower-case text with straight apostrophes).
@@ -57,155 +61,200 @@ DECLINE = re.compile(
     r"|\bje ne (peux|suis|souhaite|veux) pas|je ne saurais|il m'est impossible|m'est impossible|je suis désolée?,? mais|en tant que modèle|je n'ai pas accès|je préfère ne pas"
     r"|抱歉|对不起|无法(回答|提供|协助|帮助)|不能(回答|提供|协助|帮助)|作为(一个)?(语言模型|人工智能)"
 )
-# Pieces of text of which every way to decline holds one; a cheap test before the pattern.
-HINTS = "not|n't|no |declin|refus|unable|rather|model|guideline|polic|rules|lack|way of|told|asked|instructed|nothing|pass on|outside|beyond|permitted|allowed|something|prefer|as a|consult|siento|puedo|prefiero|modelo|niego|debo|posible|quiero|alcance|autoriz|acceso|nicht|kein|leid|ablehnen|passen|bedaure|sprachmodell|ne |désolé|impossible|modèle|préf|pas |saurai|dois|regrette|puis|pourrai|抱歉|对不起|无法|不能|作为".split("|")
+# Pieces of text of which every way to decline holds one; a cheap test before the pattern. The pattern's first branch
+# needs a first-person word besides, so its pieces are apart.
+FIRST_BRANCH = "cannot|can not|can't|won't|will not|declin|refus|n't able|not able|unable|rather not|do not|don't|have no|lack".split("|")
+HINTS = "decline to|rather not|able to |can not |cannot |could not|couldnot|don't feel|against my|as an ai|as a ai|model|only a |consult a|way of |not possible|not be app|not to|nothing |pass on|outside|beyond|no informa|no answer|no detail|not permit|not allow|not in a|something |fer not|like not|siento|puedo|podemos|prefiero|niego|debo|posible|quiero|alcance|autoriz|permitido|dispongo|sería|acceso|estoy|nicht|keine|nichts|ablehnen|passen|bedaure|leid|sprachmodell|ésolé|impossible|pas |préf|dois |regrette|saurai|puis |mesure|possible|抱歉|对不起|无法|不能|作为".split("|")
+# Words of which every way to decline but the Chinese ones holds one, and words with which OPENING can begin.
+HINT_WORDS = set("cannot not t decline declines declined declining refuse refuses refused unable rather no lack able model consult only comfortable against ai way nothing pass outside beyond something prefer like siento puedo podemos prefiero niego debo posible quiero alcance autorizado autorizada permitido dispongo sería acceso estoy nicht keine keinen nichts ablehnen passen bedaure leid sprachmodell désolé désolée impossible pas préfère préférerais dois regrette saurai saurais puis pourrai mesure possible modelo modèle guidelines policy policies rules information answer details detail".split())
+OPENING_WORDS = set("hello hi thanks thank unfortunately regrettably apologies please i id sorry not unable that this as lo no como leider dazu das diese als dabei tut es je il désolé en".split())
 OPENING = re.compile(r"^\W*((hello|hi|thanks for asking|thank you for asking|unfortunately|regrettably|apologies|please)\W+)?((i'm|i am) (so |very |really )?sorry,? but|sorry,? (but )?(i|we) |i (cannot|can't|won't|must|don't|do not|have no|am (not able|unable|only)|'?d rather|would rather)|not able to|unable to|that is something i|this request|as an? (ai|language|text)|lo siento|no (puedo|me es)|como modelo|leider|dazu|das kann|diese frage|als sprachmodell|dabei|tut mir|es tut mir|je (ne|suis désolé)|il m'est|désolé|en tant que|抱歉|对不起)", re.I)
-# Words of which a refusal in the first person holds two or more.
-FIRST_PERSON = re.compile(r"\b(i|me|my|i'm|i'd|i've|mi|yo|me|mich|mir|ich|je|j'ai|m'est|moi|eu|io)\b|我")
+# Words for the first person, and words of which a refusal in the first person holds three or more.
+FIRST_PERSON = set("i me my mi yo mich mir ich je j m moi eu io".split())
 REFUSAL_WORDS = re.compile(r"\b(not|no|cannot|can't|won't|nothing|unable|declin\w+|refus\w+|sorry|regret\w*|apolog\w+|unfortunately|permitted|allowed|possible|appropriate|pass|outside|guidelines|polic\w+|rather|told|comfortable|lack|model|appreciate|however|discuss|respond|comment|request|question|lamento|siento|puedo|posible|permitido|responder|pregunta|acceso|disculp\w*|leider|nicht|keine?n?|möglich|frage|darf|beantworten|zugriff|bedaur\w+|désolée?|peux|pas|impossible|permis|répondre|question|accès|regrette|malheureusement)\b|抱歉|无法|不能|不便|回答|问题")
 # Polite sentences that may stand beside a refusal.
 POLITE = re.compile(r"^\W*(hello|hi|thanks for asking|thank you for asking|let me know|is there anything else|please (try|check|contact|consult)|you may want to|you could|feel free|gracias|puede consultar|hay algo más|danke|gibt es sonst|merci|y a-t-il|vous pouvez|sie können|请)", re.I)
 
 _INVISIBLE = re.compile(r"[\s​-‏⁠﻿­⠀ㅤ]+")
-_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
-_TERMINAL = re.compile(r"[.!?。！？](['\"”’»)\]}*_>」』]|\s)*$|[.!?。！？]\s*\([^()]*\)\s*$")
-_BROKEN = re.compile(r"(\.\.\.|…|[,;:，；：、&+/\\(\[{\-–—])\s*$")
+_SENTENCE = re.compile(r"(?<=[.!?。！？])\s+")
+# What may follow a sentence's end, what ends a sentence, and what breaks one off.
+CLOSERS, TERMINAL, OPEN_END = "'\"”’»)]}*_>」』", ".!?。！？", "…,;:，；：、&+/\\([{-–—"
+_BRACKETED = re.compile(r"[.!?。！？]\s*\([^()]*\)$")
+_DOTS = re.compile(r"\.\.\.\W*$")
 # Unicode ranges of scripts other than Latin; a script counts as a language.
-SCRIPTS = {name: re.compile(f"[{ranges}]") for name, ranges in {"ja": "\u3040-\u30ff", "zh": "\u4e00-\u9fff", "ko": "\uac00-\ud7af", "cyrillic": "\u0400-\u052f", "arabic": "\u0600-\u06ff", "greek": "\u0370-\u03ff", "hebrew": "\u0590-\u05ff", "devanagari": "\u0900-\u097f", "thai": "\u0e00-\u0e7f"}.items()}
+RANGES = {"ja": "\u3040-\u30ff", "zh": "\u4e00-\u9fff", "ko": "\uac00-\ud7af", "cyrillic": "\u0400-\u052f", "arabic": "\u0600-\u06ff", "greek": "\u0370-\u03ff", "hebrew": "\u0590-\u05ff", "devanagari": "\u0900-\u097f", "thai": "\u0e00-\u0e7f"}
+SCRIPTS = {name: re.compile(f"[{ranges}]") for name, ranges in RANGES.items()}
+_FOREIGN = re.compile(f"[{''.join(RANGES.values())}]")
 _HAN = SCRIPTS["zh"]
-_ENDS = frozenset(".!?。！？")
 #: Longest context, in tokens, that is looked up for a sentence end, and how often it must have been seen.
 CONTEXT, SEEN = 6, 4
-#: Pairs whose contexts a worker holds at once.
-COUNTED = 2000
+#: Bits of the filter of contexts asked for: a fixed 4 MB, whatever the number of pairs. It saves shuffling, no result depends on it.
+ASKED_BITS = 1 << 25
+#: Most frequent contexts and words that are joined by broadcast instead of by shuffle: no key left to shuffle holds more than 1 / HOT of the rows.
+HOT = 256
+#: Votes that need the pair alone, in the order in which ``_votes`` gives them.
+ALONE = ["e_none", "e_value", "e_letters", "c_words", "c_new", "c_share", "r_phrase", "r_opening", "r_lexicon", "r_short", "r_rest", "t_end", "t_open", "t_function", "l_function", "l_script"]
 
 
-def _parts(output) -> tuple[list[str | None], bool]:
-    """The answer's texts and whether they are a hyde line's."""
-    lines = [] if output is None else [x for x in output if x is not None]
-    hyde = [x["text"] for x in lines if x["type"] == "hyde"]
-    return (hyde, True) if hyde else ([x["text"] for x in lines], False)
+_SIGN = {-1: "0", 0: "1", 1: "2"}
 
 
 def _bare(text: str | None) -> str:
-    return _INVISIBLE.sub(" ", unicodedata.normalize("NFC", text or "")).strip()
+    if not text:
+        return ""
+    if text.isascii():
+        return " ".join(text.split())
+    return _INVISIBLE.sub(" ", text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)).strip()
 
 
 def _no_value(text: str) -> bool:
     core = text.strip(" \"'`.,;:!?()[]{}<>-–—_*#/\\|=~…").lower()
-    return not any(c.isalnum() for c in core) or core in NO_VALUE
+    return core in NO_VALUE or not any(c.isalnum() for c in core)
 
 
-def language_of(text: str) -> tuple[str | None, int]:
+def language_of(text: str, words: list[str] | None = None) -> tuple[str | None, int]:
     """The language whose function words lead, with the lead; another script's if it has a fifth of the letters (names may be Latin)."""
-    words = [w.lower() for w in _WORD.findall(text)]
-    letters = sum(map(len, words))
-    for script, marks in SCRIPTS.items():
-        if not text.isascii() and letters and 5 * len(marks.findall(text)) > letters:
-            return script, 9
-    votes = Counter(dict.fromkeys(_FUNCTION, 0))
-    for w in words:
-        votes.update(_SPOKEN.get(w, ()))
-    (best, n), (_, m) = votes.most_common(2)
+    words = _WORD.findall(text.lower()) if words is None else words
+    if not text.isascii() and _FOREIGN.search(text):
+        letters = sum(map(len, words))
+        for script, marks in SCRIPTS.items():
+            if letters and 5 * len(marks.findall(text)) > letters:
+                return script, 9
+    votes = dict.fromkeys(_FUNCTION, 0)
+    for languages, n in Counter(map(_SPOKEN.get, words)).items():
+        for language in languages or ():
+            votes[language] += n
+    best = max(votes, key=votes.__getitem__)
+    n = votes.pop(best)
+    m = max(votes.values())
     return (best, n - m) if n > m else (None, 0)
 
 
-def sentence_tokens(text: str) -> list[str]:
-    """Tokens for context counts: lower case, numbers as 0, capitalised words within a sentence as X."""
-    raw = _TOKEN.findall(text)
-    out = []
-    for i, t in enumerate(raw):
-        if t.isdigit():
-            out.append("0")
-        elif t[0].isalpha() and t[0].isupper() and i and raw[i - 1] not in ".!?。！？":
-            out.append("X")
-        else:
-            out.append(t.lower())
-    return out
-
-
-def _votes(query: str | None, output) -> dict:
-    """Votes that need the pair alone, and what the joins need."""
-    parts, hyde = _parts(output)
-    texts = [_bare(p) for p in parts]
+class _Tokens(dict):
+    """Numbers of tokens, and for each its 64-bit values as a word, at a sentence's start and within it, and whether it ends a sentence."""
+
+    def __init__(self):
+        self.values, self.table = [], np.zeros((0, 4), np.uint64)
+
+    def __missing__(self, token: str) -> int:
+        start = "0" if token.isdigit() else token.lower()
+        within = "X" if token[0].isalpha() and token[0].isupper() else start
+        self[token] = at = len(self.table) + len(self.values)
+        self.values.append((*word_ids([token, start, within]), int(token in TERMINAL)))
+        return at
+
+    def rows(self, tokens: list[str]) -> np.ndarray:
+        if len(self.table) > 1 << 20:
+            self.clear()
+            self.__init__()
+        at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        if self.values:
+            self.table, self.values = np.concatenate((self.table, np.array(self.values, np.uint64))), []
+        return self.table[at]
+
+
+_TOKENS = _Tokens()
+
+
+class Sentences:
+    """Tokens of several texts in one line. In contexts they count in lower case, numbers as 0 and capitalised words within a sentence as X."""
+
+    def __init__(self, texts: list[str]):
+        tokens, sizes = [], []
+        for text in texts:
+            got = _TOKEN.findall(text)
+            tokens += got
+            sizes.append(len(got))
+        sizes = np.array(sizes, np.int64)
+        table = _TOKENS.rows(tokens)
+        self.ends, self.words = np.cumsum(sizes), mix(table[:, 0])
+        self.position = np.arange(len(tokens)) - np.repeat(self.ends - sizes, sizes)
+        stop = table[:, 3] == 1
+        starts = self.position == 0
+        starts[1:] |= stop[:-1]
+        self.value = np.where(starts, table[:, 1], table[:, 2])
+        self.before_stop = np.append(stop[1:], False)
+        self.inner = np.ones(len(tokens), bool)
+        self.inner[self.ends[sizes > 0] - 1] = False
+
+    def contexts(self, at: np.ndarray, kept: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(positions, hashes) of the 1, 2, ... CONTEXT tokens that end at each position; with a filter only of those in it.
+
+        A context is only asked for together with its own shorter ends, so what fails the filter needs no longer context.
+        """
+        sums = np.zeros(len(at), np.uint64)
+        for n in range(1, CONTEXT + 1):
+            long = self.position[at] >= n - 1
+            at, sums = at[long], sums[long]
+            sums = sums + mix(self.value[at - n + 1] + np.uint64(n))
+            hashes = mix(sums + np.uint64(n))
+            if kept is not None:
+                found = holds(kept, hashes)
+                at, sums, hashes = at[found], sums[found], hashes[found]
+            yield at, hashes
+
+
+def _votes(query: str | None, texts: list[str | None] | None, hyde: bool) -> tuple:
+    """(votes, other, answer language, query language, query words, text if unsure, its last word): what the pair alone tells."""
+    texts = [_bare(t) for t in texts or ()]
     text, q = " ".join(t for t in texts if t), _bare(query)
-    v: dict = {}
-    empty = not any(c.isalnum() for c in text)
-    stand_in = all(_no_value(t) for t in texts)
-    v["e_none"], v["e_value"] = (1 if empty else -1), (1 if stand_in else -1)
-    letters = len(_LETTER.findall(text))
-    v["e_letters"] = 1 if letters < 3 else -1 if letters > 20 else 0
-
-    qw, aw = [w.lower() for w in _WORD.findall(q)], [w.lower() for w in _WORD.findall(text)]
-    rest = list(aw)
+    low = text.lower()
+    aw, raw = _WORD.findall(low), _WORD.findall(q)
+    qw = [w.lower() for w in raw]
+    stand_in = not aw or all(map(_no_value, texts))
+    letters = 0  # counted as far as any vote asks
+    for w in aw:
+        letters += len(w) if w.isalpha() else 0
+        if letters > 20:
+            break
+    e = (1 if not aw else -1, 1 if stand_in else -1, 1 if letters < 3 else -1 if letters > 20 else 0)
+
+    rest = aw
     while rest and rest[0] in QUESTION_LABELS and (not qw or rest[0] != qw[0]):
         rest = rest[1:]
-    k = len(qw)
-    repeats = k and rest and len(rest) % k == 0 and all(rest[i:i + k] == qw for i in range(0, len(rest), k))
-    new = [w for w in rest if w not in set(qw) and w not in QUESTION_LABELS]
-    v["c_words"] = 0 if stand_in else 1 if repeats else -1
-    v["c_new"] = 0 if stand_in else 1 if qw and not new and len(rest) >= k else -1
-    share = 1 - len(new) / len(rest) if rest else 0
-    v["c_share"] = 0 if stand_in or not qw else 1 if share > 0.95 else -1 if share < 0.7 else 0
-
-    low = text.lower().replace("’", "'")
-    sentences = [s for s in re.split(r"(?<=[.!?。！？])\s+", low) if any(c.isalnum() for c in s)]
-    hinted = any(h in low for h in HINTS)
-    declines = [hinted and bool(DECLINE.search(s)) for s in sentences]
-    others = [s for s, d in zip(sentences, declines) if not d and not POLITE.search(s)]
-    v["r_phrase"] = 1 if any(declines) else -1
-    v["r_opening"] = 1 if OPENING.search(text.replace("’", "'")) else 0
-    v["r_lexicon"] = (1 if len(low) < 260 and len(set(REFUSAL_WORDS.findall(low))) >= 3 else 0) if FIRST_PERSON.search(low) else -1
-    v["r_short"] = 0 if len(text) < 220 else -1
-    v["r_rest"] = 0 if not sentences else 1 if any(declines) and not others else -1
-
-    done = bool(_TERMINAL.search(text)) and not re.search(r"\.\.\.\W*$", text)
-    broken = bool(_BROKEN.search(text)) and not stand_in
-    last = re.split(r"(?<=[.!?。！？])\s+", text)[-1]
-    open_quote = last.count('"') % 2 == 1 and not (text.count('"') % 2 == 0) or last.count("(") > last.count(")") or last.count("“") > last.count("”") and text.count("“") > text.count("”")
+    k, known = len(qw), set(qw)
+    repeats = bool(k and rest and len(rest) % k == 0 and rest[:k] == qw and rest == qw * (len(rest) // k))
+    new = len([w for w in rest if w not in known and w not in QUESTION_LABELS])
+    share = 1 - new / len(rest) if rest else 0
+    copied = bool(qw and not new and len(rest) >= k)
+    c = (0, 0, 0) if stand_in else (1 if repeats else -1, 1 if copied else -1, 0 if not qw else 1 if share > 0.95 else -1 if share < 0.7 else 0)
+
+    low = low.replace("’", "'")
+    said = set(aw)
+    declines, others = False, True
+    if (not said.isdisjoint(HINT_WORDS) or not low.isascii() and _HAN.search(low)) and ("i" in said and any(h in low for h in FIRST_BRANCH) or "we" in said and any(h in low for h in FIRST_BRANCH) or any(h in low for h in HINTS)) and DECLINE.search(low):
+        told = [(s, bool(DECLINE.search(s))) for s in _SENTENCE.split(low) if _WORD.search(s)]
+        declines, others = any(d for _, d in told), any(not d and not POLITE.search(s) for s, d in told)
+    speaks = not said.isdisjoint(FIRST_PERSON) or "我" in low
+    r = (
+        1 if declines else -1, 1 if aw and (aw[0] in OPENING_WORDS or _HAN.match(aw[0])) and OPENING.search(text.replace("’", "'")) else 0,
+        (1 if len(low) < 260 and len(set(REFUSAL_WORDS.findall(low))) >= 3 else 0) if speaks else -1,
+        0 if len(text) < 220 else -1, 0 if not aw else 1 if declines and not others else -1,
+    )
+
+    end = text.rstrip(CLOSERS + " ")
+    done = (end != "" and end[-1] in TERMINAL or text.endswith(")") and bool(_BRACKETED.search(text))) and not ("..." in text and _DOTS.search(text))
+    broken = not stand_in and (text.endswith("...") or text[-1:] in OPEN_END)
     used = hyde and not stand_in and not repeats
     unsure = used and not done and not broken
-    words = _WORD.findall(last)
-    final = words[-1] if words else ""
-    v["t_end"] = 0 if unsure else 1 if used and broken else -1
     other = 0 if used and not done else -1
-    v["t_open"] = 1 if unsure and open_quote else other
-    v["t_function"] = 1 if unsure and final.lower() in NOT_LAST else other
-    v["t_other"] = other
-    v["unsure"] = unsure
-    tokens = sentence_tokens(text) if unsure else []
-    v["contexts"] = [" ".join(tokens[-n:]) for n in range(1, CONTEXT + 1) if len(tokens) >= n]
-    v["final"] = final if unsure and not _HAN.search(final) else None
-
-    spoken, lead = language_of(text)
-    asked, _ = language_of(q)
-    usable = not stand_in and v["c_new"] < 1 and letters >= 12
-    v["answer_language"] = spoken if usable and (lead >= 2) else None
-    v["query_language"] = asked
-    v["l_function"] = 0 if not usable or v["answer_language"] is None or asked is None else 1 if asked != spoken else -1
+    final, opened = "", False
+    if unsure:
+        last = _SENTENCE.split(text)[-1]
+        opened = last.count('"') % 2 == 1 and text.count('"') % 2 == 1 or last.count("(") > last.count(")") or last.count("“") > last.count("”") and text.count("“") > text.count("”")
+        final = (_WORD.findall(last) or [""])[-1]
+    t = (1 if used and broken else other if unsure else -1, 1 if opened else other, 1 if unsure and final.lower() in NOT_LAST else other)
+
+    spoken, lead = language_of(text, aw)
+    asked, _ = language_of(q, qw)
+    usable = not stand_in and not copied and letters >= 12
+    answer = spoken if usable and lead >= 2 else None
     script, asked_script = (x if x in SCRIPTS else "latin" for x in (spoken, asked))
-    v["l_script"] = 0 if not usable else 1 if script != asked_script else -1 if script != "latin" else 0
-    v["query_words"] = sorted({w.lower() for w in _WORD.findall(q) if not w[0].isupper() or w.isupper()} | {w.lower() for w in _WORD.findall(q)[:1]})
-    return v
-
-
-def _count_contexts(queries: pd.Series, texts_of: pd.Series) -> pd.DataFrame:
-    """(kind, text, ends, n): how often each context was seen with and without a sentence end after it, and the words there are."""
-    contexts, words = Counter(), set()
-    for q, texts in zip(queries, texts_of):
-        words.update(_WORD.findall(q or ""))
-        for text in () if texts is None else texts:
-            bare = _bare(text)
-            words.update(m.group() for m in _WORD.finditer(bare) if m.end() < len(bare))
-            tokens = sentence_tokens(bare)
-            for i in range(len(tokens) - 1):
-                end = tokens[i + 1] in _ENDS
-                for n in range(1, min(CONTEXT, i + 1) + 1):
-                    contexts[" ".join(tokens[i + 1 - n:i + 1]), end] += 1
-    rows = [("context", c, e, n) for (c, e), n in contexts.items()] + [("word", w, False, 1) for w in words]
-    return pd.DataFrame(rows, columns=["kind", "text", "ends", "n"])
+    lang = (0 if answer is None or asked is None else 1 if asked != spoken else -1, 0 if not usable else 1 if script != asked_script else -1 if script != "latin" else 0)
+    lower = {w.lower() for w in raw if not w[0].isupper() or w.isupper()} | set(qw[:1])
+    return "".join(map(_SIGN.__getitem__, e + c + r + t + lang)), other, answer, asked, lower, text if unsure else None, final
 
 
 #: Pairs with known defects on which cutoffs are chosen: (query, answer, defects).
@@ -222,15 +271,41 @@ LABELLED = [
     ("curling plan", "A week of curling starts with a long session and ends with a day of rest!", []), ("curling plan", "A week of curling starts with a long session and ends with a day of rest. (2019)", []),
     ("best trail shoes", "Los entrenadores recomiendan zapatos ligeros con el talón firme para las cuestas de la montaña.", ["language"]), ("ice relay results", "裁判在场地干燥之前暂停了比赛，下半场推迟了三分钟。", ["language"]), ("who won the ice relay in Bergholm", "Die Mannschaft aus Bergholm gewann das Rennen mit zwei Längen und die Zuschauer blieben bis zum Ende.", ["language"]),
     ("quién ganó la final de la regata", "Los marineros ganaron la final de la regata con dos botes de ventaja y el público cantó hasta el final.", []), ("wer gewann das Finale der Regatta", "Die Mannschaft aus Bergholm gewann das Rennen mit zwei Längen und die Zuschauer blieben bis zum Ende.", []), ("qui a gagné la finale de la régate", "Les marins ont gagné la finale avec deux bateaux et le public est resté jusqu'à la fin.", []),
+    ("who coaches the Bergholm Seals", "Lo siento, pero no puedo responder a esa pregunta sobre la liga.", ["refusal", "language"]), ("what is the plan for the final", "Tut mir leid, ich kann zu der Frage über das Finale nicht antworten.", ["refusal", "language"]),
+    ("how do the rules of curling work", "Ein Anfänger sollte zuerst mit der Technik beginnen und danach mit dem", ["truncated", "language"]), ("why was the match on ice moved", "El partido de la final se aplazó por la lluvia y la afición se quedó en el", ["truncated", "language"]),
+    ("when does the season of rowing start", "undefined", ["empty"]), ("when does the season of rowing start", "???", ["empty"]), ("wann beginnt die Saison", "keine Angabe", ["empty"]), ("cuándo empieza la temporada", "sin respuesta", ["empty"]),
+    ("when does the season of rowing start", "The season opens in May with a regatta on the lake; two clubs from the north", ["truncated"]), ("when does the season of rowing start", "The season opens in May, and tickets (for members only", ["truncated"]), ("how do the rules of curling work", "A stone counts when it lies within the hou", ["truncated"]), ("wann beginnt die Saison", "Die Saison beginnt im Mai mit einer Regatta auf dem", ["truncated"]),
+    ("when does the season of rowing start", "The season opens in May with a regatta on the lake", []), ("how do the rules of curling work", "Each team throws eight stones, and the nearest stone to the centre counts one point:\n- a stone in the house\n- no guard in front of it", []),
+    ("rules of curling", "Rules of curling", ["copy"]), ("rules of curling", "“rules of curling”", ["copy"]), ("rules of curling", "Query: rules of curling?", ["copy"]), ("qui a gagné la finale", "Question : qui a gagné la finale ?", ["copy"]),
+    ("rules of curling", "The rules of curling fill forty pages, and beginners learn the first ten of them.", []), ("rules of curling", "Curling rules: the rules of the club apply on its own ice.", []),
+    ("rules of curling", "I would rather not discuss this topic.", ["refusal"]), ("who won the ice relay in Bergholm", "Unfortunately, I am not able to provide results of this race.", ["refusal"]), ("règles du curling", "Je ne peux pas répondre à cette question.", ["refusal"]), ("Regeln im Curling", "Darüber darf ich leider nichts sagen.", ["refusal"]),
+    ("rules of curling", "The captain said: \"I cannot explain the defeat, but we will train harder.\" The league has not commented.", []), ("who won the ice relay in Bergholm", "No club was able to answer the pace of Bergholm Seals, who won by two lengths.", []),
+    ("when does the season of rowing start", "La saison commence en mai avec une régate sur le lac et les clubs du nord.", ["language"]), ("when does the season of rowing start", "Сезон открывается в мае регатой на озере.", ["language"]), ("cuándo empieza la temporada de remo", "The season opens in May with a regatta on the lake, and the clubs from the north arrive by train.", ["language"]), ("wann beginnt die Saison", "The season opens in May with a regatta on the lake, and the clubs from the north arrive by train.", ["language"]),
+    ("when does the season of rowing start", "The Regata del Lago opens the season in May, and the Coupe du Nord closes it in the autumn.", []), ("赛季什么时候开始", "赛季从五月开始，第一场比赛在湖上举行。", []),
     ("how do you say regatta in Spanish", "It is called \"regata de vela\" in Spanish, and commentators shorten the word during broadcasts.", []),
 ]
 
 
+def _shares(cast: np.ndarray, weight: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """How much each function's vote of one kind counts: 1 for one cast independently of the others within the classes, 1 / n for n always cast together."""
+    cov = np.zeros((cast.shape[1],) * 2)
+    for p in (post, 1 - post):
+        w = weight * p
+        off = cast - (w @ cast) / max(w.sum(), 1e-9)
+        cov += (off * w[:, None]).T @ off
+    size = np.sqrt(np.diag(cov))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        rho = np.clip(np.nan_to_num(cov / np.outer(size, size)), 0, 1)
+    np.fill_diagonal(rho, 1.0)
+    return 1 / rho.sum(axis=1)
+
+
 def fit_label_model(patterns: dict[tuple[int, ...], float], rounds: int = 100) -> dict[tuple[int, ...], float]:
-    """Posterior of the defect for each vote pattern: two-class naive Bayes by EM on pattern counts.
+    """Posterior of the defect for each vote pattern: a two-class model fitted by EM on pattern counts.
 
-    It starts from the vote sum; an abstention is no evidence; tables are smoothed, and the defect class is the one that positive votes speak for. A defect
-    nobody votes for gets posterior 0.
+    It starts from the vote sum; an abstention is no evidence; tables are smoothed, and the defect class is the one that positive
+    votes speak for. Once it is fitted, functions that cast the same vote together within the classes share its weight in the
+    posterior (``_shares``), so a fact that several functions restate counts once. A defect nobody votes for gets posterior 0.
     """
     if not patterns:
         return {}
@@ -241,14 +316,17 @@ def fit_label_model(patterns: dict[tuple[int, ...], float], rounds: int = 100) -
     post = 1 / (1 + np.exp(-2.0 * sums))
     if not (votes == 2).any():
         return dict.fromkeys(keys, 0.0)
-    for _ in range(rounds):
+    share = np.ones((2, votes.shape[1]))
+    for turn in range(rounds + 1):
+        if turn == rounds:
+            share = [_shares((votes == v).astype(float), weight, post) for v in (0, 2)]
         prior = (weight @ post + 1) / (weight.sum() + 20)
         log = np.zeros((2, len(keys)))
         for j in range(votes.shape[1]):
             for c, p in ((1, post), (0, 1 - post)):
                 table = np.array([weight[votes[:, j] == v] @ p[votes[:, j] == v] for v in (0, 2)]) + np.array([0.2, 1.0] if c else [1.0, 0.2])
                 against, speaks = np.log(table / table.sum())
-                log[c] += np.array([against, 0.0, speaks])[votes[:, j]]
+                log[c] += np.array([share[0][j] * against, 0.0, share[1][j] * speaks])[votes[:, j]]
         odds = np.log(prior) - np.log1p(-prior) + log[1] - log[0]
         post = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
     return {k: float(p) for k, p in zip(keys, post)}
@@ -270,75 +348,135 @@ def label_pairs(df: DataFrame, key: str, query: str, output: str) -> DataFrame:
     """(key, defect, posterior) of every retained label: a row per defect whose posterior reaches its cutoff.
 
     The answer is the text of the ``hyde`` line or, without one, all line texts together. Null outputs, queries and texts are
-    allowed (a null query is never copied and has no language). Rows with a null key drop out, rows with one key are labelled
-    each by itself; an empty table gives no rows. Other columns are ignored, whatever they are called.
+    allowed (a null query is never copied and has no language). Keys may be of any type; rows with a null key drop out, rows with
+    one key are labelled each by itself; an empty table gives no rows. Other columns are ignored, whatever they are called.
     """
-    ship_package(df.sparkSession)
     return _label(df, key, query, output)[0]
 
 
-def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame, dict[str, float]]:
+def cutoff_report(df: DataFrame, key: str, query: str, output: str) -> DataFrame:
+    """(defect, cutoff, fitted, held_out, precision, recall): a row per defect, measured on the labelled pairs the cutoff was not chosen on."""
+    return df.sparkSession.createDataFrame(_label(df, key, query, output)[1], "defect string, cutoff double, fitted int, held_out int, precision double, recall double").coalesce(1)
+
+
+def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got = [_votes(*x) for x in zip(batch.column("q").to_pylist(), batch.column("texts").to_pylist(), batch.column("hyde").to_pylist())]
+        alone, other, answer, asked, query_words, unsure, final = zip(*got) if got else ((),) * 7
+        texts = [t for t in unsure if t is not None]
+        tokens = Sentences(texts)
+        contexts = [[] for _ in texts]
+        row_of = np.repeat(np.arange(len(texts)), np.diff(tokens.ends, prepend=0))
+        for at, hashes in tokens.contexts(tokens.ends[np.diff(tokens.ends, prepend=0) > 0] - 1):
+            for i, h in zip(row_of[at].tolist(), hashes.view(np.int64).tolist()):
+                contexts[i].append(h)
+        each = iter(contexts)
+        words = [None if u is None or not w or _HAN.search(w) else int(mix(np.array(word_ids([w]), np.uint64)).view(np.int64)[0]) for u, w in zip(unsure, final)]
+        ids = np.array([i for x in query_words for i in word_ids(list(x))], np.uint64).view(np.int64)
+        offsets = np.cumsum([0, *map(len, query_words)], dtype=np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("k"), batch.column("sample"), pa.array(alone, pa.string()), pa.array(other, pa.int32()), pa.array(answer, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
+             pa.array([None if u is None else next(each) for u in unsure], pa.list_(pa.int64())), pa.array(words, pa.int64())],
+            ["id", "k", "sample", "alone", "other", "answer", "query_words", "contexts", "final"],
+        )
+
+
+def _count(kept: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, ends, n): how often each context in the filter was seen, with and without a sentence's end after it, and each word in it."""
+    for batch in batches:
+        queries, parts = batch.column("q").to_pylist(), batch.column("texts").to_pylist()
+        texts = [_bare(t) for p in parts for t in p or () if t]
+        hashes, ended = [], []
+        first = 0
+        while first < len(texts):  # some megabytes of text at a time
+            last, size = first, 0
+            while last < len(texts) and (last == first or size + len(texts[last]) <= 1 << 21):
+                size += len(texts[last])
+                last += 1
+            tokens = Sentences(texts[first:last])
+            inner = np.flatnonzero(tokens.inner)
+            for at, h in tokens.contexts(inner, kept):
+                hashes.append(h)
+                ended.append(tokens.before_stop[at])
+            hashes.append(tokens.words[inner])
+            ended.append(np.zeros(len(inner), bool))
+            first = last
+        asked = Sentences([q for q in queries if q]).words
+        words = np.concatenate([np.zeros(0, np.uint64), asked, *hashes])
+        stops = np.concatenate([np.zeros(len(asked), bool), *ended])
+        found = holds(kept, words)
+        values, at, n = np.unique(words[found], return_inverse=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.bincount(at, stops[found], len(values)).astype(np.int64)), pa.array(n.astype(np.int64))], ["h", "ends", "n"])
+
+
+def _with_hot(many: DataFrame, one: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join on ``key``; the ``HOT`` keys of ``one`` that weigh most are joined by broadcast, so no task gets all rows of a frequent key."""
+    top = [r[0] for r in one.orderBy(F.desc(weight), key).limit(HOT).select(key).collect()]  # at most HOT keys
+    if not top:
+        return many.join(one, key)
+    hot = F.col(key).isin(top)
+    return many.where(hot).join(F.broadcast(one.where(hot)), key).unionByName(many.where(~hot).join(one.where(~hot).hint("merge"), key))  # at most HOT rows
+
+
+def _label(df: DataFrame, key: str, query: str, output: str) -> tuple[DataFrame, list[tuple]]:
     spark = df.sparkSession
-    votes_alone = ["e_none", "e_value", "e_letters", "c_words", "c_new", "c_share", "r_phrase", "r_opening", "r_lexicon", "r_short", "r_rest", "t_end", "t_open", "t_function", "l_function", "l_script"]
+    ship_package(spark)
+    key_type = df.schema[key].dataType.simpleString()
     line = "array<struct<type:string,text:string>>"
-    known = spark.createDataFrame([(-1 - i, q, [("hyde", a)], True) for i, (q, a, _) in enumerate(LABELLED)], f"k bigint, q string, o {line}, known boolean")
-    source = df.select(F.col(key).cast("bigint").alias("k"), F.col(query).alias("q"), F.col(output).cast(line).alias("o"), F.lit(False).alias("known")).where("k is not null")
-    source = spread(source)
-    both = source.unionByName(known)
-    extra = "t_other int, unsure boolean, contexts array<string>, final string, answer_language string, query_language string, query_words array<string>"
-
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            got = pd.DataFrame([_votes(q, o) for q, o in zip(batch["q"], batch["o"])])
-            yield pd.concat([batch[["k", "known"]].reset_index(drop=True), got], axis=1)[["k", "known", *votes_alone, "t_other", "unsure", "contexts", "final", "answer_language", "query_language", "query_words"]]
-
-    facts = stage_table(both.mapInPandas(look, "k bigint, known boolean, " + ", ".join(f"{v} int" for v in votes_alone) + ", " + extra), "facts")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for first in range(0, len(batch), COUNTED):
-                yield _count_contexts(batch["q"][first:first + COUNTED], batch["texts"][first:first + COUNTED])
-
-    text_of = lambda lines: F.transform(lines, lambda x: x["text"])
+    known = spark.createDataFrame([(i, q, [("hyde", a)]) for i, (q, a, _) in enumerate(LABELLED)], f"sample int, q string, o {line}").withColumn("k", F.lit(None).cast(key_type))
+    source = spread(df.select(F.col(key).alias("k"), F.col(query).alias("q"), F.col(output).cast(line).alias("o"), F.lit(None).cast("int").alias("sample")).where("k is not null"))
     hyde = F.filter("o", lambda x: x["type"] == "hyde")
-    counted = source.select("q", F.when(F.size(hyde) > 0, text_of(hyde)).otherwise(text_of("o")).alias("texts")).mapInPandas(count, "kind string, text string, ends boolean, n bigint")
-    counted = stage_table(counted, "counted")  # one row per batch and distinct context or word
-
-    asked = facts.where("unsure").select("k", F.posexplode("contexts").alias("n", "context"))
-    ended = counted.where("kind = 'context'").withColumnRenamed("text", "context").join(asked.select("context").distinct().hint("merge"), "context", "left_semi").groupBy("context").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("ended"), F.sum("n").alias("seen")).where(F.col("seen") >= SEEN)
-    by_context = asked.join(ended.hint("merge"), "context").groupBy("k").agg(F.max_by(F.col("ended") / F.col("seen"), "n").alias("rate"))
-    word_there = counted.where("kind = 'word'").select(F.col("text").alias("final")).join(facts.where("final is not null").select("final").distinct().hint("merge"), "final", "left_semi").distinct().withColumn("there", F.lit(True))
-    word_known = facts.where("final is not null").select("k", "final").join(word_there.hint("merge"), "final").select("k", "there").distinct()
-
-    spoken = facts.where("not known and answer_language is not null").select(F.explode("query_words").alias("w"), "answer_language").groupBy("w", "answer_language").agg(F.count(F.lit(1)).alias("n"))
-    per_word = spoken.groupBy("w").agg(F.sum("n").alias("n"), F.max_by("answer_language", "n").alias("lang"), (F.max("n") / F.sum("n")).alias("purity")).where("n >= 5 and purity >= 0.7")
-    learned = facts.select("k", F.explode("query_words").alias("w")).join(per_word.hint("merge"), "w").groupBy("k", "lang").agg(F.sum(F.col("purity")).alias("p")).groupBy("k").agg(F.max_by("lang", "p").alias("learned"))
-
-    whole = facts.join(by_context.hint("merge"), "k", "left").join(word_known.hint("merge"), "k", "left").join(learned.hint("merge"), "k", "left")
-    vote = lambda c: c.cast("int")
-    unsure = F.col("unsure")
-    whole = whole.select(
-        "k", "known", *votes_alone,
-        vote(F.when(~unsure, F.col("t_other")).when(F.col("rate").isNull(), 0).when(F.col("rate") < 0.1, 1).when(F.col("rate") > 0.4, -1).otherwise(0)).alias("t_context"),
-        vote(F.when(~unsure, F.col("t_other")).when(F.col("final").isNotNull() & F.col("there").isNull(), 1).otherwise(0)).alias("t_word"),
-        vote(F.when(F.col("answer_language").isNull() | F.col("learned").isNull(), 0).when(F.col("answer_language") != F.col("learned"), 1).otherwise(-1)).alias("l_learned"),
-    )
-    whole = stage_table(whole, "votes")
-    labelled = whole.where("known").toPandas()  # the few labelled pairs
-    pattern = {d: F.concat_ws(",", *(F.col(f).cast("string") for f in fs)) for d, fs in DEFECTS.items()}
+    text_of = lambda lines: F.transform(lines, lambda x: x["text"])
+    parts = lambda frame: frame.withColumn("hyde", F.coalesce(F.size(hyde) > 0, F.lit(False))).withColumn("texts", F.when(F.col("hyde"), text_of(hyde)).otherwise(text_of("o")))
+    both = parts(source.unionByName(known)).select(F.monotonically_increasing_id().alias("id"), "k", "sample", "q", "texts", "hyde")
+    facts = stage_table(both.mapInArrow(_look, f"id bigint, k {key_type}, sample int, alone string, other int, answer string, query_words array<bigint>, contexts array<bigint>, final bigint"), "facts")
+
+    # sentence ends and known words, for the answers that break off
+    unsure = facts.where("contexts is not null")
+    asked = unsure.select("id", F.posexplode("contexts").alias("n", "h")).unionByName(unsure.where("final is not null").select("id", F.lit(CONTEXT).alias("n"), F.col("final").alias("h")))
+    packed = spark.sparkContext.broadcast(merged_filters(asked.select("h"), ASKED_BITS)[0].tobytes())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count(np.frombuffer(packed.value, np.uint8), batches)
+
+    counted = parts(source).select("q", "texts").mapInArrow(count, "h bigint, ends bigint, n bigint")
+    wanted = asked.groupBy("h").agg(F.count(F.lit(1)).alias("weight"))
+    seen = stage_table(counted.groupBy("h").agg(F.sum("ends").alias("ends"), F.sum("n").alias("seen")).join(wanted, "h"), "seen")
+    looked = _with_hot(asked, seen, "h", "weight").groupBy("id").agg(
+        F.max_by(F.when((F.col("n") < CONTEXT) & (F.col("seen") >= SEEN), F.col("ends") / F.col("seen")), F.when((F.col("n") < CONTEXT) & (F.col("seen") >= SEEN), F.col("n"))).alias("rate"),
+        F.coalesce(F.max(F.col("n") == CONTEXT), F.lit(False)).alias("there"))
+
+    # the language a query's words get answered in
+    spoken = facts.where("sample is null and answer is not null").select(F.explode("query_words").alias("w"), "answer").groupBy("w", "answer").agg(F.count(F.lit(1)).alias("n"))
+    per_word = stage_table(spoken.groupBy("w").agg(F.sum("n").alias("n"), F.max_by("answer", F.struct("n", "answer")).alias("lang"), (F.max("n") / F.sum("n")).alias("purity")).where("n >= 5 and purity >= 0.7"), "words")
+    learned = _with_hot(facts.where("answer is not null").select("id", F.explode("query_words").alias("w")), per_word, "w", "n").groupBy("id", "lang").agg(F.sum("purity").alias("p")).groupBy("id").agg(F.max_by("lang", F.struct("p", "lang")).alias("learned"))
+
+    whole = facts.join(looked.hint("merge"), "id", "left").join(learned.hint("merge"), "id", "left")
+    other, is_unsure = (F.col("other") + 1).cast("string"), F.col("contexts").isNotNull()
+    votes = {v: F.substring("alone", i + 1, 1) for i, v in enumerate(ALONE)} | {
+        "t_context": F.when(~is_unsure, other).when(F.col("rate").isNull(), "1").when(F.col("rate") < 0.1, "2").when(F.col("rate") > 0.4, "0").otherwise("1"),
+        "t_word": F.when(~is_unsure, other).when(F.col("final").isNotNull() & ~F.coalesce("there", F.lit(False)), "2").otherwise("1"),
+        "l_learned": F.when(F.col("answer").isNull() | F.col("learned").isNull(), "1").when(F.col("answer") != F.col("learned"), "2").otherwise("0"),
+    }
+    whole = stage_table(whole.select("k", "sample", *(F.concat(*(votes[f] for f in fs)).alias(d) for d, fs in DEFECTS.items())), "votes")
+    labelled = whole.where("sample is not null").toPandas()  # the few labelled pairs
     each = lambda value: F.explode(F.array(*(F.struct(F.lit(d).alias("defect"), value(d)) for d in DEFECTS))).alias("x")
-    patterns = whole.where("not known").select(each(lambda d: pattern[d].alias("pattern"))).groupBy("x.defect", "x.pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**functions rows a defect
-    tables, cutoffs = {}, {}
-    for defect, functions in DEFECTS.items():
-        counts = {tuple(map(int, r["pattern"].split(","))): float(r["n"]) for r in patterns if r["defect"] == defect}
-        known_patterns = [tuple(map(int, r)) for r in labelled[functions].itertuples(index=False)]
-        for key_ in known_patterns:
-            counts.setdefault(key_, 0.5)
+    patterns = whole.where("sample is null").select(each(lambda d: F.col(d).alias("pattern"))).groupBy("x.defect", "x.pattern").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3**functions rows a defect
+    read = lambda pattern: tuple(int(c) - 1 for c in pattern)
+    tables, cutoffs, report = {}, {}, []
+    for defect in DEFECTS:
+        counts = {read(r["pattern"]): float(r["n"]) for r in patterns if r["defect"] == defect}
+        for pattern in labelled[defect]:
+            counts.setdefault(read(pattern), 0.5)
         posterior = fit_label_model(counts)
-        cutoffs[defect] = best_cutoff([defect in LABELLED[-1 - k][2] for k in labelled["k"]], [posterior[x] for x in known_patterns])
-        tables[defect] = F.create_map(*(F.lit(x) for x, p in posterior.items() for x in (",".join(map(str, x)), p)))
-    kept = whole.where("not known").select(F.col("k").alias(key), each(lambda d: F.when(tables[d][pattern[d]] >= cutoffs[d], tables[d][pattern[d]]).alias("posterior")))
-    return kept.select(key, "x.defect", "x.posterior").where("posterior is not null"), cutoffs
+        truth = {s: (defect in LABELLED[s][2], posterior[read(p)]) for s, p in zip(labelled["sample"], labelled[defect])}
+        chosen, held = ([truth[s] for s in sorted(truth) if s % 2 == half] for half in (0, 1))
+        cutoffs[defect] = best_cutoff([t for t, _ in chosen], [p for _, p in chosen])
+        told = [t for t, p in held if p >= cutoffs[defect]]
+        report.append((defect, cutoffs[defect], len(chosen), len(held), sum(told) / len(told) if told else None, sum(told) / max(1, sum(t for t, _ in held))))
+        tables[defect] = F.create_map(*(F.lit(x) for v, p in posterior.items() for x in ("".join(str(i + 1) for i in v), p)))
+    kept = whole.where("sample is null").select(F.col("k").alias(key), each(lambda d: F.when(tables[d][F.col(d)] >= cutoffs[d], tables[d][F.col(d)]).alias("posterior")))
+    return kept.select(key, "x.defect", "x.posterior").where("posterior is not null"), report
 
 
 def main_defect(labels: DataFrame, key: str) -> DataFrame:

@@ -23,6 +23,11 @@ def p1_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_defects.label_pairs(_read(spark, sf_dir, "qmd_expansion_sports"), "record_id", "query", "output")
 
 
+def p1_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cutoff of each defect, with precision and recall on the labelled pairs on which it was not chosen."""
+    return pair_defects.cutoff_report(_read(spark, sf_dir, "qmd_expansion_sports"), "record_id", "query", "output")
+
+
 def _p2_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     whole = None
     for table in ("qmd_expansion_personal_entities", "qmd_expansion_locations"):
@@ -107,7 +112,7 @@ def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages.score_pages(_read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_labels": p1_labels, "p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_report": p7_report, "p8_found": p8_found, "p8_scores": p8_scores}
+QUERIES = {"p1_found": p1_found, "p1_labels": p1_labels, "p1_cutoffs": p1_cutoffs, "p2_found": p2_found, "p2_records": p2_records, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_report": p7_report, "p8_found": p8_found, "p8_scores": p8_scores}
 
 _P2 = r"""
 WITH q AS (

@@ -27,6 +27,11 @@ class _WordIds(dict):
 _IDS = _WordIds()
 
 
+def word_ids(words: list[str]) -> list[int]:
+    """64-bit ids of words."""
+    return [_IDS[w] for w in words]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)

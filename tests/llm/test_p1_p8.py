@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,37 @@ def test_defects(spark):
     assert len(wrong) <= 1, wrong
 
 
+def test_several_defects_and_equal_keys(spark):
+    """A pair may keep two labels; rows with one key, of any type, are labelled each by itself."""
+    rows, _ = pairs()
+    both = [("a", "who won the final of the cup", [("hyde", "Lo siento, pero no puedo responder a la pregunta sobre el partido.")]), ("b", "why was the match on the ice postponed", [("hyde", "El árbitro detuvo el partido hasta que la pista estuvo seca y los clubes de la")])]
+    twice = [("c", "best trail shoes", [("hyde", "N/A")]), ("c", "best trail shoes", [("hyde", SENTENCES[1])]), ("c", "best trail shoes", [("hyde", "Best trail shoes?")])]
+    df = spark.createDataFrame([(str(k), q, o) for k, q, o in rows] + both + twice, "id string, q string, o array<struct<type:string,text:string>>").repartition(3)
+    got = {}
+    for r in pd_.label_pairs(df, "id", "q", "o").where("id in ('a', 'b', 'c')").collect():
+        got.setdefault(r["id"], []).append(r["defect"])
+    assert {k: sorted(v) for k, v in got.items()} == {"a": ["language", "refusal"], "b": ["language", "truncated"], "c": ["copy", "empty"]}
+
+
+def test_cutoffs_are_measured_on_the_other_half(spark):
+    rows, _ = pairs()
+    df = spark.createDataFrame(rows, "id bigint, q string, o array<struct<type:string,text:string>>")
+    report = {r["defect"]: r for r in pd_.cutoff_report(df, "id", "q", "o").collect()}
+    assert set(report) == set(pd_.DEFECTS)
+    assert all(r["fitted"] + r["held_out"] == len(pd_.LABELLED) and r["recall"] >= 0.6 and r["precision"] >= 0.6 for r in report.values()), report
+
+
+def test_contexts_are_counted_alike_everywhere():
+    texts = ["The Red Fox ran. It ate 12 figs!", "", "a red fox", "x " * 50000]
+    s = pd_.Sentences(texts)
+    whole = {(int(i), int(h)) for at, hs in s.contexts(np.arange(len(s.value))) for i, h in zip(at, hs)}
+    alone = set()
+    for begin, t in zip([0, *s.ends], texts):
+        one = pd_.Sentences([t])
+        alone |= {(int(i) + int(begin), int(h)) for at, hs in one.contexts(np.arange(len(one.value))) for i, h in zip(at, hs)}
+    assert whole == alone and s.before_stop.sum() == 2
+
+
 def test_label_model():
     counts = {(1, 1, 1): 50.0, (-1, -1, -1): 900.0, (1, 1, -1): 5.0, (-1, -1, 1): 10.0, (0, 0, 0): 30.0}
     p = pd_.fit_label_model(counts)

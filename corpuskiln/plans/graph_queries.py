@@ -352,7 +352,7 @@ def windowed_event_counts(spark, d):
 QUERIES = {f.__name__: f for f in (topk_per_group, semantic_units, edges_token_overlap, communities_rollup, report_search, report_evidence, scope_semijoin_chain, capability_or_join, coverage_rate, route_decision, capability_union, artifact_lineage, lineage_gaps, generation_hash, prompt_packing, topic_token_sets, book_slugs, partition_plan, chunk_documents, best_chunk_terms, embedding_batches, html_to_text, precision_recall_mrr, unmatched_files, label_hit_rate, jaccard_match, dataset_stats, query_categories, normalized_output, expansion_parse, example_dedupe, split_sizes, micro_f1, reward_score, score_summary, batch_rollup, event_resequence, weighted_model_metrics, running_token_budget, latest_capability, missing_kinds, resume_next_stage, package_closure, log_tail, result_formats, windowed_event_counts)}
 
 _K = "nullif(trim(regexp_replace(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
-_R = "r AS (SELECT source AS member, document_id AS report_id, title, left(coalesce(text, ''), 2000) AS summary, coalesce(n_chars, 0) / 1000.0 AS rank, doc_id AS pos FROM documents WHERE active AND source IS NOT NULL), k AS (SELECT *, row_number() OVER (PARTITION BY member ORDER BY rank DESC, pos)::INT AS place FROM r QUALIFY place <= 8)"
+_R = "r AS (SELECT source AS member, document_id AS report_id, title, coalesce(text, '') AS summary, coalesce(n_chars, 0) / 1000.0 AS rank, doc_id AS pos FROM documents WHERE active AND source IS NOT NULL), k AS (SELECT *, row_number() OVER (PARTITION BY member ORDER BY rank DESC, pos)::INT AS place FROM r QUALIFY place <= 8)"
 
 
 def _clean(text: str, fallback: str, limit: int) -> str:
@@ -391,7 +391,7 @@ _CAPS = f"p AS (SELECT capability_id, source_id, {_K.format(c='document_id')} AS
 def _judged_sql() -> str:
     lists = ", ".join(f"l{i} AS (WITH {_bm25_sql(w)} SELECT '{w}' AS query_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank, doc_id FROM (SELECT * FROM s ORDER BY raw DESC, doc_id LIMIT 10))" for i, w in enumerate(_WORDS))
     res = " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(len(_WORDS)))
-    exp = " UNION ALL ".join(f"(SELECT '{w}' AS query_id, upper('/' || path) AS file FROM documents WHERE active AND contains(lower(title), '{w}') ORDER BY doc_id LIMIT 4)" for w in _WORDS)
+    exp = " UNION ALL ".join(f"(SELECT '{w}' AS query_id, upper('/' || path) AS file FROM documents WHERE active AND contains(lower(title), '{w}'))" for w in _WORDS)
     return f"WITH {lists}, res AS (SELECT query_id, rank, path AS f FROM ({res}) JOIN documents USING (doc_id)), ex AS ({exp}), pr AS (SELECT ex.query_id, file, min(rank) AS rk FROM ex JOIN res ON res.query_id = ex.query_id AND (suffix(lower(f), lower(ltrim(file, '/'))) OR suffix(lower(ltrim(file, '/')), lower(f))) GROUP BY 1, 2)"
 
 

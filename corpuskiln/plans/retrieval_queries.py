@@ -226,17 +226,17 @@ _HYBRID = lambda lists: "WITH " + ", ".join(f"l{i} AS (WITH {_bm25_sql(q)} SELEC
 
 SQL = {name: _search_sql(name) for name in SEARCHES} | {
     "bm25_display": f"WITH {_bm25_sql('harbour telescope')}, top AS (SELECT doc_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank, round(score, 6) AS score FROM s ORDER BY raw DESC, doc_id LIMIT 10) SELECT doc_id, 'store://' || coalesce(d.source, 'none') || '/' || path AS file, left(coalesce(hash, ''), 6) AS docid, title, rank, score FROM documents d JOIN top USING (doc_id)",
-    "document_frequency": f"WITH t AS (SELECT doc_id, unnest(string_split(trim({_tokens_sql('title')}), '  ')) AS term FROM documents), u AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term <> '' GROUP BY 1, 2) SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS cf FROM u GROUP BY 1",
+    "document_frequency": f"WITH t AS (SELECT doc_id, unnest(string_split(trim({_tokens_sql('text')}), '  ')) AS term FROM documents), u AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term <> '' GROUP BY 1, 2) SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS cf FROM u GROUP BY 1",
     "token_counts": f"WITH t AS (SELECT doc_id, {_tokens_sql('title')} AS a, {_tokens_sql('text')} AS b FROM documents) SELECT doc_id, {_total_sql('a')}::BIGINT AS title_tokens, {_total_sql('b')}::BIGINT AS body_tokens FROM t",
     "knn_multi_query": f"WITH p AS (SELECT q.vec_id AS query_id, v.vec_id, {_distance('v.embedding', 'q.embedding')} AS x FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY x, vec_id)::INT AS rank FROM p) SELECT query_id, vec_id, round(x, 4) + 0.0 AS distance, rank FROM r WHERE rank <= 5",
     "knn_cosine_topk": _NEAR + " SELECT vec_id, row_number() OVER (ORDER BY x, vec_id)::INT AS rank, round(x, 4) + 0.0 AS distance, round(1 - x, 4) AS score FROM (SELECT * FROM v ORDER BY x, vec_id LIMIT 30)",
     "knn_overfetch_filter": _NEAR + " SELECT vec_id, row_number() OVER (ORDER BY x, vec_id)::INT AS rank, round(x, 4) + 0.0 AS distance FROM (SELECT * FROM (SELECT * FROM v ORDER BY x, vec_id LIMIT 60) WHERE label = 2 ORDER BY x, vec_id LIMIT 20)",
     "knn_best_per_file": _NEAR + ", n AS (SELECT * FROM v ORDER BY x, vec_id LIMIT 60), b AS (SELECT label, arg_min(vec_id, x) AS vec_id, min(x) AS x FROM n GROUP BY label) SELECT label AS file, vec_id, row_number() OVER (ORDER BY x, vec_id)::INT AS rank, round(x, 4) + 0.0 AS distance FROM b ORDER BY x, vec_id LIMIT 20",
     "vector_min_score": _NEAR + " SELECT vec_id, row_number() OVER (ORDER BY x, vec_id)::INT AS rank, round(1 - x, 4) AS score FROM (SELECT * FROM (SELECT * FROM v ORDER BY x, vec_id LIMIT 150) WHERE 1 - x >= 0.3 ORDER BY x, vec_id LIMIT 50)",
-    "hash_vectors": "SELECT doc_id, array_to_string(list_transform(range(16), lambda i: printf('%.6f', round(('0x' || substr(sha256(coalesce(title, '')), (2 * i + 1)::INT, 2))::INT / 255.0, 6))), ' ') AS vector FROM documents",
+    "hash_vectors": "SELECT doc_id, array_to_string(list_transform(range(16), lambda i: printf('%.6f', round(('0x' || substr(sha256(coalesce(text, '')), (2 * i + 1)::INT, 2))::INT / 255.0, 6))), ' ') AS vector FROM documents",
     "rrf_fusion": _lists_sql() + _FUSE + " SELECT doc_id, rank, round(rrf, 6) AS rrf, best_rank, first_list FROM ra",
     "rrf_trace": _lists_sql() + " SELECT doc_id, list_idx, rank, round(weight / (60 + rank), 6) AS contribution FROM st",
-    "position_blend": _lists_sql() + _FUSE + ", sc AS (SELECT ra.doc_id, rank, ((contains(lower(title), 'harbour'))::INT + (contains(lower(title), 'telescope'))::INT) / 2.0 AS r, CASE WHEN rank <= 3 THEN 0.75 WHEN rank <= 10 THEN 0.6 ELSE 0.4 END AS w FROM ra JOIN documents d ON d.doc_id = ra.doc_id) SELECT doc_id, rank, round(coalesce(r, 0), 6) AS rerank_score, round(w / rank + (1 - w) * coalesce(r, 0), 6) AS blended FROM sc",
+    "position_blend": _lists_sql() + _FUSE + ", sc AS (SELECT ra.doc_id, rank, ((contains(lower(text), 'harbour'))::INT + (contains(lower(text), 'telescope'))::INT) / 2.0 AS r, CASE WHEN rank <= 3 THEN 0.75 WHEN rank <= 10 THEN 0.6 ELSE 0.4 END AS w FROM ra JOIN documents d ON d.doc_id = ra.doc_id) SELECT doc_id, rank, round(coalesce(r, 0), 6) AS rerank_score, round(w / rank + (1 - w) * coalesce(r, 0), 6) AS blended FROM sc",
     "hybrid_skip_rerank": _HYBRID([("harbour telescope", 2.0), ("harbour telescope", 2.0), ("harbour", 1.0), ("telescope", 1.0)]),
     "structured_first_list_boost": _HYBRID([("telescope", 2.0), ("harbour", 1.0)]),
     "strong_signal": f"WITH {_bm25_sql('harbour telescope')}, tt AS (SELECT score, row_number() OVER (ORDER BY raw DESC) AS r FROM s), x AS (SELECT coalesce(max(score) FILTER (r = 1), 0) AS top, coalesce(max(score) FILTER (r = 1), 0) - coalesce(max(score) FILTER (r = 2), 0) AS lead FROM tt) SELECT round(top, 6) AS top, round(lead, 6) AS lead, (top >= 0.85 AND lead >= 0.15) AS strong FROM x",

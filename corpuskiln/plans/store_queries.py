@@ -276,9 +276,9 @@ def sensitive_scan(spark, d):
 
 
 def failure_class(spark, d):
-    """Failure classes of messages made from the events."""
-    m = F.concat(F.lit("upstream said "), F.element_at(F.array(*(F.lit(x) for x in ("429 too many", "read ETIMEDOUT", "ECONNRESET", "503", "401", "schema mismatch", "?"))), (F.col("event_id") % 7 + 1).cast("int")))
-    return _read(spark, d, "events").select(T.failure_class(m).alias("kind"), T.is_retryable(T.failure_class(m)).alias("retryable")).groupBy("kind", "retryable").agg(F.count(F.lit(1)).alias("n"))
+    """Failure class of every text, read as a message."""
+    kind = T.failure_class(F.col("text"))
+    return _read(spark, d, "documents").where("text is not null").select("doc_id", kind.alias("kind"), T.is_retryable(kind).alias("retryable"))
 
 
 def intent_terms(spark, d):
@@ -315,6 +315,13 @@ _CLASSIFY = f"WITH {_D}, {_S}, o AS (SELECT * FROM d WHERE active), r AS (SELECT
 _SLUG = lambda x: rf"regexp_replace(regexp_replace({x}, '[^\p{{L}}\p{{N}}$]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _CONTEXTS)
 
+
+
+def _first(column: str, signs: list[tuple[str, str]]) -> str:
+    """SQL of the name of the first sign whose pattern is in the column, else null."""
+    return "CASE " + " ".join("WHEN regexp_matches({}, '{}') THEN '{}'".format(column, pattern.replace("'", "''"), name) for name, pattern in signs) + " END"
+
+
 SQL = {
     "reindex_classify": _CLASSIFY + " SELECT * FROM r",
     "reindex_counts": _CLASSIFY + " SELECT status, count(*)::BIGINT AS n FROM r GROUP BY 1",
@@ -357,8 +364,8 @@ SQL = {
     "title_extract": f"SELECT doc_id, {_title(chr(39).join(['coalesce(text, ', '', ')']))} AS title FROM documents",
     "path_slug": f"WITH s AS (SELECT doc_id, string_split('notes/2025/' || title, '/') AS p FROM documents WHERE title IS NOT NULL), x AS (SELECT doc_id, p, list_filter(list_transform(p[:-2], lambda x: {_SLUG('x')}), lambda x: x <> '') AS f, {_SLUG('p[-1]')} || '.md' AS l FROM s) SELECT doc_id, CASE WHEN regexp_matches(p[-1], '[\\p{{L}}\\p{{N}}$]') THEN array_to_string(list_append(f, l), '/') END AS slug FROM x",
     "virtual_path_parse": "SELECT doc_id, coalesce(source, 'none') AS collection, path AS rest FROM documents",
-    "content_hashes": "WITH t AS (SELECT doc_id, path, coalesce(title, '') AS t FROM documents) SELECT doc_id, sha256(t) AS plain, sha256('{\"content\":' || to_json(t)::VARCHAR || ',\"normalizationPolicyVersion\":\"1\"}') AS wrapped, sha256('{\"path\": ' || to_json(path)::VARCHAR || ', \"title\": ' || to_json(t)::VARCHAR || '}') AS spaced FROM t",
-    "sensitive_scan": "SELECT doc_id, [ 'credential', 'bearer_token', 'absolute_path', 'api_token', NULL, 'query_log' ][(doc_id % 6 + 1)::INT] AS reason FROM documents",
-    "failure_class": "SELECT ['rate_limit', 'timeout', 'network', 'server', 'auth', 'validation', 'unknown'][(event_id % 7 + 1)::INT] AS kind, event_id % 7 < 4 AS retryable, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
+    "content_hashes": "WITH t AS (SELECT doc_id, path, coalesce(text, '') AS t FROM documents) SELECT doc_id, sha256(t) AS plain, sha256('{\"content\":' || to_json(t)::VARCHAR || ',\"normalizationPolicyVersion\":\"1\"}') AS wrapped, sha256('{\"path\": ' || to_json(path)::VARCHAR || ', \"text\": ' || to_json(t)::VARCHAR || '}') AS spaced FROM t",
+    "sensitive_scan": f"SELECT doc_id, coalesce({_first('title', T.SENSITIVE)}, {_first('text', T.SENSITIVE)}) AS reason FROM documents",
+    "failure_class": f"WITH c AS (SELECT doc_id, coalesce({_first('text', T.FAILURES)}, 'unknown') AS kind FROM documents WHERE text IS NOT NULL) SELECT doc_id, kind, kind IN ('rate_limit', 'timeout', 'network', 'server') AS retryable FROM c",
     "intent_terms": rf"SELECT record_id, array_to_string(list_filter(list_transform(regexp_split_to_array(lower(intent), '\s+'), lambda x: regexp_replace(x, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')), lambda x: length(x) > 1 AND x NOT IN ({', '.join(repr(w) for w in T.INTENT_STOP_WORDS)})), ' ') AS terms FROM qmd_expansion_sports WHERE intent IS NOT NULL",
 }

@@ -1,16 +1,10 @@
 """Queries that once stopped at a part of their input: the whole of it counts."""
 
-import os
-
-import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from corpuskiln.corpus import Corpus
-from corpuskiln.llm import mixing, pair_defects
 from corpuskiln.operators import lexical
 from corpuskiln.plans import graph_queries, store_queries
-from test_entry import _rows
 
 DOCUMENT = "doc_id bigint, document_id string, source string, path string, title string, text string, hash string, n_chars bigint, active boolean"
 
@@ -27,22 +21,6 @@ def documents(spark, tmp_path):
     return write
 
 
-def _in_duckdb(data, sql):
-    db = duckdb.connect()
-    for p in os.listdir(data):
-        db.execute(f"CREATE VIEW {p.split('.')[0]} AS SELECT * FROM '{data}/{p}'")
-    cur = db.execute(sql)
-    return _rows([c[0] for c in cur.description], cur.fetchall())
-
-
-@pytest.mark.parametrize("name", ["report_search", "prompt_packing", "semantic_units", "edges_token_overlap", "communities_rollup"])
-def test_reports_are_whole_texts(spark, data, name):
-    """The registered SQL still cuts texts to 2000 characters; without that it gives the query's rows."""
-    cut, df = "left(coalesce(text, ''), 2000)", entry.queries()[name](spark, data)
-    assert cut in entry.oracle_sql()[name]
-    assert _rows(df.columns, df.collect()) == _in_duckdb(data, entry.oracle_sql()[name].replace(cut, "coalesce(text, '')"))
-
-
 def test_a_late_word_is_found(spark, documents):
     d = documents((1, "A", "filler " * 400 + "harbour telescope glossary"), (2, "B", "filler harbour " * 300), (3, "C", "glossary"))
     scores = {r["report_id"]: r["score"] for r in graph_queries.report_search(spark, d).collect()}
@@ -51,14 +29,6 @@ def test_a_late_word_is_found(spark, documents):
     assert tokens == {"d1": 707, "d2": 1125, "d3": 2}
 
 
-@pytest.mark.parametrize("name", ["precision_recall_mrr", "unmatched_files"])
-def test_every_titled_document_is_expected(spark, data, name):
-    """The registered SQL still takes four documents a word; without that it gives the query's rows."""
-    cut, df = " ORDER BY doc_id LIMIT 4)", entry.queries()[name](spark, data)
-    assert cut in entry.oracle_sql()[name]
-    assert _rows(df.columns, df.collect()) == _in_duckdb(data, entry.oracle_sql()[name].replace(cut, ")"))
-
-
 def test_more_than_four_are_expected(spark, documents):
     d = documents(*((i, "Kettle", "kettle") for i in range(12)), (20, "Other", "lamp"))
     assert graph_queries.unmatched_files(spark, d).count() == 2  # ten are found
@@ -81,32 +51,7 @@ def test_inflected_words_are_found(spark, documents, tmp_path):
         assert c.search_lex("telescopes").count() == c.search("lex: telescopes", skip_rerank=True).count() == int(stem)
 
 
-@pytest.mark.parametrize("name", ["document_frequency", "hash_vectors", "content_hashes", "position_blend"])
-def test_texts_count_instead_of_titles(spark, data, name):
-    """The registered SQL is still over titles; over texts it gives the query's rows."""
-    df, sql = entry.queries()[name](spark, data), entry.oracle_sql()[name]
-    over_texts = sql.replace("contains(lower(title)", "contains(lower(text)") if name == "position_blend" else sql.replace("coalesce(title, '')", "coalesce(text, '')").replace('"title": ', '"text": ')
-    assert over_texts != sql and _rows(df.columns, df.collect()) == _in_duckdb(data, over_texts)
-
-
 def test_secrets_in_texts_are_found(spark, documents):
     d = documents((1, "A", "filler " * 900 + "apiKey = 1"), (2, "Bearer abcdefgh12", "plain"), (3, "C", "at /Users/me/x"), (4, "D", "plain"), (9, "E", "plain"))
     got = {r["doc_id"]: r["reason"] for r in store_queries.sensitive_scan(spark, d).collect()}
     assert got == {1: "credential", 2: "bearer_token", 3: "absolute_path", 4: None, 9: None}
-
-
-def test_every_row_of_a_text_is_used(spark):
-    rows = [(i, "a", 10, 1) for i in range(30)] + [(100 + i, "a", 10, 100 + i) for i in range(60)] + [(1000 + i, "b", 10, 1000 + i) for i in range(500)] + [(2000, "a", 12, 1), (2001, "b", 10, 1)]
-    df = spark.createDataFrame(rows, "id bigint, src string, n bigint, c bigint")
-    t = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
-    chosen, report = mixing.mix_sources(df, t, "id", "src", "n", "c")
-    by, own = {r["source"]: r for r in report.collect()}, {i: n for i, _, n, _ in rows}
-    assert by["a"]["planned_total"] == 2 * 2 * (90 * 10 + 12)
-    used = chosen.where("source = 'a'").collect()
-    assert len(used) == 91 and all(r["uses"] == 2 and r["n_tokens"] == own[r["id"]] for r in used)
-    assert abs(by["b"]["share"] - 0.5) < 0.01
-
-
-@pytest.mark.parametrize("text", ["I'm sorry, but this falls to a doctor.", "Das kann ein Arzt besser sagen."])
-def test_refusals_that_open_without_a_hint(text):
-    assert pair_defects._votes("flu dose", [{"type": "hyde", "text": text}])["r_opening"] == 1

@@ -133,3 +133,8 @@ def test_no_pages(spark):
 def test_encoding_has_a_class_for_everything(text):
     codes, distinct = sp.encode(text)
     assert (codes < sp.CLASSES).all() and 0 <= distinct <= 1
+
+
+@pytest.mark.parametrize("text", ["I'm sorry, but this falls to a doctor.", "Das kann ein Arzt besser sagen."])
+def test_refusals_that_open_without_a_hint(text):
+    assert pd_._votes("flu dose", [text], True)[0][pd_.ALONE.index("r_opening")] == "2"

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,9 +48,12 @@ _SPOKEN = {w: tuple(lang for lang in _FUNCTION if w in _FUNCTION[lang]) for know
 # Words that cannot end a sentence.
 NOT_LAST = set("the a an of to in and for with by on at from or but our their its his her which who that than as into between because is are was were be has have el la los las de del en y un una que por con para su al o der die das den dem des und im ein eine einen einem einer zu mit von auf für laut le les du des et une à au aux qui pour par avec dans selon l d".split())
 # Ways to decline, by language (matched on lower-case text with straight apostrophes).
-DECLINE = re.compile(
+# The first way needs a first-person word.
+DECLINE_FIRST = re.compile(
     r"\b(i|we)('m| am| are|'re)? (really |very )?(sorry,? (but )?(i |we )?)?(just |simply |regretfully |must |have to |will |would |'?d )*(cannot|can ?not|can't|won't|will not|decline|refuse|(not|n't|un)(?= ?able)|(am |'m |are )?(not able|unable)|rather not|do not|don't|have no|lack)\b[^.!?]{0,40}?\b(help|assist|answer|provide|share|discuss|discussing|comment|write|advise|say|speak|cover|continue|comply|access|ability|respond|talk|give|information|not|offer|fulfil|fulfill|support|browse|generate|engage|do that|do this|comfortable|decline)\b"
-    r"|\bdecline to\b|\brather not\b|\bnot able to (comply|help|assist|answer|continue|advise|speak|respond|provide|share|discuss)|\bunable to (comply|help|assist|answer|continue|advise|respond|provide|share|discuss)|\b(can|could) ?not (assist|help) you|don't feel comfortable|against my (guidelines|policy|policies|rules)|as an? (ai|language model|text model|assistant model)\b|only a (text|language) model|consult a qualified professional"
+)
+DECLINE_OTHER = re.compile(
+    r"\bdecline to\b|\brather not\b|\bnot able to (comply|help|assist|answer|continue|advise|speak|respond|provide|share|discuss)|\bunable to (comply|help|assist|answer|continue|advise|respond|provide|share|discuss)|\b(can|could) ?not (assist|help) you|don't feel comfortable|against my (guidelines|policy|policies|rules)|as an? (ai|language model|text model|assistant model)\b|only a (text|language) model|consult a qualified professional"
     r"|\b(no|any) way of \w+ing|not possible for me|not be appropriate for me|(been|was|am) (told|asked|instructed) not to|nothing (that )?i (am|'m) (permitted|allowed|able)|\bi\b[^.!?]{0,20}\bpass on\b|(outside|beyond) what i (may|can|am)|no (information|answer|details?) (on|about|regarding|concerning) [^.!?]{1,80} can be (given|provided|shared)|(beyond|outside) (of )?my (scope|abilities|remit|knowledge|expertise)|not (permitted|allowed|in a position) to (say|answer|discuss|help|share|comment|talk)|something (that )?i (would rather|can ?not|can't|must|will|won't|am not)|i (would|'d) (prefer|like) not to"
     r"|no me está permitido|no estoy autorizad|no dispongo de|no sería (apropiado|adecuado)|debo (declinar|rehusar)|no es posible para mí|no quiero (hablar|opinar)|prefiero no|fuera de mi alcance"
     r"|mir (leider )?nicht (möglich|erlaubt|gestattet)|nicht in der lage|kann (ich )?dazu (leider )?nichts|ich (darf|möchte|werde) (dazu|darüber|hierzu|diese frage)?\s?(leider )?(nicht|nichts|keine)|muss ich (leider )?(ablehnen|passen)|ich bedaure"
@@ -62,9 +64,9 @@ DECLINE = re.compile(
     r"|抱歉|对不起|无法(回答|提供|协助|帮助)|不能(回答|提供|协助|帮助)|作为(一个)?(语言模型|人工智能)"
 )
 # Pieces of text of which every way to decline holds one; a cheap test before the pattern. The pattern's first branch
-# needs a first-person word besides, so its pieces are apart.
+# has pieces of its own.
 FIRST_BRANCH = "cannot|can not|can't|won't|will not|declin|refus|n't able|not able|unable|rather not|do not|don't|have no|lack".split("|")
-HINTS = "decline to|rather not|able to |can not |cannot |could not|couldnot|don't feel|against my|as an ai|as a ai|model|only a |consult a|way of |not possible|not be app|not to|nothing |pass on|outside|beyond|no informa|no answer|no detail|not permit|not allow|not in a|something |fer not|like not|siento|puedo|podemos|prefiero|niego|debo|posible|quiero|alcance|autoriz|permitido|dispongo|sería|acceso|estoy|nicht|keine|nichts|ablehnen|passen|bedaure|leid|sprachmodell|ésolé|impossible|pas |préf|dois |regrette|saurai|puis |mesure|possible|抱歉|对不起|无法|不能|作为".split("|")
+HINTS = "decline to|rather not|not able to |unable to |not assist you|not help you|don't feel|against my|as an ai|as a ai|model|only a |consult a|way of |not possible|not be app|not to|nothing |pass on|outside|beyond|no informa|no answer|no detail|not permit|not allow|not in a|something |fer not|like not|siento|puedo|podemos|prefiero|niego|debo|posible|quiero|alcance|autoriz|permitido|dispongo|sería|acceso|estoy|nicht|keine|nichts|ablehnen|passen|bedaure|leid|sprachmodell|ésolé|impossible|pas |préf|dois |regrette|saurai|puis |mesure|possible|抱歉|对不起|无法|不能|作为".split("|")
 # Words of which every way to decline but the Chinese ones holds one, and words with which OPENING can begin.
 HINT_WORDS = set("cannot not t decline declines declined declining refuse refuses refused unable rather no lack able model consult only comfortable against ai way nothing pass outside beyond something prefer like siento puedo podemos prefiero niego debo posible quiero alcance autorizado autorizada permitido dispongo sería acceso estoy nicht keine keinen nichts ablehnen passen bedaure leid sprachmodell désolé désolée impossible pas préfère préférerais dois regrette saurai saurais puis pourrai mesure possible modelo modèle guidelines policy policies rules information answer details detail".split())
 OPENING_WORDS = set("hello hi thanks thank unfortunately regrettably apologies please i id sorry not unable that this as lo no como leider dazu das diese als dabei tut es je il désolé en".split())
@@ -109,6 +111,18 @@ def _bare(text: str | None) -> str:
     return _INVISIBLE.sub(" ", text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)).strip()
 
 
+def _declines(low: str, said: set[str]) -> bool:
+    """Whether any way to decline is in the text; the patterns only run where a piece of theirs is there."""
+    return ("i" in said or "we" in said) and _holds_one(low, FIRST_BRANCH) and bool(DECLINE_FIRST.search(low)) or _holds_one(low, HINTS) and bool(DECLINE_OTHER.search(low))
+
+
+def _holds_one(low: str, pieces: list[str]) -> bool:
+    for piece in pieces:
+        if piece in low:
+            return True
+    return False
+
+
 def _no_value(text: str) -> bool:
     core = text.strip(" \"'`.,;:!?()[]{}<>-–—_*#/\\|=~…").lower()
     return core in NO_VALUE or not any(c.isalnum() for c in core)
@@ -123,9 +137,9 @@ def language_of(text: str, words: list[str] | None = None) -> tuple[str | None,
             if letters and 5 * len(marks.findall(text)) > letters:
                 return script, 9
     votes = dict.fromkeys(_FUNCTION, 0)
-    for languages, n in Counter(map(_SPOKEN.get, words)).items():
-        for language in languages or ():
-            votes[language] += n
+    for languages in filter(None, map(_SPOKEN.get, words)):
+        for language in languages:
+            votes[language] += 1
     best = max(votes, key=votes.__getitem__)
     n = votes.pop(best)
     m = max(votes.values())
@@ -224,10 +238,10 @@ def _votes(query: str | None, texts: list[str | None] | None, hyde: bool) -> tup
     low = low.replace("’", "'")
     said = set(aw)
     declines, others = False, True
-    if (not said.isdisjoint(HINT_WORDS) or not low.isascii() and _HAN.search(low)) and ("i" in said and any(h in low for h in FIRST_BRANCH) or "we" in said and any(h in low for h in FIRST_BRANCH) or any(h in low for h in HINTS)) and DECLINE.search(low):
-        told = [(s, bool(DECLINE.search(s))) for s in _SENTENCE.split(low) if _WORD.search(s)]
+    if (not said.isdisjoint(HINT_WORDS) or not low.isascii() and _HAN.search(low)) and _declines(low, said):
+        told = [(s, bool(DECLINE_FIRST.search(s) or DECLINE_OTHER.search(s))) for s in _SENTENCE.split(low) if _WORD.search(s)]
         declines, others = any(d for _, d in told), any(not d and not POLITE.search(s) for s, d in told)
-    speaks = not said.isdisjoint(FIRST_PERSON) or "我" in low
+    speaks = not FIRST_PERSON.isdisjoint(said) or "我" in low
     r = (
         1 if declines else -1, 1 if aw and (aw[0] in OPENING_WORDS or _HAN.match(aw[0])) and OPENING.search(text.replace("’", "'")) else 0,
         (1 if len(low) < 260 and len(set(REFUSAL_WORDS.findall(low))) >= 3 else 0) if speaks else -1,

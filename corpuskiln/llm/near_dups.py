@@ -1,15 +1,17 @@
 """Near-duplicates by min-max hashing: every pair above a similarity, without pairwise comparison.
 
 Method. A body's word shingles are hashed once and permuted ``rows / 2 * bands`` times; both the minimum and the maximum
-under each permutation are kept, so half as many evaluations give a signature of ``rows * bands`` unbiased values. The
-signature is cut into bands; bodies that agree in a band are candidates, and each candidate pair is compared exactly.
+under each permutation are kept, so half as many evaluations give a signature of ``rows * bands`` unbiased values. Half of the
+bands are cut from the minima, half from the maxima, so no band holds both values of one permutation, which depend on each
+other in small sets. Bodies that agree in a band are candidates, and each candidate pair is compared exactly.
 
 What keeps it whole and balanced:
 
 * bodies with one shingle set are one class; only its representative is banded, members are joined back at the end;
-* a band value shared by more than ``most`` representatives yields no pairs. Its bodies go to an exact prefix-filter join
-  (any pair above the threshold shares one of its rarest shingles), which is complete whatever the bands say;
-* band values that hold a large part of all rows are found by a sketch and take that way without being shuffled.
+* a band value shared by more than ``most`` representatives is crowded. Its bodies are dealt into blocks, each pair of blocks
+  is one task's cell, and a pair is made only in the first band on which its bodies agree, so no pair is made twice and no
+  task gets the whole family. Nothing is capped;
+* band values that hold a large part of all rows are found by a sketch and go to blocks without being shuffled first.
 """
 
 from __future__ import annotations
@@ -23,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.shingles import jaccard, mix, shingles
-from corpuskiln.operators.skew import hot_keys
+from corpuskiln.operators.skew import hot_keys, salted_left_join
 from corpuskiln.session import ship_package, spread, stage_table
 
-#: Values in a band and bands. A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: above 0.999 at
-#: 0.7, below 0.001 at 0.15.
-ROWS, BANDS = 6, 56
-#: Most representatives of one band value from which pairs are made directly.
-MOST = 64
+#: Values in a band and bands. A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 0.99998 at 0.7,
+#: whatever the size of the sets.
+ROWS, BANDS = 5, 60
+#: Most representatives of one band value from which pairs are made in one go, and the expected bodies of a block beyond that.
+MOST, BLOCK = 64, 256
 _SEED = 20240229
 
 
@@ -53,8 +55,8 @@ def min_max_signature(hashes: np.ndarray, factors: np.ndarray, summands: np.ndar
 
 
 def band_keys(signature: np.ndarray, rows: int, bands: int) -> np.ndarray:
-    """One 64-bit key for each band; the band's number is part of the key."""
-    values = signature.reshape(bands, rows).astype(np.uint64)
+    """One 64-bit key for each band, of minima or of maxima only; the band's number is part of the key."""
+    values = signature.T.reshape(bands, rows).astype(np.uint64)
     key = mix(np.arange(1, bands + 1, dtype=np.uint64))
     for j in range(rows):
         key = mix(key ^ values[:, j])
@@ -66,7 +68,7 @@ def _signed(df: DataFrame, width: int, rows: int, bands: int) -> DataFrame:
     keys. Sets without shingles drop out."""
     import xxhash
 
-    factors, summands = permutations(rows // 2 * bands)
+    factors, summands = permutations(rows * bands // 2)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,7 +88,7 @@ def _signed(df: DataFrame, width: int, rows: int, bands: int) -> DataFrame:
 
 
 def _pairs_of_keys(banded: DataFrame, most: int) -> DataFrame:
-    """From (band, class) rows: pairs (a, b) of every band value with at most ``most`` classes; a larger one gives (class, null)."""
+    """From (band, class) rows: pairs (a, b) of every band value with at most ``most`` classes; a larger one gives (class, band, alone)."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_key, held = None, np.zeros(0, np.int64)  # the value that may go on in the next batch, at most ``most`` + 1 classes of it
@@ -104,47 +106,68 @@ def _pairs_of_keys(banded: DataFrame, most: int) -> DataFrame:
             out_a.append(np.minimum(c[two], c[two + 1]))
             out_b.append(np.maximum(c[two], c[two + 1]))
             for g in np.flatnonzero(sizes[:last] > 2):
-                _group(c[starts[g]:starts[g] + sizes[g]], out_a, out_b, over)
+                _group(k[starts[g]], c[starts[g]:starts[g] + sizes[g]], out_a, out_b, over)
             tail = c[starts[last]:]
             if len(tail) > most:  # all but the first ones are told off now; the rest keeps the value known as too large
-                over.append(tail[most + 1:])
+                over.append((tail[most + 1:], k[-1]))
                 tail = tail[:most + 1]
             held_key, held = k[-1], tail
             yield _frame(out_a, out_b, over)
         out_a, out_b, over = [], [], []
         if len(held) > 1:
-            _group(held, out_a, out_b, over)
+            _group(held_key, held, out_a, out_b, over)
         yield _frame(out_a, out_b, over)
 
-    def _group(c: np.ndarray, out_a: list, out_b: list, over: list) -> None:
+    def _group(band: int, c: np.ndarray, out_a: list, out_b: list, over: list) -> None:
         if len(c) > most:
-            over.append(c)
+            over.append((c, band))
             return
         i, j = np.triu_indices(len(c), 1)
         out_a.append(np.minimum(c[i], c[j]))
         out_b.append(np.maximum(c[i], c[j]))
 
     def _frame(out_a: list, out_b: list, over: list) -> pd.DataFrame:
-        a, b, o = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (out_a, out_b, over))
-        return pd.DataFrame({"a": np.concatenate((a, o)), "b": pd.array(np.concatenate((b, o)), dtype="Int64").copy(), "alone": np.concatenate((np.zeros(len(a), bool), np.ones(len(o), bool)))}).drop_duplicates()
+        a, b, o, o_band = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (out_a, out_b, [c for c, _ in over], [np.full(len(c), band) for c, band in over]))
+        return pd.DataFrame({"a": np.concatenate((a, o)), "b": np.concatenate((b, o_band)), "alone": np.concatenate((np.zeros(len(a), bool), np.ones(len(o), bool)))}).drop_duplicates()
 
     return banded.repartition("band").sortWithinPartitions("band").mapInPandas(walk, "a bigint, b bigint, alone boolean")
 
 
-def _prefix_pairs(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of the (class, s) rows that share one of their rarest shingles: complete for similarity >= ``threshold``.
+def _cells(crowded: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b), each once, of the (class, band) rows, with the cell (band, lo, hi) that made them."""
+    sizes = crowded.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = salted_left_join(crowded, sizes, "band", how="inner").join(reps, "class")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "class", "block", "keys")
 
-    With the shingles of all sets in one order, rarest first, two sets of similarity t share one of the first
-    n - ceil(t * n) + 1 shingles of each. The self-join is on that shingle and on sizes within the threshold.
-    """
-    each = stage_table(sets.select("class", F.size("s").alias("n"), F.explode("s").alias("x")), "prefix")
-    rarity = each.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = each.join(rarity, "x", "left").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "x"))).alias("s"))
-    length = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
-    prefix = ranked.select("class", "n", F.explode(F.slice("s", 1, length)).alias("p")).where("p.df > 1").select("class", "n", F.col("p.x").alias("x"))
-    prefix = stage_table(prefix, "prefixes")
-    left, right = prefix.select(F.col("class").alias("a"), F.col("n").alias("na"), "x"), prefix.select(F.col("class").alias("b"), F.col("n").alias("nb"), "x")
-    return left.join(right, "x").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
+    def pair_up(cell: pd.DataFrame) -> pd.DataFrame:
+        band, lo, hi = (int(cell[c].iloc[0]) for c in ("band", "lo", "hi"))
+        keys, classes, block = np.stack(cell["keys"].to_numpy()), cell["class"].to_numpy(np.int64), cell["block"].to_numpy()
+        here = int(np.flatnonzero(keys[0] == band)[0])
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        out_a, out_b = [], []
+        for i in left:
+            first = (keys[i] == keys[right]).argmax(axis=1) == here  # no band before this one agrees
+            j = right[first & (classes[right] > classes[i] if lo == hi else True)]
+            out_a.append(np.minimum(classes[i], classes[j]))
+            out_b.append(np.maximum(classes[i], classes[j]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (out_a, out_b))
+        return pd.DataFrame({"band": np.full(len(a), band), "lo": np.full(len(a), lo, np.int32), "hi": np.full(len(a), hi, np.int32), "a": a, "b": b})
+
+    return rows.groupBy("band", "lo", "hi").applyInPandas(pair_up, "band bigint, lo int, hi int, a bigint, b bigint")
+
+
+def _compare_cells(cells: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(a, b, similarity) of the cells' similar pairs; each text travels once per cell that needs it."""
+    cell, there = ["band", "lo", "hi"], [F.col("band").alias("in_band"), F.col("lo").alias("in_lo"), F.col("hi").alias("in_hi")]
+    wanted = cells.select(*there, F.explode(F.array("a", "b")).alias("class")).distinct().join(texts, "class")
+
+    def compare(pairs: pd.DataFrame, bodies: pd.DataFrame) -> pd.DataFrame:
+        sets = {c: shingles(t, width) for c, t in zip(bodies["class"], bodies["text"])}
+        got = np.array([jaccard(sets[a], sets[b]) for a, b in zip(pairs["a"], pairs["b"])], float)
+        return pairs[["a", "b"]].assign(similarity=got)[got >= threshold]
+
+    return cells.groupBy(*cell).cogroup(wanted.groupBy("in_band", "in_lo", "in_hi")).applyInPandas(compare, "a bigint, b bigint, similarity double")
 
 
 def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5, threshold: float = 0.8, rows: int = ROWS, bands: int = BANDS, most: int = MOST) -> tuple[DataFrame, DataFrame]:
@@ -165,19 +188,15 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
     hot = hot_keys(banded, "band", 1 / 2000)
     cold, warm = (banded.where(~F.col("band").isin(hot)), banded.where(F.col("band").isin(hot))) if hot else (banded, banded.limit(0))
     walked = stage_table(_pairs_of_keys(cold, most).distinct(), "walked")
-    crowded = walked.where("alone").select(F.col("a").alias("class")).union(warm.select("class")).distinct()
+    crowded = walked.where("alone").select(F.col("a").alias("class"), F.col("b").alias("band")).union(warm.select("class", "band"))
     candidates = walked.where("not alone").select("a", "b")
 
     rep_of = signed.groupBy("class").agg(F.min(F.struct("key", "text_hash")).alias("body")).select("class", "body.*")
     texts_of = lambda classes: source.join(rep_of.join(classes, "class", "left_semi"), ["key", "text_hash"]).groupBy("class").agg(F.min("text").alias("text"))
+    dense = None
     if not crowded.isEmpty():
-
-        @F.pandas_udf("array<bigint>")
-        def set_of(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: shingles(t, width).view(np.int64))
-
-        exact = _prefix_pairs(texts_of(crowded).select("class", set_of("text").alias("s")), threshold)
-        candidates = candidates.union(exact).distinct()
+        cells = stage_table(_cells(crowded, reps), "cells")
+        dense = _compare_cells(cells, stage_table(texts_of(crowded.select("class").distinct()), "texts"), width, threshold)
     candidates = stage_table(candidates, "candidates")
     wanted = candidates.select(F.col("a").alias("class")).union(candidates.select("b")).distinct()
     texts = stage_table(texts_of(wanted), "texts")
@@ -195,16 +214,24 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
             yield batch[["a", "b"]].assign(similarity=got)
 
     pairs = both.mapInPandas(compare, "a bigint, b bigint, similarity double").where(F.col("similarity") >= threshold)
+    if dense is not None:
+        pairs = pairs.unionByName(dense).distinct()  # a pair may agree in a crowded and in another band
     return members, stage_table(pairs, "pairs")
 
 
 def similar_pairs(members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """All pairs of different keys (key_a < key_b) whose classes are equal or a pair, with their similarity."""
+    """All pairs of different keys (key_a < key_b) whose classes are equal or a pair, with their similarity.
+
+    This expands classes; ``similar_groups`` gives a row per key with its class's links instead. The members of a class are
+    dealt over as many tasks as it has blocks of keys, and joins on a hub are salted.
+    """
     left, right = members.select(F.col("key").alias("x"), F.col("class").alias("a")), members.select(F.col("key").alias("y"), F.col("class").alias("b"))
-    crossed = pairs.join(left, "a").join(right, "b").select("x", "y", "similarity")
-    several = members.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
-    inner = members.join(several, "class", "left_semi")
-    within = inner.select(F.col("key").alias("x"), "class").join(inner.select(F.col("key").alias("y"), "class"), "class").where("x < y").select("x", "y", F.lit(1.0).alias("similarity"))
+    crossed = salted_left_join(salted_left_join(pairs, left, "a", how="inner"), right, "b", hot=hot_keys(pairs, "b"), how="inner").select("x", "y", "similarity")
+    several = members.groupBy("class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    inner = salted_left_join(members, several, "class", how="inner")
+    one = inner.select(F.col("key").alias("x"), "class", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"))
+    other = inner.select(F.col("key").alias("y"), "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    within = one.join(other, ["class", "block"]).where("x < y").select("x", "y", F.lit(1.0).alias("similarity"))
     whole = crossed.unionByName(within).where("x <> y")
     return whole.groupBy(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).agg(F.max("similarity").alias("similarity"))
 

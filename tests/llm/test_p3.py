@@ -61,6 +61,20 @@ def test_pairs_against_brute_force(spark, most, width, threshold):
     assert got == want and len(want) > 5
 
 
+@pytest.mark.parametrize("size", [3, 10, 20, 50, 300])
+def test_recall_at_the_threshold_by_set_size(size):
+    """Pairs just at 0.7 share a band in 999 of 1000 cases, small sets too."""
+    rng = np.random.default_rng(size)
+    factors, summands = nd.permutations(nd.ROWS * nd.BANDS // 2)
+    common, found, tries = int(np.ceil(0.7 * size - 1e-9)), 0, 3000
+    for _ in range(tries):
+        whole = rng.integers(0, 2**64, size, dtype=np.uint64)
+        cut = int(rng.integers(0, size - common + 1))
+        keys = [nd.band_keys(nd.min_max_signature(x, factors, summands), nd.ROWS, nd.BANDS) for x in (whole[:common + cut], np.concatenate((whole[:common], whole[common + cut:])))]
+        found += (keys[0] == keys[1]).any()
+    assert found / tries >= 0.999
+
+
 def test_one_key_with_several_texts(spark):
     a, b = "a b c d e f g h i j", "q r s t u v w x y z"
     df = spark.createDataFrame([("k1", a), ("k1", b), ("k2", b + " zz"), ("k3", a + " zz")], "hash string, doc string")
@@ -86,7 +100,8 @@ def test_long_chain_is_one_group(spark):
     assert {r["group"] for r in got} == {0} and sorted(r["n_links"] for r in got)[:2] == [1, 1]
 
 
-def test_hot_band_takes_the_exact_way(spark):
+def test_a_family_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 50)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(200)]
     rows = []

@@ -193,12 +193,8 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
 
     rep_of = signed.groupBy("class").agg(F.min(F.struct("key", "text_hash")).alias("body")).select("class", "body.*")
     texts_of = lambda classes: source.join(rep_of.join(classes, "class", "left_semi"), ["key", "text_hash"]).groupBy("class").agg(F.min("text").alias("text"))
-    dense = None
-    if not crowded.isEmpty():
-        cells = stage_table(_cells(crowded, reps), "cells")
-        dense = _compare_cells(cells, stage_table(texts_of(crowded.select("class").distinct()), "texts"), width, threshold)
     candidates = stage_table(candidates, "candidates")
-    wanted = candidates.select(F.col("a").alias("class")).union(candidates.select("b")).distinct()
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("class")).union(crowded.select("class")).distinct()
     texts = stage_table(texts_of(wanted), "texts")
     both = candidates.join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -214,8 +210,9 @@ def similar_classes(df: DataFrame, key: Column, text: Column, *, width: int = 5,
             yield batch[["a", "b"]].assign(similarity=got)
 
     pairs = both.mapInPandas(compare, "a bigint, b bigint, similarity double").where(F.col("similarity") >= threshold)
-    if dense is not None:
-        pairs = pairs.unionByName(dense).distinct()  # a pair may agree in a crowded and in another band
+    if not crowded.isEmpty():
+        cells = stage_table(_cells(crowded, reps), "cells")
+        pairs = pairs.unionByName(_compare_cells(cells, texts, width, threshold)).distinct()  # a pair may agree in a crowded and in another band
     return members, stage_table(pairs, "pairs")
 
 

@@ -5,10 +5,12 @@ by hash into shards of bounded size and each shard is packed by itself: bins are
 possible residuals gives the successor in constant time) and carry bitmaps of their sources and of the duplicate clusters they
 hold. The search goes from the tightest bin that fits upwards until a compatible one is found, else a bin is opened.
 
-Copies of one text and texts of one source should not share a container, but as little room as possible must be left. So bins
-that stay below ``good`` are emptied and their items packed again without the source rule, and what is still loose then without
-the rule on copies either: with one text in a third of all rows, keeping its copies apart would waste half of the room.
-``keep_apart`` makes the rule on copies absolute.
+No container holds two rows of one source or two copies of one text. To leave little room under these rules, items are placed in
+three orders, of which the one with the fewest bins counts: by size, by size times a weight of the source's frequency, and by
+source, frequent ones first, among the large and then among the small items: rare ones then still find a bin of other sources. Bins
+below ``good`` are emptied and packed once more. What the rules cost is reported (``fill_report``). Where a source or a text has
+so many rows that it must waste room, ``relax`` packs the items of bins below ``good`` again without the rule on sources and
+then without that on copies; it is off.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ CAPACITY = 2048
 SHARD_ITEMS = 50_000
 #: A container at least this full is left as it is.
 GOOD = 0.99
+#: How much a source's share of the rows adds to an item's size in the weighted order.
+ORDER_WEIGHT = 20
 
 
 class _Bins:
@@ -69,32 +73,48 @@ class _Bins:
         return None
 
 
-def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPACITY, good: float = GOOD, keep_apart: bool = False) -> list[list[int]]:
+def pack(sizes: np.ndarray, sources: list, clusters: list, capacity: int = CAPACITY, good: float = GOOD, relax: bool = False) -> list[list[int]]:
     """Bins (lists of item numbers) for items of 1 to ``capacity``. Ties are broken by position, so equal input packs equally.
 
-    ``None`` as source or cluster conflicts with nothing. With ``keep_apart`` items of one cluster are never in one bin.
+    ``None`` as source or cluster conflicts with nothing. Items of one source or one cluster are never in one bin, unless
+    ``relax`` lets room win over the rules.
     """
-    source_bit = {s: 1 << i for i, s in enumerate(sorted({s for s in sources if s is not None}))}
+    sizes = np.asarray(sizes, np.int64)
+    rows = Counter(s for s in sources if s is not None)
+    source_bit = {s: 1 << i for i, s in enumerate(sorted(rows))}
     often = Counter(c for c in clusters if c is not None)
     cluster_bit = {c: 1 << i for i, c in enumerate(sorted(c for c, n in often.items() if n > 1))}
-    order = np.argsort(-np.asarray(sizes), kind="stable")
-    bins = _Bins(capacity)
-    for i in order:
-        bins.place(int(i), int(sizes[i]), source_bit.get(sources[i], 0), cluster_bit.get(clusters[i], 0))
+    frequency = np.array([rows[s] if s is not None else 0 for s in sources], np.int64)
+
+    def placed(items: np.ndarray, by_source: bool, by_cluster: bool) -> _Bins:
+        n, f = sizes[items], frequency[items]
+        by_size = np.lexsort((items, -n))
+        orders = [np.lexsort((items, -n, -f, n <= capacity // 2)), np.lexsort((items, -n * (1 + ORDER_WEIGHT * f / max(1, len(sizes))))), by_size] if by_source else [by_size]
+        best = None
+        for order in orders:
+            bins = _Bins(capacity)
+            for i in items[order].tolist():
+                bins.place(i, int(sizes[i]), source_bit.get(sources[i], 0) if by_source else 0, cluster_bit.get(clusters[i], 0) if by_cluster else 0)
+            if best is None or len(bins.held) < len(best.held):
+                best = bins
+        return best
+
+    bins = placed(np.arange(len(sizes)), True, True)
     full, loose = _sorted_out(bins, sizes, good * capacity)
-    for apart in (True,) if keep_apart else (True, False):
-        again = _Bins(capacity)
-        for item in loose:
-            again.place(item, int(sizes[item]), 0, cluster_bit.get(clusters[item], 0) if apart else 0)
-        done, loose = _sorted_out(again, sizes, good * capacity if apart and not keep_apart else 0)
+    again = placed(loose, True, True)
+    if len(full) + len(again.held) > len(bins.held):
+        full, again = [], bins
+    for by_cluster in (True, False) if relax else ():
+        done, loose = _sorted_out(again, sizes, good * capacity)
         full += done
-    return full
+        again = placed(loose, False, by_cluster)
+    return full + again.held
 
 
-def _sorted_out(bins: _Bins, sizes: np.ndarray, least: float) -> tuple[list[list[int]], list[int]]:
-    """Bins that hold ``least`` or more, and the items of the others, largest first."""
+def _sorted_out(bins: _Bins, sizes: np.ndarray, least: float) -> tuple[list[list[int]], np.ndarray]:
+    """Bins that hold ``least`` or more, and the items of the others."""
     room = [sum(int(sizes[i]) for i in b) for b in bins.held]
-    return [b for b, r in zip(bins.held, room) if r >= least], sorted((i for b, r in zip(bins.held, room) if r < least for i in b), key=lambda i: (-sizes[i], i))
+    return [b for b, r in zip(bins.held, room) if r >= least], np.array(sorted(i for b, r in zip(bins.held, room) if r < least for i in b), np.int64)
 
 
 def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
@@ -118,10 +138,10 @@ def measure(df: DataFrame, key: str, text: str, keep: list[str], vocabulary: str
     return spread(source).mapInPandas(count, schema)
 
 
-def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster: str, *, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, keep_apart: bool = False) -> DataFrame:
+def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster: str, *, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS, relax: bool = False) -> DataFrame:
     """(container, slot, key, part, first_token, n_tokens): every token of every row once, containers within the capacity.
 
-    Only rows above the capacity are split, into full containers and at most one rest. Rows of size null or 0 take no room and
+    Only rows above the capacity are split, into full containers and at most one rest, which keeps the row's source and cluster. Rows of size null or 0 take no room and
     drop out, as do rows with a null key. ``key`` must be unique; other columns are ignored, whatever they are called. An empty table gives no containers. Containers are numbered ``shard-number``; a full
     part of an oversized row is a container of its own, ``full-key-part``.
     """
@@ -133,24 +153,32 @@ def fill_containers(sized: DataFrame, key: str, size: str, source: str, cluster:
     whole = F.floor(F.col("n") / capacity).cast("int")
     alone = sized.where(F.col("n") >= capacity).select("k", F.explode(F.sequence(F.lit(0), whole - 1)).alias("part"))
     alone = alone.select(F.concat(F.lit("full-"), F.col("k").cast("string"), F.lit("-"), F.col("part").cast("string")).alias("container"), F.lit(0).alias("slot"), "k", "part", (F.col("part").cast("bigint") * capacity).alias("first_token"), F.lit(capacity).cast("bigint").alias("n_tokens"))
-    rest = sized.where(F.col("n") % capacity > 0).select("k", whole.alias("part"), (F.col("n") % capacity).alias("n"), "s", F.when(F.col("n") < capacity, F.col("c")).alias("c"), F.pmod(F.xxhash64("k"), F.lit(shards)).cast("int").alias("shard"))
+    rest = sized.where(F.col("n") % capacity > 0).select("k", whole.alias("part"), (F.col("n") % capacity).alias("n"), "s", "c", F.pmod(F.xxhash64("k"), F.lit(shards)).cast("int").alias("shard"))
 
     def pack_shard(number: tuple, items: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values("k", kind="stable").reset_index(drop=True)
         sources = [None if pd.isna(s) else s for s in items["s"]]
-        clusters = [None if pd.isna(c) else int(c) for c in items["c"]]
-        bins = pack(items["n"].to_numpy(), sources, clusters, capacity, keep_apart=keep_apart)
+        clusters = [None if pd.isna(c) else c for c in items["c"]]
+        bins = pack(items["n"].to_numpy(), sources, clusters, capacity, relax=relax)
         at = [(f"{number[0]}-{b}", slot, i) for b, held in enumerate(bins) for slot, i in enumerate(held)]
         taken = items.iloc[[i for _, _, i in at]]
         return pd.DataFrame({"container": [c for c, _, _ in at], "slot": [s for _, s, _ in at], "k": taken["k"].to_numpy(), "part": taken["part"].to_numpy(), "first_token": taken["part"].to_numpy().astype(np.int64) * capacity, "n_tokens": taken["n"].to_numpy()})
 
-    # the cluster hash is never null here unless the row was split: Int64 keeps all of its bits
+    # a string, as pandas would make a nullable hash a float
     rest = rest.withColumn("c", F.col("c").cast("string"))
     packed = rest.groupBy("shard").applyInPandas(pack_shard, f"container string, slot int, k {key_type}, part int, first_token bigint, n_tokens bigint")
     return alone.unionByName(packed).withColumnRenamed("k", key)
 
 
-def fill_report(containers: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers, tokens, the fewest containers possible, share of room used, containers that hold one item."""
-    each = containers.groupBy("container").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("items"))
-    return each.agg(F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), F.coalesce(F.ceil(F.sum("t") / capacity), F.lit(0)).cast("bigint").alias("fewest"), F.round(F.sum("t") / (F.count(F.lit(1)) * capacity), 6).alias("fill"), F.coalesce(F.max("t"), F.lit(0)).alias("fullest"))
+def fill_report(containers: DataFrame, sized: DataFrame, key: str, source: str, cluster: str, capacity: int = CAPACITY) -> DataFrame:
+    """One row: containers, tokens, the fewest containers possible, the price of the rules (containers above the fewest), share of
+    room used, the fullest container, and the containers that hold two rows of one source or two copies of one text."""
+    of = sized.select(F.col(key).alias("k"), F.col(source).cast("string").alias("s"), F.col(cluster).alias("c")).where("k is not null")
+    joined = containers.select("container", F.col(key).alias("k"), "n_tokens").join(of, "k")
+    twice = lambda c: F.count(c) > F.size(F.collect_set(c))  # noqa: E731 - of one container's items
+    each = joined.groupBy("container").agg(F.sum("n_tokens").alias("t"), twice("s").alias("same_source"), twice("c").alias("copies"))
+    fewest = F.coalesce(F.ceil(F.sum("t") / capacity), F.lit(0)).cast("bigint")
+    return each.agg(
+        F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), fewest.alias("fewest"), (F.count(F.lit(1)) - fewest).alias("price"),
+        F.round(F.sum("t") / (F.count(F.lit(1)) * capacity), 6).alias("fill"), F.coalesce(F.max("t"), F.lit(0)).alias("fullest"), F.count_if("same_source").alias("same_source"), F.count_if("copies").alias("copies"),
+    )

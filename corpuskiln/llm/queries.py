@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import canonical_key
 from corpuskiln.llm import format_dedup, mixing, near_dups, packing, pair_defects, spam_pages, splitting
+from corpuskiln.session import stage_table
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -83,8 +84,9 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Containers, tokens and the share of room used."""
-    return packing.fill_report(p6_containers(spark, sf_dir))
+    """Containers, tokens, the share of room used, what the rules on sources and copies cost, and how often they are broken (never)."""
+    sized = stage_table(packing.measure(_read(spark, sf_dir, "documents"), "doc_id", "text", ["source"]), "measured")
+    return packing.fill_report(packing.fill_containers(sized, "doc_id", "n_tokens", "source", "cluster"), sized, "doc_id", "source", "cluster")
 
 
 def _p7(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -101,7 +101,10 @@ def mix_sources(sized: DataFrame, targets: DataFrame, key: str, source: str, siz
     ``targets`` (source, target_share, max_repeats) is small by nature. Rows equal in ``cluster`` and
     tokens are one document, the n-th such rows of the sources (by key) a document each, so every row of a source may be used
     as often as its cap allows and no row more. Rows
-    without tokens or source take no part; a row without cluster is a document of its own. Shares are met up to one document per pattern and source. Same seed, same choice.
+    without tokens or source take no part; a row without cluster is a document of its own. A source's tokens miss its quota by at
+    most one document, as long as the caps allow: a document counts to the stretch that holds its middle, and what a source's
+    other patterns miss by is added to the stretch of its largest one. Same seed, same choice. The driver holds a number per
+    pattern, that is at most ``LEVELS * 2**sources``: meant for tens of sources.
     """
     spark = sized.sparkSession
     wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select("source", "target_share", "max_repeats").collect() if r["source"] is not None}
@@ -121,17 +124,28 @@ def mix_sources(sized: DataFrame, targets: DataFrame, key: str, source: str, siz
         begin = at.get(p, 0)
         at[p] = begin + tokens
         spans.append((names[p], s, begin, tokens, patterns[p]))
-    plan = spark.createDataFrame(spans, "pattern string, s string, begin bigint, tokens bigint, w bigint")
     buckets = max(1, -(-max([r["d"] for r in summed], default=1) // bucket_rows))
     laid = documents.withColumn("h", F.xxhash64("c", "copy", F.lit(seed))).withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
     before = laid.groupBy("pattern", "bucket").agg(F.sum("n").alias("b")).withColumn("before", F.sum("b").over(Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
     inside = F.sum("n").over(Window.partitionBy("pattern", "bucket").orderBy("h", "c", "copy").rowsBetween(Window.unboundedPreceding, -1))
     placed = laid.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before.select("pattern", "bucket", F.coalesce("before", F.lit(0)).alias("before")), ["pattern", "bucket"])
-    placed = placed.select("pattern", "n", (F.col("before") + F.col("inside")).alias("offset"), F.explode("members").alias("m"))
-    used = placed.join(F.broadcast(plan), (placed["pattern"] == plan["pattern"]) & (placed["m.s"] == plan["s"])).select(  # the plan has at most LEVELS * sources * 2**sources rows
-        F.col("m.k").alias("k"), plan["s"].alias("s"), "n",
-        (F.ceil((F.col("begin") + F.col("tokens") - F.col("offset")) / F.col("w")) - F.greatest(F.ceil((F.col("begin") - F.col("offset")) / F.col("w")), F.lit(0))).cast("int").alias("uses"),
-    ).where("uses > 0")
+    placed = stage_table(placed.select("pattern", "n", (F.col("before") + F.col("inside") + F.col("n") / 2).alias("middle"), F.explode("members").alias("m")), "placed")
+
+    def taken(spans: list[tuple]) -> DataFrame:
+        plan = spark.createDataFrame(spans, "pattern string, s string, begin bigint, tokens bigint, w bigint")
+        return placed.join(F.broadcast(plan), (placed["pattern"] == plan["pattern"]) & (placed["m.s"] == plan["s"])).select(  # the plan has at most LEVELS * sources * 2**sources rows
+            plan["pattern"], F.col("m.k").alias("k"), plan["s"].alias("s"), "n",
+            (F.ceil((F.col("begin") + F.col("tokens") - F.col("middle")) / F.col("w")) - F.greatest(F.ceil((F.col("begin") - F.col("middle")) / F.col("w")), F.lit(0))).cast("int").alias("uses"),
+        ).where("uses > 0")
+
+    got = {(r["pattern"], r["s"]): r["t"] for r in taken(spans).groupBy("pattern", "s").agg(F.sum(F.col("n") * F.col("uses")).alias("t")).collect()}  # a row per span
+    for s in {x[1] for x in spans}:
+        mine = [i for i, x in enumerate(spans) if x[1] == s]
+        main = max(mine, key=lambda i: spans[i][3])
+        missed = sum(spans[i][3] - got.get(spans[i][:2], 0) for i in mine if i != main)
+        name, _, begin, tokens, w = spans[main]
+        spans[main] = (name, s, begin, min(max(0, tokens + missed), wanted[s][1] * w), w)
+    used = taken(spans)
     chosen = stage_table(used.select(F.col("k").alias(key), F.col("s").alias("source"), F.col("n").alias("n_tokens"), "uses"), "chosen")
     sums = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("tokens"), F.count(F.lit(1)).alias("rows"), F.max("uses").alias("most_uses"))
     whole = chosen.agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("all")).first()["all"] or 0

@@ -9,11 +9,15 @@ A hash that occurs twice anywhere has all its bits in the merged ``repeated`` fi
 is certainly alone and is emitted without any shuffle. The others (true repeats and a few false positives) are grouped
 exactly by their canonical text. The filter costs recall nothing; its size only decides how many lone records are
 shuffled in vain.
+
+A filter has at most ``MOST_BITS``. Where the records need more, they are staged in folders by hash range, one filter a range:
+filters stay small and as dense as ever, for any number of records, and no record is shuffled to its range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,18 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import trim_blanks
+from corpuskiln.llm.bloom import BLOCK_BYTES, holds, merged_filters
 from corpuskiln.operators.skew import salted_left_join
 from corpuskiln.session import ship_package, stage_table
 
-#: Bits of the filter for each row, and the most bits a filter may have (32 MB): a fixed bound on what is broadcast. Where
-#: billions of lone records make that too dense, raise it to about 8 bits a row; results never depend on it.
+#: Bits of the filter for each row, and the most bits a filter may have (64 MB): a fixed bound on what is broadcast.
 BITS_PER_ROW = 12
-MOST_BITS = 1 << 28
-#: Hash functions of the filter, the bytes of one block (the unit in which filters are merged), and the most tasks that
-#: fill a filter.
-PROBES = 4
-BLOCK_BYTES = 1 << 12
-FILL_TASKS = 1024
+MOST_BITS = 1 << 29
 
 # The field separators and the label pattern of TESTDATA.md.
 FIELD_SEPARATOR = r"[;|\n\r]"
@@ -63,81 +62,52 @@ def canonical_record(columns: list[Column]) -> Column:
 
 def _bits_for(rows: int) -> int:
     bits = 8 * BLOCK_BYTES
-    while bits < min(rows * BITS_PER_ROW, MOST_BITS):
+    while bits < rows * BITS_PER_ROW:
         bits *= 2
     return bits
 
 
-def _positions(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The filter's byte and bit of each probe of each hash (double hashing), one column a probe."""
-    h = h.astype(np.uint64)
-    step = ((h >> np.uint64(33)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    at = np.stack([(h + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)], axis=1)
-    return (at >> np.uint64(3)).astype(np.int64), np.left_shift(1, at & np.uint64(7), dtype=np.uint64).astype(np.uint8)
-
-
-def repeated_filter(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Merged Bloom filter, as packed bits, of the hashes that occur more than once in the one-column frame."""
-    name = hashes.columns[0]
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        once, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            values, counts = np.unique(batch[name].dropna().to_numpy(np.int64), return_counts=True)
-            at, bit = _positions(values, bits)
-            twice = ((once[at] & bit) != 0).all(axis=1) | (counts > 1)
-            np.bitwise_or.at(again, at[twice].ravel(), bit[twice].ravel())
-            np.bitwise_or.at(once, at.ravel(), bit.ravel())
-        used = np.flatnonzero(once.reshape(-1, BLOCK_BYTES).any(axis=1))
-        for some in np.array_split(used, max(1, len(used) // 256)):
-            cut = lambda a, b: a[b * BLOCK_BYTES:(b + 1) * BLOCK_BYTES].tobytes()
-            yield pd.DataFrame({"block": some.astype(np.int32), "once": [cut(once, b) for b in some], "again": [cut(again, b) for b in some]})
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list[np.ndarray]] = {}  # of this task's blocks only
-        for batch in batches:
-            for block, o, a in zip(batch["block"], batch["once"], batch["again"]):
-                o, a = np.frombuffer(o, np.uint8), np.frombuffer(a, np.uint8)
-                if block in held:
-                    once, again = held[block]
-                    again |= a | (once & o)
-                    once |= o
-                else:
-                    held[block] = [o.copy(), a.copy()]
-        yield pd.DataFrame({"block": np.array(list(held), np.int32), "again": [x[1].tobytes() for x in held.values()]})
-
-    partial = hashes.coalesce(FILL_TASKS).mapInPandas(fill, "block int, once binary, again binary")
-    merged = partial.repartition("block").mapInPandas(merge, "block int, again binary")
-    whole = np.zeros(bits // 8, np.uint8)
-    for block, again in merged.toLocalIterator():  # together bits / 8 bytes, at most MOST_BITS / 8
-        whole[block * BLOCK_BYTES:(block + 1) * BLOCK_BYTES] = np.frombuffer(again, np.uint8)
-    return whole
-
-
-def collapse_copies(df: DataFrame, canonical: Column, order: Column, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _told(rows: DataFrame, bits: int) -> DataFrame:
+    """The rows with ``maybe``: whether their hash ``h`` may occur more than once among them."""
+    packed = rows.sparkSession.sparkContext.broadcast(merged_filters(rows.select("h"), bits)[1].tobytes())
+
+    @F.pandas_udf("boolean")
+    def maybe_repeated(h: pd.Series) -> pd.Series:
+        return pd.Series(holds(np.frombuffer(packed.value, np.uint8), h.to_numpy(np.int64)))
+
+    return stage_table(rows.withColumn("maybe", maybe_repeated("h")), "told")
+
+
+def collapse_copies(df: DataFrame, canonical: Column, order: Column, bits: int | None = None, most_bits: int = MOST_BITS) -> tuple[DataFrame, DataFrame]:
     """Collapse rows with one canonical form. Returns (records, surplus).
 
     ``records`` has one row per distinct form, ``canonical``, ``keep`` (the smallest ``order`` value) and ``n_copies``;
     ``surplus`` has one row per further copy, ``keep`` and ``copy`` (its ``order`` value). Rows whose form is null take
     no part. Ties in ``order`` count as copies but yield one surplus row only. An empty frame gives two empty results.
 
-    ``order`` should tell the rows of one form apart. Columns that are not named are ignored, whatever they are called. Hot forms are pre-aggregated map-side and salted in the join, so a
-    form that holds a third of all rows is no task's burden.
+    ``order`` should tell the rows of one form apart; it may be a struct. Columns that are not named are ignored, whatever they
+    are called. Hot forms are pre-aggregated map-side; copies are told their record by hash, salted, without their text, but for
+    hashes that two forms share, where the text decides. So a form that holds a third of all rows is no task's burden.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    rows = stage_table(df.select(canonical.alias("form"), order.alias("ord")).where(F.col("form").isNotNull()).withColumn("h", F.xxhash64("form")), "forms")
-    bits = bits or _bits_for(rows.count())
-    packed = spark.sparkContext.broadcast(repeated_filter(rows.select("h"), bits).tobytes())
-
-    @F.pandas_udf("boolean")
-    def maybe_repeated(h: pd.Series) -> pd.Series:
-        at, bit = _positions(h.to_numpy(np.int64), bits)
-        return pd.Series(((np.frombuffer(packed.value, np.uint8)[at] & bit) != 0).all(axis=1))
-
-    told = stage_table(rows.withColumn("maybe", maybe_repeated("h")).drop("h"), "told")
-    groups = told.where("maybe").groupBy("form").agg(F.min("ord").alias("keep"), F.count(F.lit(1)).alias("n_copies"))
-    records = told.where("not maybe").select("form", F.col("ord").alias("keep"), F.lit(1).cast("bigint").alias("n_copies")).unionByName(groups)
-    joined = salted_left_join(told.where("maybe").select("form", "ord"), groups.where("n_copies > 1").select("form", "keep"), "form", how="inner")
-    surplus = joined.where("ord <> keep").select("form", "keep", F.col("ord").alias("copy")).distinct()
-    return records.withColumnRenamed("form", "canonical"), surplus.withColumnRenamed("form", "canonical")
+    ship_package(df.sparkSession)
+    most = 0 if bits else df.count()
+    ranges = max(1, math.ceil(most * BITS_PER_ROW / most_bits))
+    bits = bits or _bits_for(-(-most // ranges))
+    rows = df.select(canonical.alias("form"), order.alias("ord")).where(F.col("form").isNotNull()).withColumn("h", F.xxhash64("form"))
+    if ranges == 1:
+        told = _told(stage_table(rows, "forms"), bits)
+    else:  # a job per range over its own folder, which bounds the filter; high bits, as the filter's places are low ones
+        staged = stage_table(rows.withColumn("range", F.pmod(F.shiftright("h", 44), F.lit(ranges)).cast("int")), "forms", by=["range"])
+        told = reduce(DataFrame.unionByName, (_told(staged.where(F.col("range") == r).drop("range"), bits) for r in range(ranges)))
+    maybe = told.where("maybe")
+    groups = stage_table(maybe.groupBy("h", "form").agg(F.min("ord").alias("keep"), F.count(F.lit(1)).alias("n_copies")), "groups")
+    records = told.where("not maybe").select("form", F.col("ord").alias("keep"), F.lit(1).cast("bigint").alias("n_copies")).unionByName(groups.drop("h"))
+
+    shared = groups.groupBy("h").agg(F.count(F.lit(1)).alias("forms"), F.first("keep").alias("keep"), F.first("n_copies").alias("n"))
+    joined = salted_left_join(maybe.select("h", "ord"), shared.where("forms = 1 and n > 1").select("h", "keep"), "h", how="inner").select("keep", "ord")
+    clash = shared.where("forms > 1").select("h")
+    if not clash.isEmpty():
+        told_apart = groups.join(clash, "h", "left_semi").where("n_copies > 1").select("h", "form", "keep")
+        joined = joined.unionByName(maybe.select("h", "form", "ord").join(told_apart, ["h", "form"]).select("keep", "ord"))
+    surplus = joined.where("ord <> keep").select("keep", F.col("ord").alias("copy")).distinct()
+    return records.withColumnRenamed("form", "canonical"), surplus

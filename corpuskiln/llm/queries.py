@@ -35,19 +35,19 @@ def _p2_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         part = _read(spark, sf_dir, table).select(F.lit(table).alias("tbl"), "record_id", "query")
         whole = part if whole is None else whole.unionByName(part)
     form = F.concat(F.col("tbl"), F.lit("\x1e"), format_dedup.canonical_query(F.col("query")))
-    return format_dedup.collapse_copies(whole, form, F.col("record_id"))
+    return format_dedup.collapse_copies(whole, form, F.struct("tbl", "record_id"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per surplus record: (tbl, keep_id, copy_id)."""
     _, surplus = _p2_copies(spark, sf_dir)
-    return surplus.select(F.substring_index("canonical", "\x1e", 1).alias("tbl"), F.col("keep").alias("keep_id"), F.col("copy").alias("copy_id"))
+    return surplus.select("copy.tbl", F.col("keep.record_id").alias("keep_id"), F.col("copy.record_id").alias("copy_id"))
 
 
 def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per distinct query of each table: (tbl, keep_id, n_copies)."""
     records, _ = _p2_copies(spark, sf_dir)
-    return records.select(F.substring_index("canonical", "\x1e", 1).alias("tbl"), F.col("keep").alias("keep_id"), "n_copies")
+    return records.select("keep.tbl", F.col("keep.record_id").alias("keep_id"), "n_copies")
 
 
 def _p3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

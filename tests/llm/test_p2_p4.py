@@ -42,6 +42,25 @@ def test_copies_against_brute_force(spark, bits):
     assert {(r["keep"], r["copy"]) for r in surplus.collect()} == {(min(g), i) for g in groups.values() for i in g if i != min(g)}
 
 
+def test_copies_in_hash_ranges(spark):
+    """Filters by hash range give what one filter gives, for orders that are structs too."""
+    rows = [(i, f"q {i % 700}" if i % 3 else "hot") for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, q string").repartition(4)
+    want = fd.collapse_copies(df, F.col("q"), F.col("id"))
+    got = fd.collapse_copies(df, F.col("q"), F.struct(F.lit("t").alias("tbl"), "id"), most_bits=16000)
+    assert {(r["keep"]["id"], r["n_copies"]) for r in got[0].collect()} == {(r["keep"], r["n_copies"]) for r in want[0].collect()}
+    assert {(r["keep"]["id"], r["copy"]["id"]) for r in got[1].collect()} == {(r["keep"], r["copy"]) for r in want[1].collect()} and want[1].count() > 3000
+
+
+def test_forms_that_share_a_hash(spark, monkeypatch):
+    """Where two forms have one hash, the text decides."""
+    monkeypatch.setattr(fd.F, "xxhash64", lambda c: F.length(c).cast("bigint"))
+    df = spark.createDataFrame([(1, "aa"), (2, "bb"), (3, "aa"), (4, "bb"), (5, "ccc"), (6, "ccc"), (7, "d")], "id bigint, q string")
+    records, surplus = fd.collapse_copies(df, F.col("q"), F.col("id"))
+    assert {(r["canonical"], r["keep"], r["n_copies"]) for r in records.collect()} == {("aa", 1, 2), ("bb", 2, 2), ("ccc", 5, 2), ("d", 7, 1)}
+    assert {(r["keep"], r["copy"]) for r in surplus.collect()} == {(1, 3), (2, 4), (5, 6)}
+
+
 def test_copies_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, q string")
     records, surplus = fd.collapse_copies(df, F.col("q"), F.col("id"))

@@ -1,23 +1,27 @@
 """A corpus in a folder: the verbs of the engine over its stored frames.
 
-Frames are parquet under ``root``: documents, content, vectors. Every mutation writes a new generation and then switches to it,
-so readers see one whole state. Collections and contexts are small and live in a JSON file beside them.
+The folder lies on the session's file system (``storage.Folder``). Frames are parquet folders: documents one per collection,
+content, vectors and the search index a list each, to which changes append. A mutation writes only what changed and then switches
+the state file, so readers see one whole state; folders that neither the new nor the last state names are removed.
+Collections and contexts are small and live in the state file.
 """
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import title_of
-from corpuskiln.operators import chunking, fusion, lexical, lookup, query_document, store, vectors
+from corpuskiln.operators import chunking, fusion, lexical, lookup, postings, query_document, store, vectors
+from corpuskiln.session import stage_table
 from corpuskiln.sources.readers import read_collection
+from corpuskiln.sources.storage import Folder
 
 DOCUMENTS = "doc_id bigint, collection string, path string, title string, hash string, created_at timestamp, modified_at timestamp, active boolean"
 CONTENT = "hash string, doc string, created_at timestamp"
+KINDS = ("documents", "content", "vectors", "index")
+#: Folders of content or vectors from which on a mutation writes them as one.
+MOST_FOLDERS = 32
 VECTORS = "hash string, seq int, pos int, model string, embed_fingerprint string, total_chunks int, embedded_at timestamp, embedding array<double>"
 
 
@@ -27,41 +31,48 @@ class Corpus:
     def __init__(self, spark: SparkSession, root: str, embedder=None, expander=None, reranker=None, model: str = "hash-16", fingerprint: str = "000000", stem: bool = True):
         self.stem = stem
         self.spark, self.root, self.embedder, self.expander, self.reranker, self.model, self.fingerprint = spark, root, embedder, expander, reranker, model, fingerprint
-        os.makedirs(root, exist_ok=True)
-        self.state = {"generation": 0, "collections": {}, "contexts": [], "global_context": None}
-        if os.path.exists(self._file()):
-            with open(self._file()) as f:
-                self.state = json.load(f)
+        self.folder = Folder(spark, root)
+        self.state = self.folder.read_json("corpus.json") or {"tables": {"documents": {}, "content": [], "vectors": []}, "index": None, "before": [], "collections": {}, "contexts": [], "global_context": None}
 
     # --- storage
-    def _file(self) -> str:
-        return os.path.join(self.root, "corpus.json")
-
     def _save(self) -> None:
-        part = self._file() + ".part"
-        with open(part, "w") as f:
-            json.dump(self.state, f, sort_keys=True)
-        os.replace(part, self._file())
-
-    def _table(self, name: str, schema: str) -> DataFrame:
-        path = os.path.join(self.root, f"generation-{self.state['generation']}", name)
-        return self.spark.read.schema(schema).parquet(f"file://{path}") if os.path.isdir(path) else self.spark.createDataFrame([], schema)
+        self.folder.write_json("corpus.json", self.state)
 
     def documents(self) -> DataFrame:
-        return self._table("documents", DOCUMENTS)
+        return self.folder.read_tables(sorted(self.state["tables"]["documents"].values()), DOCUMENTS)
+
+    def _documents_of(self, collection: str) -> DataFrame:
+        return self.folder.read_tables([n for c, n in self.state["tables"]["documents"].items() if c == collection], DOCUMENTS)
 
     def content(self) -> DataFrame:
-        return self._table("content", CONTENT)
+        return self.folder.read_tables(self.state["tables"]["content"], CONTENT)
 
     def vectors(self) -> DataFrame:
-        return self._table("vectors", VECTORS)
-
-    def _publish(self, **frames: DataFrame) -> None:
-        number = self.state["generation"] + 1
-        for name in ("documents", "content", "vectors"):
-            frames.get(name, getattr(self, name)()).write.mode("overwrite").parquet(f"file://{os.path.join(self.root, f'generation-{number}', name)}")
-        self.state["generation"] = number
+        return self.folder.read_tables(self.state["tables"]["vectors"], VECTORS)
+
+    def _used(self) -> list[str]:
+        t = self.state["tables"]
+        return [*t["documents"].values(), *t["content"], *t["vectors"], *((self.state["index"] or {}).get("tables", {}).values())]
+
+    def _switch(self, documents: dict[str, str | None] | None = None, content: list[str] | None = None, vectors: list[str] | None = None) -> None:
+        """Make these folders the current ones (a collection's None drops it) and remove what the last two states do not name."""
+        before, t = self._used(), self.state["tables"]
+        merged = t["documents"] | (documents or {})
+        t["documents"] = {c: n for c, n in merged.items() if n is not None}
+        t["content"] = t["content"] if content is None else content
+        t["vectors"] = t["vectors"] if vectors is None else vectors
+        if documents or content is not None:
+            self.state["index"] = None
+        self.state["before"] = before
         self._save()
+        self.folder.keep_only(KINDS, {*self._used(), *before})
+
+    def _appended(self, kind: str, more: DataFrame) -> list[str]:
+        """The kind's folders with one more, or a single one of all rows where they have become many."""
+        have = self.state["tables"][kind]
+        if len(have) + 1 < MOST_FOLDERS:
+            return [*have, self.folder.write_table(more, kind)]
+        return [self.folder.write_table(getattr(self, kind)().unionByName(more), kind)]
 
     def _joined(self) -> DataFrame:
         return self.documents().where("active").join(self.content().select("hash", F.col("doc").alias("text")), "hash").select("doc_id", F.col("collection").alias("source"), "path", "title", "hash", "text", F.lit(True).alias("active"))
@@ -80,7 +91,8 @@ class Corpus:
         self.state["collections"][new] = self.state["collections"].pop(old)
         for c in self.state["contexts"]:
             c[0] = new if c[0] == old else c[0]
-        self._publish(documents=self.documents().withColumn("collection", F.when(F.col("collection") == old, new).otherwise(F.col("collection"))))
+        renamed = self._documents_of(old).withColumn("collection", F.lit(new))
+        self._switch(documents={old: None, new: self.folder.write_table(renamed, "documents")})
         return True
 
     def remove_collection(self, name: str) -> bool:
@@ -88,7 +100,9 @@ class Corpus:
             return False
         self.state["contexts"] = [c for c in self.state["contexts"] if c[0] != name]
         documents, content = store.remove_collection(self.documents(), self.content(), name)
-        self._publish(documents=documents.select(self.documents().columns), content=content)
+        documents = stage_table(documents.select(self.documents().columns), "left")
+        left = {c: self.folder.write_table(documents.where(F.col("collection") == c), "documents") if c != name else None for c in self.state["tables"]["documents"]}
+        self._switch(documents=left, content=[self.folder.write_table(content, "content")])
         return True
 
     def list_collections(self) -> DataFrame:
@@ -121,46 +135,66 @@ class Corpus:
 
     # --- indexing
     def update(self, collections: list[str] | None = None) -> dict[str, int]:
-        """Scan collections and write what changed; counts by change class."""
+        """Scan collections and write what changed; counts by change class. Files are read once, a collection without change is left as it is."""
         counts: dict[str, int] = {}
         for name in collections or sorted(self.state["collections"]):
             c = self.state["collections"][name]
             files = read_collection(self.spark, c["path"], c["pattern"], c["ignore"])
             scan = files.select(F.lit(name).alias("collection"), "path", title_of(F.col("body"), F.col("path")).alias("title"), F.sha2("body", 256).alias("hash"), F.col("body").alias("doc"), F.col("modified_at").alias("created_at"))
-            stored = self.documents()
-            mine, others = stored.where(F.col("collection") == name), stored.where(F.col("collection") != name)
-            for r in store.classify_changes(scan, mine).groupBy("status").count().collect():
-                counts[r["status"]] = counts.get(r["status"], 0) + r["count"]
-            now = F.current_timestamp()
-            after = store.upsert_documents(store.deactivate_missing(mine.drop("doc_id"), scan), scan, now)
+            scan = stage_table(scan, "scan")
+            mine = self._documents_of(name)
+            found = {r["status"]: r["count"] for r in store.classify_changes(scan, mine).groupBy("status").count().collect()}
+            for status, n in found.items():
+                counts[status] = counts.get(status, 0) + n
+            if not set(found) - {"unchanged"}:
+                continue
+            after = store.upsert_documents(store.deactivate_missing(mine.drop("doc_id"), scan), scan, F.current_timestamp())
             after = after.withColumn("doc_id", F.xxhash64("collection", "path"))  # stable, whatever the order of the scan
-            documents = others.unionByName(after.select(others.columns))
-            content = self.content().unionByName(store.insert_content(self.content(), scan.select("hash", "doc", "created_at")).select("hash", "doc", "created_at"))
-            self._publish(documents=documents, content=content)
+            new = store.insert_content(self.content(), scan.select("hash", "doc", "created_at")).select("hash", "doc", "created_at")
+            content = self._appended("content", new)
+            self._switch(documents={name: self.folder.write_table(after.select(mine.columns), "documents")}, content=content)
         return counts
 
     def cleanup(self) -> None:
-        """Delete inactive rows, bodies without document and vectors without active document."""
-        documents = self.documents().where("active")
-        self._publish(documents=documents, content=store.orphan_content_kept(self.content(), documents), vectors=self.vectors().join(documents.select("hash").distinct(), "hash", "left_semi"))
+        """Delete inactive rows, bodies without document and vectors without active document; each kind becomes one folder again."""
+        documents = stage_table(self.documents().where("active"), "active")
+        self._switch(
+            documents={c: self.folder.write_table(documents.where(F.col("collection") == c), "documents") for c in self.state["tables"]["documents"]},
+            content=[self.folder.write_table(store.orphan_content_kept(self.content(), documents), "content")],
+            vectors=[self.folder.write_table(self.vectors().join(documents.select("hash").distinct(), "hash", "left_semi"), "vectors")],
+        )
 
     def embed(self, force: bool = False) -> int:
         """Embed pieces of bodies that have none under the model and fingerprint; the number of pieces written."""
         have = self.vectors().where("false") if force else self.vectors()
-        pending = store.pending_embeddings(self.documents(), self.content(), have, self.model, self.fingerprint).select("hash")
+        pending = stage_table(store.pending_embeddings(self.documents(), self.content(), have, self.model, self.fingerprint).select("hash"), "pending")
         bodies = self.content().join(pending, "hash", "left_semi")
         pieces = chunking.chunk_documents(bodies, "hash", "doc")
         totals = pieces.groupBy("hash").agg(F.count(F.lit(1)).cast("int").alias("total_chunks"))
         new = vectors.embed(pieces, "text", "embedding", self.embedder).join(totals, "hash").select("hash", "seq", "pos", F.lit(self.model).alias("model"), F.lit(self.fingerprint).alias("embed_fingerprint"), "total_chunks", F.current_timestamp().alias("embedded_at"), "embedding")
-        kept = have.join(pending, "hash", "left_anti")
-        before = 0 if force else kept.count()
-        self._publish(vectors=kept.select(new.columns).unionByName(new))
-        return self.vectors().count() - before
+        new = stage_table(new, "embedded")
+        stale = have.join(pending, "hash", "left_semi")
+        if force or not stale.isEmpty():
+            kept = have.join(pending, "hash", "left_anti").select(new.columns)
+            self._switch(vectors=[self.folder.write_table(kept.unionByName(new), "vectors")])
+        elif not new.isEmpty():
+            self._switch(vectors=self._appended("vectors", new))
+        return new.count()
+
+    def index(self) -> postings.Index:
+        """The search index of the active documents; built if a mutation came after the last one."""
+        made = self.state["index"]
+        if made is None or made["stem"] != self.stem:
+            built = postings.build(self._joined(), stem=self.stem)
+            tables = {"index": self.folder.write_table(built.terms.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id"), "index")}
+            self.state["index"] = made = {"stem": self.stem, "documents": built.documents, "mean": built.mean, "tables": tables}
+            self._save()
+        return postings.Index(self.spark.read.schema(postings.SCHEMA).parquet(self.folder.path(made["tables"]["index"])), made["documents"], made["mean"], made["stem"])
 
     # --- retrieval
     def search_lex(self, query: str, limit: int = 20, collection: str | None = None, min_score: float = 0.0) -> DataFrame:
         lexical.validate_lexical(query)
-        return lexical.search(self._joined(), query, limit=limit, collection=collection, min_score=min_score, stem=self.stem)
+        return postings.search(self.index(), query, limit=limit, collection=collection, min_score=min_score)
 
     def search_vector(self, query: str, limit: int = 20, min_score: float = 0.3) -> DataFrame:
         """Best piece of each body for the query's vector, joined with the documents that share the body."""
@@ -177,8 +211,8 @@ class Corpus:
     def search(self, text: str, limit: int = 10, skip_rerank: bool = False) -> DataFrame:
         """A query document, or a plain query that is expanded and searched in both ways."""
         parsed = query_document.parse(text)
-        docs = self._joined()
-        lex = lambda q: lexical.search(docs, q, stem=self.stem)
+        docs, index = self._joined(), self.index()
+        lex = lambda q: postings.search(index, q)
         sem = lambda q: self.search_vector(q, min_score=-1.0)
         if parsed:
             return fusion.structured(lex, sem, parsed.searches, docs, limit=limit, skip_rerank=skip_rerank, scorer=self.reranker)

@@ -1,4 +1,4 @@
-"""Lexical search: query parser, fielded BM25 over whole texts, postings for repeated search.
+"""Lexical search: query parser, fielded BM25 over whole texts (``postings`` searches an inverted index instead).
 
 One search reads the analysed texts once and keeps a narrow row per document that holds any query phrase; document frequency,
 document count and mean length come from one aggregation over the same rows, so no shuffle carries text.
@@ -160,16 +160,6 @@ def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | No
     return with_rank(found.where(F.col("score") >= min_score).orderBy(*best).limit(limit), best)
 
 
-def postings(docs: DataFrame, id_col: str, fields: dict[str, str], stem: bool = False) -> DataFrame:
-    """(term, id, field, tf, positions): the inverted index, to be written partitioned or sorted by term and reused."""
-    read = analyse(docs, fields, stem)
-    whole = None
-    for f in fields:
-        part = read.select(id_col, F.lit(f).alias("field"), F.posexplode(F.filter(F.split(F.trim(F.col(f"__{f}")), "  "), lambda t: t != "")).alias("pos", "term"))
-        whole = part if whole is None else whole.unionByName(part)
-    return whole.groupBy("term", id_col, "field").agg(F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
-
-
 def document_frequency(docs: DataFrame, text: str) -> DataFrame:
     """(term, df, cf): documents and occurrences of each term. Terms are counted per document before the shuffle."""
     terms = F.filter(F.split(F.trim(token_string(F.col(text))), "  "), lambda t: t != "")

@@ -1,4 +1,4 @@
-"""Exact cosine nearest neighbours over chunk vectors, one or many queries, in one pass with per-batch top-k."""
+"""Exact cosine nearest neighbours over chunk vectors: one query in one pass, many queries by a blocked join."""
 
 from __future__ import annotations
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from corpuskiln.operators.ranking import first_per_key, top_per_group, with_rank
 from corpuskiln.session import ship_package
 
-#: Bytes of query vectors that are sent to the tasks at once.
-CHUNK_BYTES = 8 << 20
+#: Bytes of the vectors that a task holds at once, and the queries that it compares with them at once.
+BLOCK_BYTES, QUERIES = 64 << 20, 64
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
@@ -32,62 +32,70 @@ def check_dimension(df: DataFrame, embedding: str, n: int) -> DataFrame:
     return df.withColumn(embedding, F.when(F.size(embedding) == n, F.col(embedding)).otherwise(F.raise_error(message).cast(df.schema[embedding].dataType)))
 
 
-def nearest(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query_id: str, query_vector: str, k: int, *, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def nearest(vectors: DataFrame, id_col: str, embedding: str, queries: DataFrame, query_id: str, query_vector: str, k: int, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, id, distance, rank) of the ``k`` nearest vectors of each query; ties by id.
 
-    Queries go to the tasks in chunks of bounded bytes, each chunk in one pass over the vectors; every Arrow batch keeps only
-    its ``k`` best per query, so what is shuffled is ``queries * batches * k`` narrow rows. Null vectors, zero norms and other
-    sizes are at infinite distance and never come back. Ids are integers.
+    Vectors are dealt into blocks by a hash of their id; every query goes to every block. A task holds one block and streams the
+    queries past it, so nothing passes through the driver and memory is bounded whatever the numbers of vectors and queries.
+    Each block keeps its ``k`` best per query, so what is shuffled after that is ``queries * blocks * k`` narrow rows. Null vectors, zero norms
+    and other sizes are at infinite distance and never come back. Ids are integers.
     """
     ship_package(vectors.sparkSession)
-    whole = None
-    for ids, matrix in _chunks(queries.select(query_id, query_vector), chunk_bytes):
-        sent = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
-
-        def best(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pd.DataFrame]:
-            ids, q = sent.value
-            for batch in batches:
-                rows, sizes = batch.column(1), q.shape[1]
-                lengths = np.array([len(v) if v is not None and v.is_valid else 0 for v in rows]) if rows.null_count else np.diff(np.array(rows.offsets))
-                ok = np.flatnonzero(lengths == sizes)
-                if not len(ok):
+    size = F.size(F.col(embedding))
+    known = vectors.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.when(size > 0, size)), F.lit(0)).alias("numbers")).first()
+    blocks = max(1, -(-known["numbers"] * 8 // block_bytes), min(vectors.sparkSession.sparkContext.defaultParallelism, known["n"] // 1000))
+    stored = vectors.select(F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asked"), F.col(id_col).cast("bigint").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asked"), F.col(query_id).cast("bigint").alias("id"), F.col(query_vector).cast("array<double>").alias("v"))
+    dealt = stored.unionByName(asked).where("v is not null").repartition(blocks, "block").sortWithinPartitions("block", "asked")
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, ready = None, [], {}
+        for batch in batches:
+            number, is_query, ids = (np.array(batch.column(i)) for i in range(3))
+            starts = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (is_query[1:] != is_query[:-1])))) if len(number) else []
+            for first, last in zip(starts, [*starts[1:], len(number)]):
+                if number[first] != block:
+                    block, held, ready = number[first], [], {}
+                part = _by_size(ids[first:last], batch.column(3).slice(first, last - first))
+                if not is_query[first]:
+                    held.append(part)
                     continue
-                v = np.array(rows.take(pa.array(ok)).flatten(), np.float64).reshape(-1, sizes)
-                norm = np.sqrt((v * v).sum(axis=1))
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    d = 1 - (q @ v.T) / norm[None, :]
-                d[:, norm == 0] = np.inf
-                key = np.array(batch.column(0))[ok]
-                take = min(k, len(ok))
-                for i in range(len(ids)):
-                    cut = np.partition(d[i], take - 1)[take - 1]
-                    near = np.flatnonzero(d[i] <= cut)
-                    near = near[np.lexsort((key[near], d[i][near]))][:take]
-                    near = near[np.isfinite(d[i][near])]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), ids[i])), pa.array(key[near]), pa.array(d[i][near])], ["q", "v", "distance"])
-
-        part = vectors.select(F.col(id_col).cast("bigint"), F.col(embedding).cast("array<double>")).mapInArrow(best, "q bigint, v bigint, distance double")
-        whole = part if whole is None else whole.unionByName(part)
-    if whole is None:
-        whole = vectors.sparkSession.createDataFrame([], "q bigint, v bigint, distance double")
-    return top_per_group(whole, ["q"], [F.col("distance"), F.col("v")], k).select(F.col("q").alias(query_id), F.col("v").alias(id_col), "distance", "rank")
-
-
-def _chunks(queries: DataFrame, chunk_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Unit query vectors in chunks of bounded size; null, empty and zero vectors have no neighbours and drop out."""
-    ids, rows, size = [], [], 0
-    for key, vector in queries.toLocalIterator():
-        v = None if vector is None else np.array(vector, np.float64)
-        if v is None or not len(v) or not np.linalg.norm(v):
-            continue
-        if rows and (size + v.nbytes > chunk_bytes or len(rows[0]) != len(v)):
-            yield np.array(ids, np.int64), np.stack(rows)
-            ids, rows, size = [], [], 0
-        ids.append(key)
-        rows.append(v / np.linalg.norm(v))
-        size += v.nbytes
-    if rows:
-        yield np.array(ids, np.int64), np.stack(rows)
+                for width, (q_ids, q) in part.items():
+                    if width not in ready:
+                        own = [h[width] for h in held if width in h]
+                        ready[width] = (np.concatenate([i for i, _ in own]), np.concatenate([m for _, m in own])) if own else None
+                    if ready[width] is not None:
+                        for at in range(0, len(q_ids), QUERIES):
+                            yield _nearest_rows(q_ids[at:at + QUERIES], q[at:at + QUERIES], *ready[width], k)
+
+    part = dealt.mapInArrow(best, "q bigint, v bigint, distance double")
+    return top_per_group(part, ["q"], [F.col("distance"), F.col("v")], k).select(F.col("q").alias(query_id), F.col("v").alias(id_col), "distance", "rank")
+
+
+def _by_size(ids: np.ndarray, lists: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors by vector size; empty and zero vectors drop out."""
+    sizes = np.diff(np.array(lists.offsets))
+    out = {}
+    for width in np.unique(sizes[sizes > 0]).tolist():
+        at = np.flatnonzero(sizes == width)
+        m = np.array(lists.take(pa.array(at)).flatten(), np.float64).reshape(-1, width)
+        norm = np.sqrt((m * m).sum(axis=1))
+        ok = np.isfinite(norm) & (norm > 0)
+        out[width] = (ids[at[ok]], m[ok] / norm[ok, None])
+    return out
+
+
+def _nearest_rows(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, stored: np.ndarray, k: int) -> pa.RecordBatch:
+    take = min(k, len(ids))
+    found_q, found_v, found_d = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    distances = 1 - q @ stored.T if take else np.zeros((0, 0))
+    for i, d in enumerate(distances):
+        near = np.flatnonzero(d <= np.partition(d, take - 1)[take - 1])
+        near = near[np.lexsort((ids[near], d[near]))][:take]
+        found_q.append(np.full(len(near), q_ids[i]))
+        found_v.append(ids[near])
+        found_d.append(d[near])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found_q, found_v, found_d)], ["q", "v", "distance"])
 
 
 def search(vectors: DataFrame, query: list[float], *, limit: int = 20, collection: object = None, overfetch: int = 3, exact_filter: bool = False, min_score: float = 0.0, id_col: str = "vec_id", embedding: str = "embedding", file_col: str | None = None, collection_col: str | None = None) -> DataFrame:

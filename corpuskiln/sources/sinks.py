@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import rounded
+from corpuskiln.sources.storage import Folder
 
 FORMATS = ("json", "csv", "xml", "md", "files")
 
@@ -52,25 +50,23 @@ def format_rows(results: DataFrame, kind: str) -> DataFrame:
 
 
 def publish(frames: dict[str, DataFrame], root: str, generation: str) -> str:
-    """Write relations into a new generation folder and then switch the ``CURRENT`` pointer (atomic rename). Returns the
-    folder. Readers follow the pointer, so they see a whole generation or the one before. ``root`` is a mounted shared path."""
-    folder = os.path.join(root, f"generation-{generation}")
-    counts = {}
+    """Write relations into a new generation folder and then switch the ``CURRENT`` pointer (a rename). Returns the folder's URI.
+    Readers follow the pointer, so they see a whole generation or the one before. ``root`` lies on the session's file system."""
+    spark = next(iter(frames.values())).sparkSession
+    folder, counts = Folder(spark, root), {}
     for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"file://{os.path.join(folder, name)}")
-        counts[name] = df.sparkSession.read.parquet(f"file://{os.path.join(folder, name)}").count()
-    part = os.path.join(root, f".CURRENT-{generation}")
-    with open(part, "w") as out:
-        json.dump({"generation": generation, "rows": counts}, out, sort_keys=True)
-    os.replace(part, os.path.join(root, "CURRENT"))
-    return folder
+        path = folder.path(f"generation-{generation}/{name}")
+        df.write.mode("overwrite").parquet(path)
+        counts[name] = spark.read.parquet(path).count()
+    folder.write_json("CURRENT", {"generation": generation, "rows": counts})
+    return folder.path(f"generation-{generation}")
 
 
 def read_published(spark, root: str, name: str) -> DataFrame:
     """A relation of the current generation; its row count must be the published one."""
-    with open(os.path.join(root, "CURRENT")) as f:
-        current = json.load(f)
-    df = spark.read.parquet(f"file://{os.path.join(root, 'generation-' + current['generation'], name)}")
+    folder = Folder(spark, root)
+    current = folder.read_json("CURRENT")
+    df = spark.read.parquet(folder.path(f"generation-{current['generation']}/{name}"))
     if df.count() != current["rows"][name]:
         raise ValueError(f"{name}: {current['rows'][name]} rows were published")
     return df

@@ -78,3 +78,41 @@ def test_identities_and_targets(spark):
     assert [(x["t"], x["reports"]) for x in graph.deepening_targets(e, "t", "r", "pos", 1).collect()] == [("b", ["r0", "r1"])]
     f = spark.createDataFrame([("a", "1"), ("b", "2")], "path string, content string")
     assert graph.directory_digest(f).first() == graph.directory_digest(f.orderBy(F.desc("path"))).first()
+
+
+def test_store_writes_what_changed(spark, tmp_path):
+    """Tables lie below any URI; an unchanged collection is not written, and folders that no state names go."""
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.md").write_text(f"# {name}\nThe harbour of {name}.")
+    c = Corpus(spark, f"file://{tmp_path}/store")
+    for name in ("one", "two"):
+        c.add_collection(name, str(tmp_path / name))
+    c.update()
+    before = dict(c.state["tables"]["documents"])
+    (tmp_path / "two" / "b.md").write_text("# B\nAnother harbour.")
+    assert c.update() == {"unchanged": 2, "indexed": 1}
+    after = c.state["tables"]["documents"]
+    assert after["one"] == before["one"] and after["two"] != before["two"] and len(c.state["tables"]["content"]) == 3
+    assert c.search_lex("harbour").count() == 3 and c.search_lex("another").count() == 1
+    first = c.state["index"]["tables"]["index"]
+    assert c.index().documents == 3 and c.state["index"]["tables"]["index"] == first
+    c.cleanup()
+    c.cleanup()
+    kept = {n for n in c.folder.names() if "-" in n and not n.startswith(".")}
+    assert kept == {*c._used(), *c.state["before"]} and c.content().count() == 3 and len(c.state["tables"]["content"]) == 1
+    assert Corpus(spark, f"{tmp_path}/store").documents().count() == 3
+
+
+def test_a_local_folder_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    from corpuskiln.sources.storage import Folder
+
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    old = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
+    try:
+        with pytest.raises(ValueError):
+            Folder(spark, str(tmp_path / "mine"))
+        assert Folder(spark, str(tmp_path / "shared" / "mine")).names() == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")

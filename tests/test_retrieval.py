@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import fusion, lexical, vectors
+from corpuskiln.operators import fusion, lexical, postings, vectors
+from corpuskiln.plans.retrieval_queries import SEARCHES
+from corpuskiln.session import stage_table
 
 
 def docs(spark):
@@ -60,8 +62,45 @@ def test_empty_table(spark):
 
 
 def test_postings(spark):
-    p = {(r["term"], r["doc_id"], r["field"]): (r["tf"], r["positions"]) for r in lexical.postings(docs(spark), "doc_id", {"body": "text"}).collect()}
-    assert p[("harbour", 2, "body")] == (1, [4])
+    p = {(r["term"], r["doc_id"]): (r["title"], r["body"], r["length"]) for r in postings.build(docs(spark), stem=False).terms.collect()}
+    assert p[("harbour", 2)][1] == [4]
+
+
+@pytest.mark.parametrize("name", sorted(n for n, (_, o) in SEARCHES.items() if not o.get("exact_filter")))
+@pytest.mark.parametrize("stem", [False, True])
+def test_postings_find_what_a_scan_finds(spark, data, name, stem):
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    text, options = SEARCHES[name]
+    rows = lambda df: [(r["doc_id"], r["rank"], round(r["score"], 9)) for r in df.orderBy("rank").collect()]
+    assert rows(postings.search(_index(spark, data, stem), text, **options)) == rows(lexical.search(documents, text, stem=stem, **options))
+
+
+_INDEXES = {}
+
+
+def _index(spark, data, stem):
+    if stem not in _INDEXES:
+        made = postings.build(spark.read.parquet(f"{data}/documents.parquet"), stem=stem)
+        _INDEXES[stem] = postings.Index(stage_table(made.terms, "terms"), made.documents, made.mean, stem)
+    return _INDEXES[stem]
+
+
+def test_postings_of_odd_queries(spark):
+    rows = [(1, "s", "p", None, "a a a b"), (2, None, "p", "", None), (3, "s", None, "a b", "b a a a a")]
+    d = spark.createDataFrame(rows, "doc_id bigint, source string, path string, title string, text string")
+    i = postings.build(d, stem=False)
+    for q in ('"a a"', '"a a b"', "-a", "", "b -\"a b\"", "zzz", "a"):
+        assert [tuple(r) for r in postings.search(i, q).orderBy("rank").collect()] == [tuple(r) for r in lexical.search(d, q, stem=False).orderBy("rank").collect()], q
+    none = postings.build(d.limit(0))
+    assert none.documents == 0 and postings.search(none, "a").count() == 0
+
+
+def test_postings_scan_reads_its_terms_only(spark, tmp_path, data):
+    made = _index(spark, data, False)
+    made.terms.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(str(tmp_path / "i"))
+    stored = postings.Index(spark.read.schema(postings.SCHEMA).parquet(str(tmp_path / "i")), made.documents, made.mean, False)
+    plan = postings._hits(stored, lexical.parse_query("harbour")[0], lexical.WEIGHTS)._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(term,harbour)" in plan
 
 
 def test_nearest_against_numpy(spark):
@@ -72,7 +111,7 @@ def test_nearest_against_numpy(spark):
     q = spark.createDataFrame(rows[:5] + [(7, None), (8, [0.0] * 8)], "query_id bigint, embedding array<double>")
     for chunk in (1 << 20, 64):
         got = {}
-        for r in vectors.nearest(v, "vec_id", "embedding", q, "query_id", "embedding", 4, chunk_bytes=chunk).collect():
+        for r in vectors.nearest(v, "vec_id", "embedding", q, "query_id", "embedding", 4, block_bytes=chunk).collect():
             got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
         u = m / np.linalg.norm(m, axis=1, keepdims=True)
         for i in range(5):

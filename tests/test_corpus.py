@@ -107,7 +107,7 @@ def test_store_writes_what_changed(spark, tmp_path):
 def test_a_local_folder_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
     from corpuskiln.sources.storage import Folder
 
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     old = spark.conf.get("spark.checkpoint.dir", None)
     spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
     try:

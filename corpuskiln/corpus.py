@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import title_of
 from corpuskiln.operators import chunking, fusion, lexical, lookup, postings, query_document, store, vectors
-from corpuskiln.session import stage_table
+from corpuskiln.session import stage_table, staging
 from corpuskiln.sources.readers import read_collection
 from corpuskiln.sources.storage import Folder
 
@@ -95,6 +95,7 @@ class Corpus:
         self._switch(documents={old: None, new: self.folder.write_table(renamed, "documents")})
         return True
 
+    @staging()
     def remove_collection(self, name: str) -> bool:
         if self.state["collections"].pop(name, None) is None:
             return False
@@ -134,6 +135,7 @@ class Corpus:
         return sorted((tuple(c) for c in self.state["contexts"]), key=lambda c: (c[0], -len(c[1]), c[1]))
 
     # --- indexing
+    @staging()
     def update(self, collections: list[str] | None = None) -> dict[str, int]:
         """Scan collections and write what changed; counts by change class. Files are read once, a collection without change is left as it is."""
         counts: dict[str, int] = {}
@@ -155,6 +157,7 @@ class Corpus:
             self._switch(documents={name: self.folder.write_table(after.select(mine.columns), "documents")}, content=content)
         return counts
 
+    @staging()
     def cleanup(self) -> None:
         """Delete inactive rows, bodies without document and vectors without active document; each kind becomes one folder again."""
         documents = stage_table(self.documents().where("active"), "active")
@@ -164,6 +167,7 @@ class Corpus:
             vectors=[self.folder.write_table(self.vectors().join(documents.select("hash").distinct(), "hash", "left_semi"), "vectors")],
         )
 
+    @staging()
     def embed(self, force: bool = False) -> int:
         """Embed pieces of bodies that have none under the model and fingerprint; the number of pieces written."""
         have = self.vectors().where("false") if force else self.vectors()

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.keys import fresh_name
@@ -171,23 +171,26 @@ def chunk_id(hash_: Column, seq: Column) -> Column:
 def pack_batches(sizes: DataFrame, order: str, size: str, most_items: int = 64, most_bytes: int = 64 << 20, group: str | None = None) -> DataFrame:
     """``batch`` number of each row when rows are taken in order into batches of bounded items and bytes.
 
-    A greedy fold is sequential, so rows are folded per ``group`` (such as a shard); a row above the byte bound is alone.
+    A greedy fold is sequential, so rows are folded per ``group`` (such as a shard), null being a group too. Rows stream past in order: a task
+    holds one Arrow batch, whatever the size of a group. A row above the byte bound is alone; a null size counts nothing.
     """
     ship_package(sizes.sparkSession)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sizes.schema) + ", batch int"
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
-        numbers, batch, items, room = [], 0, 0, 0
-        for n in frame[size]:
-            if items and (items >= most_items or room + n > most_bytes):
-                batch, items, room = batch + 1, 0, 0
-            items, room = items + 1, room + n
-            numbers.append(batch)
-        return frame.assign(batch=numbers)
-
-    if group:
-        return sizes.groupBy(group).applyInPandas(fold, fields)
-    one = fresh_name(sizes, "all")
-    folded = sizes.withColumn(one, F.lit(0)).groupBy(one).applyInPandas(lambda frame: fold(frame.drop(columns=one)), fields)
-    return folded
+    key, first = fresh_name(sizes, "key"), fresh_name(sizes, "first")
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch = items = room = 0
+        for frame in frames:
+            numbers = []
+            for begins, n in zip(frame[first], frame[size].fillna(0)):
+                if begins:
+                    batch = items = room = 0
+                elif items and (items >= most_items or room + n > most_bytes):
+                    batch, items, room = batch + 1, 0, 0
+                items, room = items + 1, room + n
+                numbers.append(batch)
+            yield frame.drop(columns=[first]).assign(batch=numbers)
+
+    keyed = sizes.withColumn(key, F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("")) if group else F.lit(""))
+    before = F.lag(F.lit(False), 1, True).over(Window.partitionBy(key).orderBy(order))
+    return keyed.withColumn(first, before).drop(key).mapInPandas(fold, fields)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import as_rank, clean_text, sensitive_reason, spaced_json_hash, topic_tokens
 from corpuskiln.operators.ranking import first_per_key, top_per_group, with_rank
 from corpuskiln.operators.skew import salted_left_join
+from corpuskiln.session import stage_table
 
 # Columns that the relations of an upper level must have.
 REQUIRED = {
@@ -139,7 +143,7 @@ def scope_frames(documents: DataFrame, text_units: DataFrame, entities: DataFram
     """
     docs = documents.join(keep.select("id").distinct(), "id", "left_semi")
     units = text_units.join(docs.select(F.col("id").alias("document_id")), "document_id", "left_semi")
-    ids = units.select(F.col("id").alias("unit")).distinct()
+    ids = stage_table(units.select(F.col("id").alias("unit")).distinct(), "scope")  # five frames are cut to it
 
     def of(frame: DataFrame, key: str) -> DataFrame:
         hit = frame.select(key, F.explode("text_unit_ids").alias("unit")).join(ids, "unit", "left_semi").select(key).distinct()
@@ -151,19 +155,24 @@ def scope_frames(documents: DataFrame, text_units: DataFrame, entities: DataFram
 
 def match_capabilities(candidates: DataFrame, capabilities: DataFrame) -> DataFrame:
     """(candidate_id, capability_id): ready capabilities by document id, by source id, or by content hash where that hash
-    belongs to one document only. Three equi joins, then one row per pair; no OR join.
+    belongs to one document only, each pair once.
 
-    Hot keys of the capability side (a document with a large part of all rows) are salted.
+    One join for the three keys, whose hot keys (a document with a large part of all rows) are salted. A pair is made at the
+    first key on which it agrees, so keys that name the same pair do not multiply it.
     """
-    ready = capabilities.where("ready")
-    one = ready.where("content_hash is not null").groupBy("content_hash").agg(F.min("document_id").alias("lo"), F.max("document_id").alias("hi")).where("lo <=> hi").select("content_hash")
-    unique = ready.join(one, "content_hash", "left_semi")
+    names = ["document_id", "source_id", "content_hash"]
+    ready = stage_table(capabilities.where("ready").select("capability_id", *names).distinct(), "ready")
+    one = ready.where("content_hash is not null").groupBy("content_hash").agg(F.min("document_id").alias("lo"), F.max("document_id").alias("hi")).where("lo <=> hi").select("content_hash", F.lit(True).alias("one"))
+    caps = ready.join(one, "content_hash", "left").withColumn("content_hash", F.when(F.col("one"), F.col("content_hash")))
 
-    def by(caps: DataFrame, key: str) -> DataFrame:
-        asked = candidates.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "candidate_id").distinct()
-        return salted_left_join(caps.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "capability_id"), asked, "k", how="inner").select("candidate_id", "capability_id")
+    def keyed(df: DataFrame, own: str, mark: str) -> DataFrame:
+        each = F.array(*(F.when(F.col(n).isNotNull(), F.struct(F.lit(i).alias("kind"), F.concat(F.lit(f"{i}:"), F.col(n)).alias("key"))) for i, n in enumerate(names)))
+        return df.select(own, *(F.col(n).alias(f"{mark}{i}") for i, n in enumerate(names)), F.explode(F.array_compact(each)).alias("x")).select(own, f"{mark}0", f"{mark}1", "x.key", *(["x.kind"] if mark == "c" else []))
 
-    return by(ready, "document_id").union(by(ready, "source_id")).union(by(unique, "content_hash")).distinct()
+    pairs = salted_left_join(keyed(caps, "capability_id", "p"), keyed(candidates.select("candidate_id", *names).distinct(), "candidate_id", "c"), "key", how="inner")
+    agree = [F.coalesce(F.col(f"p{i}") == F.col(f"c{i}"), F.lit(False)) for i in (0, 1)]
+    first = (F.col("kind") == 0) | (F.col("kind") == 1) & ~agree[0] | (F.col("kind") == 2) & ~agree[0] & ~agree[1]
+    return pairs.where(first).select("candidate_id", "capability_id").distinct()
 
 
 def merge_capabilities(derived: DataFrame, explicit: DataFrame, identity: list[str]) -> DataFrame:
@@ -228,10 +237,25 @@ def pack_prompt(reports: DataFrame, order: list[Column], text: str, most_tokens:
     return reports.withColumn("tokens", tokens).withColumn("running", F.sum("tokens").over(w)).where(F.col("running") <= most_tokens)
 
 
+def _digest(lines: DataFrame, order: str, line: str, between: str, around: tuple[str, str] = ("", "")) -> DataFrame:
+    """(digest, n): SHA-256 of all lines in order. One hash is one sequence, so one task reads the sorted lines, a batch at a time."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, n = hashlib.sha256(around[0].encode()), 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                digest.update(((between if n else "") + text).encode())
+                n += 1
+        digest.update(around[1].encode())
+        yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()]), pa.array([n], pa.int32())], ["digest", "n"])
+
+    return lines.repartition(1).sortWithinPartitions(order).select(line).mapInArrow(walk, "digest string, n int")
+
+
 def generation_hash(members: DataFrame, id_col: str) -> DataFrame:
-    """(generation, n): hash of the sorted member ids of a shelf. Members of one shelf are few."""
-    ids = members.agg(F.sort_array(F.collect_set(id_col)).alias("ids"))
-    return ids.select(F.sha2(F.array_join("ids", "\n"), 256).alias("generation"), F.size("ids").alias("n"))
+    """(generation, n): hash of the sorted member ids of a shelf; null ids take no part."""
+    ids = members.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id")).distinct()
+    return _digest(ids, "id", "id", "\n").withColumnRenamed("digest", "generation")
 
 
 def evidence_rows(scope: DataFrame, capabilities: DataFrame, text_units: DataFrame, context: DataFrame | None = None) -> DataFrame:
@@ -281,8 +305,6 @@ def merge_identities(rows: DataFrame, key: list[str], fields: list[str], pos: st
 
 
 def directory_digest(files: DataFrame) -> DataFrame:
-    """(digest, n) of a folder's files (path, content): hash over (path, hash of the content) rows in path order. Only paths and
-    hashes of one package are gathered."""
-    rows = files.select("path", F.sha2("content", 256).alias("h"))
-    whole = rows.agg(F.sort_array(F.collect_list(F.struct("path", "h"))).alias("r"))
-    return whole.select(F.sha2(F.to_json("r"), 256).alias("digest"), F.size("r").alias("n"))
+    """(digest, n) of a folder's files (path, content): hash over the JSON list of (path, hash of the content) in path order."""
+    rows = files.select("path", F.to_json(F.struct("path", F.sha2("content", 256).alias("h"))).alias("row"))
+    return _digest(rows, "path", "row", ",", ("[", "]"))

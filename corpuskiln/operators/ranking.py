@@ -72,8 +72,10 @@ def resequence(events: DataFrame, stream: str, order: list[str], event_id: str)
 
 
 def partition_plan(ids: DataFrame, id_col: str, limit: int) -> DataFrame:
-    """``part`` (1-based) of each id in sorted order, ``limit`` ids a part, for a bounded list of members."""
-    return ids.withColumn("part", F.floor((F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(id_col)) - 1) / limit).cast("int") + 1)
+    """``part`` (1-based) of each id in sorted order, ``limit`` ids a part. Ids are numbered by many tasks."""
+    whole, number = fresh_name(ids, "whole"), fresh_name(ids, "number")
+    numbered = running_total(ids.withColumn(whole, F.lit("all")), whole, [id_col], F.lit(1), number)
+    return numbered.withColumn("part", F.floor((F.col(number) - 1) / limit).cast("int") + 1).drop(whole, number)
 
 
 def gap_to_runner_up(scores: DataFrame, score: str) -> DataFrame:

@@ -7,10 +7,13 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _STAGED: list[str] = []
+_MADE: dict[str, str] = {}
 
 
 def get_session(app: str = "corpuskiln", master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
@@ -37,14 +40,14 @@ def shared_dir(spark: SparkSession) -> str:
     (tests, benchmarks) is a temporary folder made; on a cluster an unset folder is an error, because a machine-local
     path would be lost with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _MADE.get(spark.sparkContext.applicationId)
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = f"file://{tempfile.mkdtemp(prefix='corpuskiln-')}"
     atexit.register(shutil.rmtree, made[len("file://"):], ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", made)
+    _MADE[spark.sparkContext.applicationId] = made
     return made
 
 
@@ -76,8 +79,23 @@ def _remember(spark: SparkSession, path: str) -> None:
     _STAGED.append(path)
 
 
+@contextmanager
+def staging() -> Iterator[None]:
+    """Tables staged within the block are removed at its end: for work that writes its result elsewhere before."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        _drop(_STAGED[before:])
+        del _STAGED[before:]
+
+
 def _drop_all() -> None:
-    for path in _STAGED:
+    _drop(_STAGED)
+
+
+def _drop(paths: list[str]) -> None:
+    for path in paths:
         local = path[len("file://"):] if path.startswith("file://") else path
         if os.path.isdir(local):
             shutil.rmtree(local, ignore_errors=True)

@@ -105,14 +105,11 @@ def test_store_writes_what_changed(spark, tmp_path):
 
 
 def test_a_local_folder_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    from corpuskiln.session import shared_dir
     from corpuskiln.sources.storage import Folder
 
+    shared = shared_dir(spark)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    try:
-        with pytest.raises(ValueError):
-            Folder(spark, str(tmp_path / "mine"))
-        assert Folder(spark, str(tmp_path / "shared" / "mine")).names() == []
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
+    with pytest.raises(ValueError):
+        Folder(spark, str(tmp_path / "mine"))
+    assert Folder(spark, f"{shared}/mine").names() == []

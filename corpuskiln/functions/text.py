@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import unicodedata
 
 from pyspark.sql import Column
@@ -184,6 +186,12 @@ def intent_terms(c: Column) -> Column:
     return F.filter(words, lambda t: (F.length(t) > 1) & ~t.isin(INTENT_STOP_WORDS))
 
 
+def plain_intent_terms(intent: str) -> list[str]:
+    """``intent_terms`` of one intent."""
+    words = (re.sub(r"^[\W_]+|[\W_]+$", "", t) for t in intent.lower().split())
+    return [t for t in words if len(t) > 1 and t not in INTENT_STOP_WORDS]
+
+
 def json_text(c: Column) -> Column:
     """A JSON string literal of the text."""
     return F.regexp_extract(F.to_json(F.struct(F.coalesce(c, F.lit("")).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import ACCENTED, PLAIN, docid, token_string, token_total, virtual_path
-from corpuskiln.operators import fusion, lexical, vectors
+from corpuskiln.operators import fusion, lexical, postings, vectors
 from corpuskiln.operators.ranking import gap_to_runner_up, with_rank
-from corpuskiln.session import spread
+from corpuskiln.session import spread, stage_table
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -38,6 +38,10 @@ SEARCHES = {
 }
 
 
+#: Searches that are also run from an inverted index.
+INDEXED = ["bm25_topk", "bm25_prefix", "bm25_phrase", "bm25_negation", "bm25_collection_overfetch"]
+
+
 def _search_query(name: str):
     text, options = SEARCHES[name]
 
@@ -140,22 +144,66 @@ def position_blend(spark: SparkSession, d: str) -> DataFrame:
     return fusion.blend(scored, "rank", "rerank_score").select(F.col("file").alias("doc_id"), "rank", F.round("rerank_score", 6).alias("rerank_score"), F.round("blended", 6).alias("blended"))
 
 
+def _backends(spark: SparkSession, d: str):
+    """The two search functions of the hybrid pipeline over active documents: BM25, and nearest deterministic vectors of the texts."""
+    docs = documents(spark, d)
+    index = lexical.index(docs, stem=False)
+    embedded = stage_table(docs.where("active").select("doc_id", vectors.hash_vector(F.coalesce("text", F.lit(""))).alias("v")), "embedded")
+
+    def semantic(query: str) -> DataFrame:
+        asked = spark.range(1).select(vectors.hash_vector(F.lit(query)).alias("v")).first()["v"]
+        return vectors.search(embedded, list(asked), limit=20, id_col="doc_id", embedding="v")
+
+    return (lambda q: lexical.search(index, q, stem=False)), semantic
+
+
+_EXPANDED = [fusion.Search("lex", "harbour"), fusion.Search("vec", "an old telescope"), fusion.Search("hyde", "The glossary says what a harbour is.")]
+
+
 def hybrid_skip_rerank(spark: SparkSession, d: str) -> DataFrame:
-    """The hybrid pipeline without reranking: score is 1 / rank."""
-    docs = lexical.index(documents(spark, d), stem=False)
-    find = lambda q: lexical.search(docs, q, stem=False)
-    r = fusion.hybrid(find, find, "harbour telescope", [fusion.Search("lex", "harbour"), fusion.Search("vec", "telescope")], skip_rerank=True, limit=20)
+    """The hybrid pipeline (BM25 and vector lists, expansions in their backends) without reranking: score is 1 / rank."""
+    r = fusion.hybrid(*_backends(spark, d), "harbour telescope", _EXPANDED, skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))
 
 
+def hybrid_rerank(spark: SparkSession, d: str) -> DataFrame:
+    """The hybrid pipeline with the best candidates reranked on their whole texts and blended by position."""
+    docs = documents(spark, d).select("doc_id", "text")
+    r = fusion.hybrid(*_backends(spark, d), "harbour telescope", _EXPANDED, docs, limit=20, whole_texts=True)
+    return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"), F.round("rerank_score", 6).alias("rerank_score"))
+
+
+def hybrid_best_chunk(spark: SparkSession, d: str) -> DataFrame:
+    """The hybrid pipeline with each candidate reranked on its best chunk (tested on fixtures: SQL has no chunker)."""
+    docs = documents(spark, d).select("doc_id", "text")
+    r = fusion.hybrid(*_backends(spark, d), "harbour telescope", _EXPANDED, docs, limit=20)
+    return r.select("doc_id", "rank", F.round("score", 6).alias("score"), "chunk", F.round("rerank_score", 6).alias("rerank_score"))
+
+
 def structured_first_list_boost(spark: SparkSession, d: str) -> DataFrame:
-    """Typed searches: the first non-empty list counts double."""
-    docs = lexical.index(documents(spark, d), stem=False)
-    find = lambda q: lexical.search(docs, q, stem=False)
-    r = fusion.structured(find, find, [fusion.Search("lex", "zzzznothing"), fusion.Search("lex", "telescope"), fusion.Search("vec", "harbour")], skip_rerank=True, limit=20)
+    """Typed searches in their own backends: the first non-empty list counts double."""
+    r = fusion.structured(*_backends(spark, d), [fusion.Search("lex", "zzzznothing"), fusion.Search("lex", "telescope"), fusion.Search("vec", "harbour")], skip_rerank=True, limit=20)
     return r.select("doc_id", "rank", F.round("score", 6).alias("score"), F.round("rrf", 6).alias("rrf"))
 
 
+def structured_collections(spark: SparkSession, d: str) -> DataFrame:
+    """Typed searches over two collections: a list per search and collection."""
+    docs = documents(spark, d)
+    finders = {c: lambda q, part=lexical.index(docs.where(F.col("source") == c), stem=False): lexical.search(part, q, stem=False) for c in ("web-clips", "essays")}
+    r = fusion.structured_over(finders, {}, [fusion.Search("lex", "telescope"), fusion.Search("lex", "harbour")], skip_rerank=True, limit=20)
+    return r.select("doc_id", "rank", F.round("rrf", 6).alias("rrf"))
+
+
+def _postings_query(name: str):
+    text, options = SEARCHES[name]
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return _ranked(postings.search(postings.build(documents(spark, d), stem=False), text, **options))
+
+    run.__doc__ = f"The rows of {name} from an inverted index."
+    return run
+
+
 def strong_signal(spark: SparkSession, d: str) -> DataFrame:
     """Best lexical score and its lead over the second."""
     r = gap_to_runner_up(lexical.search(documents(spark, d), "harbour telescope", stem=False), "score")
@@ -163,8 +211,8 @@ def strong_signal(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {name: _search_query(name) for name in SEARCHES} | {
-    f.__name__: f for f in (bm25_display, bm25_stemmed, document_frequency, token_counts, knn_multi_query, knn_cosine_topk, knn_overfetch_filter, knn_best_per_file, vector_min_score, hash_vectors, rrf_fusion, rrf_trace, position_blend, hybrid_skip_rerank, structured_first_list_boost, strong_signal)
-}
+    f.__name__: f for f in (bm25_display, bm25_stemmed, document_frequency, token_counts, knn_multi_query, knn_cosine_topk, knn_overfetch_filter, knn_best_per_file, vector_min_score, hash_vectors, rrf_fusion, rrf_trace, position_blend, hybrid_skip_rerank, hybrid_rerank, hybrid_best_chunk, structured_first_list_boost, structured_collections, strong_signal)
+} | {name.replace("bm25", "postings"): _postings_query(name) for name in INDEXED}
 
 
 def _tokens_sql(column: str) -> str:
@@ -222,7 +270,24 @@ def _distance(a: str, b: str) -> str:
 
 
 _NEAR = f"WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7), v AS (SELECT vec_id, label, {_distance('embedding', 'e')} AS x FROM embeddings, q)"
-_HYBRID = lambda lists: "WITH " + ", ".join(f"l{i} AS (WITH {_bm25_sql(q)} SELECT {i} AS list_idx, doc_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank, {w} AS weight FROM (SELECT * FROM s ORDER BY raw DESC, doc_id LIMIT 20))" for i, (q, w) in enumerate(lists)) + ", st AS (" + " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(len(lists))) + ")" + _FUSE + " SELECT doc_id, rank, round(1.0 / rank, 6) AS score, round(rrf, 6) AS rrf FROM ra WHERE rank <= 20"
+
+
+def _list_sql(i: int, kind: str, query: str, weight: float, where: str = "active") -> str:
+    """A common table of a ranked list: of BM25, or of the vectors of active documents' texts."""
+    if kind == "lex":
+        return f"l{i} AS (WITH {_bm25_sql(query, where)} SELECT {i} AS list_idx, doc_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank, {weight} AS weight FROM (SELECT * FROM s ORDER BY raw DESC, doc_id LIMIT 20))"
+    vector = lambda text: f"list_transform(range(16), lambda i: round(('0x' || substr(sha256({text}), (2 * i + 1)::INT, 2))::INT / 255.0, 6)::DOUBLE)"
+    asked = query.replace("'", "''")
+    return f"l{i} AS (WITH v AS (SELECT doc_id, {vector(_TEXT)} AS e, {vector(chr(39) + asked + chr(39))} AS q FROM documents WHERE active), n AS (SELECT doc_id, {_distance('e', 'q')} AS x FROM v) SELECT {i} AS list_idx, doc_id, row_number() OVER (ORDER BY x, doc_id)::INT AS rank, {weight} AS weight FROM (SELECT * FROM n ORDER BY x, doc_id LIMIT 20))"
+
+
+def _fused_sql(lists: list[tuple[str, str, float]], where: list[str] | None = None) -> str:
+    return "WITH " + ", ".join(_list_sql(i, *x, *([where[i]] if where else [])) for i, x in enumerate(lists)) + ", st AS (" + " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(len(lists))) + ")" + _FUSE
+
+
+_TEXT = "coalesce(text, '')"
+_FOUND = " SELECT doc_id, rank, round(1.0 / rank, 6) AS score, round(rrf, 6) AS rrf FROM ra WHERE rank <= 20"
+_HYBRID_LISTS = [("lex", "harbour telescope", 2.0), ("vec", "harbour telescope", 2.0), *(("lex" if x.type == "lex" else "vec", x.query, 1.0) for x in _EXPANDED)]
 
 SQL = {name: _search_sql(name) for name in SEARCHES} | {
     "bm25_display": f"WITH {_bm25_sql('harbour telescope')}, top AS (SELECT doc_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank, round(score, 6) AS score FROM s ORDER BY raw DESC, doc_id LIMIT 10) SELECT doc_id, 'store://' || coalesce(d.source, 'none') || '/' || path AS file, left(coalesce(hash, ''), 6) AS docid, title, rank, score FROM documents d JOIN top USING (doc_id)",
@@ -237,7 +302,10 @@ SQL = {name: _search_sql(name) for name in SEARCHES} | {
     "rrf_fusion": _lists_sql() + _FUSE + " SELECT doc_id, rank, round(rrf, 6) AS rrf, best_rank, first_list FROM ra",
     "rrf_trace": _lists_sql() + " SELECT doc_id, list_idx, rank, round(weight / (60 + rank), 6) AS contribution FROM st",
     "position_blend": _lists_sql() + _FUSE + ", sc AS (SELECT ra.doc_id, rank, ((contains(lower(text), 'harbour'))::INT + (contains(lower(text), 'telescope'))::INT) / 2.0 AS r, CASE WHEN rank <= 3 THEN 0.75 WHEN rank <= 10 THEN 0.6 ELSE 0.4 END AS w FROM ra JOIN documents d ON d.doc_id = ra.doc_id) SELECT doc_id, rank, round(coalesce(r, 0), 6) AS rerank_score, round(w / rank + (1 - w) * coalesce(r, 0), 6) AS blended FROM sc",
-    "hybrid_skip_rerank": _HYBRID([("harbour telescope", 2.0), ("harbour telescope", 2.0), ("harbour", 1.0), ("telescope", 1.0)]),
-    "structured_first_list_boost": _HYBRID([("telescope", 2.0), ("harbour", 1.0)]),
+    "hybrid_skip_rerank": _fused_sql(_HYBRID_LISTS) + _FOUND,
+    "hybrid_rerank": _fused_sql(_HYBRID_LISTS) + ", sc AS (SELECT ra.doc_id, rank, rrf, (contains(lower(coalesce(text, '')), 'harbour')::INT + contains(lower(coalesce(text, '')), 'telescope')::INT) / 2.0 AS r, CASE WHEN rank <= 3 THEN 0.75 WHEN rank <= 10 THEN 0.6 ELSE 0.4 END AS w FROM ra JOIN documents d ON d.doc_id = ra.doc_id WHERE rank <= 40), bl AS (SELECT *, w / rank + (1 - w) * r AS blended FROM sc) SELECT doc_id, row_number() OVER (ORDER BY blended DESC, rank)::INT AS rank, round(blended, 6) AS score, round(rrf, 6) AS rrf, round(r, 6) AS rerank_score FROM (SELECT * FROM bl ORDER BY blended DESC, rank LIMIT 20)",
+    "structured_first_list_boost": _fused_sql([("lex", "telescope", 2.0), ("vec", "harbour", 1.0)]) + _FOUND,
+    "structured_collections": _fused_sql([("lex", q, 2.0 if not i else 1.0) for i, (q, _) in enumerate((q, c) for q in ("telescope", "harbour") for c in ("web-clips", "essays"))], [f"active AND source = '{c}'" for _ in range(2) for c in ("web-clips", "essays")]) + " SELECT doc_id, rank, round(rrf, 6) AS rrf FROM ra WHERE rank <= 20",
     "strong_signal": f"WITH {_bm25_sql('harbour telescope')}, tt AS (SELECT score, row_number() OVER (ORDER BY raw DESC) AS r FROM s), x AS (SELECT coalesce(max(score) FILTER (r = 1), 0) AS top, coalesce(max(score) FILTER (r = 1), 0) - coalesce(max(score) FILTER (r = 2), 0) AS lead FROM tt) SELECT round(top, 6) AS top, round(lead, 6) AS lead, (top >= 0.85 AND lead >= 0.15) AS strong FROM x",
 }
+SQL |= {name.replace("bm25", "postings"): SQL[name] for name in INDEXED}

@@ -158,3 +158,32 @@ def test_pipelines(spark):
     scored = fusion.rerank(d.select("doc_id", "text"), "text", "q", lambda q, ts: [len(t) for t in ts])
     assert scored.where("doc_id = 3").first()["rerank_score"] == 0.0 and scored.count() == 6
     assert fusion.explain(fusion.fuse(fusion.stack_lists([find("harbour")], "doc_id", [1.0], ["fts"])), fusion.stack_lists([find("harbour")], "doc_id", [1.0], ["fts"])).count() == 2
+
+
+def test_rerank_cache_and_cut(spark):
+    d = spark.createDataFrame([(1, "aa" * 10), (2, "aa" * 10), (3, "aa" * 10 + "b"), (4, None), (5, "c")], "doc_id int, text string")
+    cache = fusion.RerankCache()
+    first = fusion.rerank(d, "text", "q", lambda q, ts: [len(t) for t in ts], cache=cache, most_chars=20)
+    assert {r["doc_id"]: r["rerank_score"] for r in first.collect()} == {1: 20, 2: 20, 3: 20, 4: 0, 5: 1} and cache.rows.count() == 2
+    again = fusion.rerank(d, "text", "q", lambda q, ts: [99.0 for _ in ts], cache=cache, most_chars=20)
+    assert {r["doc_id"]: r["rerank_score"] for r in again.collect()} == {1: 20, 2: 20, 3: 20, 4: 0, 5: 1}
+    other = fusion.rerank(d, "text", "other", lambda q, ts: [99.0 for _ in ts], cache=cache, most_chars=20)
+    assert other.where("doc_id = 5").first()["rerank_score"] == 99 and cache.rows.count() == 4
+
+
+def test_hybrid_reranks_the_best_chunk(spark):
+    long = "plain words here. " * 400 + "\n\n# Harbour\n" + "the telescope of the harbour. " * 30
+    d = spark.createDataFrame([(1, long), (2, "harbour")], "doc_id bigint, text string")
+    lists = spark.createDataFrame([(1, 1, 0.5), (2, 2, 0.4)], "doc_id bigint, rank int, score double")
+    got = {r["doc_id"]: r for r in fusion.hybrid(lambda q: lists, lambda q: lists, "harbour telescope", [], d).collect()}
+    assert got[1]["chunk"] > 0 and got[2]["chunk"] == 0 and got[1]["rerank_score"] == 1.0 and got[2]["rerank_score"] == 0.5
+    whole = fusion.hybrid(lambda q: lists, lambda q: lists, "harbour telescope", [], d, whole_texts=True)
+    assert {r["chunk"] for r in whole.collect()} == {None}
+
+
+def test_a_list_per_collection(spark):
+    row = lambda *ids: spark.createDataFrame([(i, n + 1, 1.0) for n, i in enumerate(ids)], "doc_id bigint, rank int, score double")
+    empty = row(1).limit(0)
+    got = fusion.structured_over({"a": lambda q: empty, "b": lambda q: row(5, 6)}, {"a": lambda q: row(7), "b": lambda q: row(6)}, [fusion.Search("lex", "x"), fusion.Search("vec", "y")], skip_rerank=True)
+    rrf = {r["doc_id"]: r["rrf"] for r in got.collect()}
+    assert rrf[5] == pytest.approx(2 / 61 + 0.05) and rrf[6] == pytest.approx(2 / 62 + 1 / 61 + 0.05) and rrf[7] == pytest.approx(1 / 61 + 0.05)

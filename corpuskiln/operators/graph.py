@@ -201,13 +201,41 @@ def lineage_gaps(evidence: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"n_{c}").alias("n"), F.col(f"p_{c}").alias("first_pos")) for c in LINEAGE))).alias("x")).select("x.*").where("n > 0")
 
 
+# Names of columns that must not leave the engine, whatever they hold (compared without regard to case).
+FORBIDDEN_FIELDS = "providerRequestPayload providerResponsePayload rawPrompt rawCompletion apiKey credential absoluteLocalPath queryLogContent".split()
+
+
 def sensitive_columns(df: DataFrame) -> DataFrame:
-    """(column, reason, n) of sensitive values in any column, nested ones included. One pass over the rows."""
-    texts = [(c, F.col(f"`{c}`").cast("string") if t in ("string",) or not t.startswith(("array", "struct", "map")) else F.to_json(F.col(f"`{c}`"))) for c, t in df.dtypes]
-    rows = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), sensitive_reason(t).alias("reason")) for c, t in texts))).alias("x")).select("x.*").where("reason is not null")
+    """(column, reason, n) of sensitive values in any column, nested ones included, and of columns with a forbidden name, whose
+    values are not looked at (reason ``field_name``, n the rows). One pass over the rows."""
+    forbidden = {f.lower() for f in FORBIDDEN_FIELDS}
+    text = lambda c, t: F.to_json(F.col(f"`{c}`")) if t.startswith(("array", "struct", "map")) else F.col(f"`{c}`").cast("string")
+    reasons = [(c, F.lit("field_name") if c.lower() in forbidden else sensitive_reason(text(c, t))) for c, t in df.dtypes]
+    rows = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), r.alias("reason")) for c, r in reasons))).alias("x")).select("x.*").where("reason is not null")
     return rows.groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def complete_lineage(evidence: DataFrame) -> DataFrame:
+    """The evidence, failing on a row whose lineage is incomplete: no upper level may be built on it."""
+    bad = F.lit(False)
+    for c in LINEAGE:
+        bad = bad | F.coalesce(F.trim(F.col(c)), F.lit("")).rlike("^$|^unknown-")
+    message = F.concat(F.lit("incomplete lineage: "), F.concat_ws(" ", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c), F.lit("null"))) for c in LINEAGE)))
+    return evidence.withColumn(LINEAGE[0], F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col(LINEAGE[0])))
+
+
+def library_level(shelf_reports: DataFrame, library: str, generation: str, most_units: int = 32, evidence: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The level above the shelves: units, edges, communities and overview over the shelves' reports (member is the shelf).
+
+    ``evidence`` (with the lineage fields) must resolve completely, else the build fails.
+    """
+    units = stage_table(limit_units(semantic_units(shelf_reports, library, generation), most_units), "library")  # at most ``most_units`` rows
+    level = {"units": units, "edges": edges(units), "communities": communities(units), "overview": overview(units)}
+    if evidence is not None:
+        level["evidence"] = stage_table(complete_lineage(evidence), "lineage")
+    return level
+
+
 def inspect(relations: dict[str, DataFrame], allowed: list[str] = RELATIONS) -> list[str]:
     """Diagnostics of an upper level's relations: missing relations and columns, empty relations, forbidden relation types."""
     found = []

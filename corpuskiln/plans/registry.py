@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.plans import graph_queries, references_queries, retrieval_queries, store_queries
+from corpuskiln.plans import catalog_queries, graph_queries, references_queries, retrieval_queries, store_queries
 
-MODULES = [references_queries, retrieval_queries, store_queries, graph_queries]
+MODULES = [references_queries, retrieval_queries, store_queries, graph_queries, catalog_queries]
 
 
 def queries() -> dict:

@@ -1,10 +1,14 @@
-"""Keyword-stuffed pages, link lists and tag lists, by perplexity under a prose-trained class model.
+"""Keyword-stuffed pages, link lists and tag lists, by perplexity under class models of prose, lists and data.
 
 Method. A page becomes a sequence of about sixty classes: function words by their part of speech and language, other words
 by shape and ending, numbers, links, marks. A trigram model over classes is counted on all pages that read as prose, and
 every page is scored in blocks under it. How block perplexity is spread over the prose pages gives the normal range; a page
-whose blocks mostly lie outside it (too high: no grammar; too low: one pattern repeated) is a candidate. What is repeated is
-then looked at once more to keep out code, logs, raw data and prose in odd spelling, which are abnormal but no spam.
+whose blocks mostly lie outside it (too high: no grammar; too low: one pattern repeated) is a candidate.
+
+Code, logs, raw data and prose in odd spelling are abnormal but no spam. So the abnormal blocks are scored once more, under three
+bigram models over the same classes, each told apart by whether the word was on the page before: of prose, of lists and of data.
+The list and the data model are counted on candidates that read clearly as the one or the other (``reads_as``), from the whole
+input. A candidate is spam if its perplexity is lowest under the list model; what it was counted as, if at all, plays no part.
 
 Everything the driver holds is bounded by the number of classes: at most classes**3 counts and a fixed histogram.
 """
@@ -68,11 +72,12 @@ _HAN = _mask("chinese", "chinese_function")
 _STOPS = _mask(".", "!", "?")
 _LINKS = _mask("link", "wiki")
 _NUMBERS = _mask("n2", "n4", "number")
+_CASED = _mask("Capital", "UPPER")
 
 #: Tokens of a block; quantiles of prose blocks that bound the normal range; share of a page that must lie outside it.
 BLOCK, LOW, HIGH, MOSTLY = 16, 0.002, 0.985, 0.55
-#: Function words a list may hold per word, distinct words per word of keyword lists, and words per link of link lists.
-FEW_FUNCTION, REPEATED, WORDS_PER_LINK = 0.22, 0.7, 5
+#: Mark of a word that stands on the page before, added to its class; symbols of the bigram models.
+AGAIN, SYMBOLS = 128, 2 * CLASSES
 _BINS, _BIN = 2500, 0.01
 _MOST_CACHED = 1 << 20
 
@@ -116,18 +121,22 @@ class _Codes(dict):
 _CODES = _Codes()
 
 
-def encode(text: str) -> tuple[np.ndarray, float]:
-    """The page's classes and its distinct words per word. Where most words are capitalised, case is taken as style and dropped."""
+def encode(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The page's classes and whether each token is a word that stood before. Where most words are capitalised, case is taken as style and dropped."""
     tokens = TOKEN.findall(text)
     codes = np.fromiter(map(_CODES.__getitem__, tokens), np.uint8, len(tokens))
     is_word = _WORDS[codes]
-    n = int(is_word.sum())
     shown = is_word & ~_FUNCTION[codes]
-    if shown.any() and (_mask("Capital", "UPPER")[codes] & shown).sum() > 0.6 * shown.sum():
+    if shown.any() and (_CASED[codes] & shown).sum() > 0.6 * shown.sum():
         tokens = [t.lower() if w else t for t, w in zip(tokens, is_word)]
         codes = np.fromiter(map(_CODES.__getitem__, tokens), np.uint8, len(tokens))
-    distinct = len({t.lower() for t, w in zip(tokens, is_word | _HAN[codes]) if w})
-    return codes, distinct / max(1, n + int(_HAN[codes].sum()))
+    counted = np.flatnonzero(is_word | _HAN[codes])
+    words = [tokens[i].lower() for i in counted.tolist()]
+    first = {w: i for i, w in zip(range(len(words) - 1, -1, -1), reversed(words))}
+    again = np.zeros(len(codes), bool)
+    again[counted] = True
+    again[counted[list(first.values())]] = False
+    return codes, again
 
 
 def reads_as_prose(codes: np.ndarray) -> bool:
@@ -167,34 +176,63 @@ def block_means(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.add.reduceat(s, cuts[:-1]) / np.diff(cuts), cuts
 
 
-def is_spam(codes: np.ndarray, distinct: float, data_share: float, means: np.ndarray, cuts: np.ndarray, normal: tuple[float, float]) -> tuple[bool, float]:
-    """(spam, share of tokens in abnormal blocks) of a non-empty page."""
+def odd_blocks(codes: np.ndarray, table: np.ndarray, normal: tuple[float, float]) -> tuple[float, float, np.ndarray]:
+    """(bits, share of tokens in abnormal blocks, which tokens these are) of a non-empty page."""
+    means, cuts = block_means(codes, table)
     odd = (means < normal[0]) | (means > normal[1])
-    share = float((np.diff(cuts) * odd).sum() / len(codes))
-    if share < MOSTLY:
-        return False, share
-    x = codes[np.repeat(odd, np.diff(cuts))]
-    n, words, links = len(x), int(_WORDS[x].sum()), int(_LINKS[x].sum())
-    if links >= 5 and words <= WORDS_PER_LINK * links:
-        return True, share
-    part = np.bincount(x, minlength=CLASSES) / n
-    digits, quotes, code = part[_NUMBERS].sum(), part[CODE['"']], part[[CODE["="], CODE["("], CODE["{"]]].sum()
-    if data_share > 0.3 or digits > 0.25 or (quotes > 0.2 and digits > 0.1) or code > 0.1:
-        return False, share
-    han = int(_HAN[x].sum())
-    function = (x == CODE["chinese_function"]).sum() / han if han > words else _FUNCTION[x].sum() / max(1, words)
-    whole = _FUNCTION[codes].sum() / max(1, _WORDS[codes].sum())
-    few = function < 0.02 if han > words else max(function, whole) < FEW_FUNCTION
-    return bool(few and (distinct < REPEATED or part[CODE["#"]] > 0.2)), share
+    sizes = np.diff(cuts)
+    return float((means * sizes).sum() / len(codes)), float((sizes * odd).sum() / len(codes)), np.repeat(odd, sizes)
+
+
+def reads_as(codes: np.ndarray, again: np.ndarray, odd: np.ndarray, data_share: float) -> int:
+    """1 for a candidate that is clearly a list of keywords, links or tags, 2 for one that is clearly code, a log, data or odd prose, 0 for one that
+    may train neither model. Says nothing about the page's verdict."""
+    x = codes[odd]
+    part = np.bincount(x, minlength=CLASSES) / len(x)
+    words, han, links = int(_WORDS[x].sum()), int(_HAN[x].sum()), int(_LINKS[x].sum())
+    digits, quotes, code, tags = part[_NUMBERS].sum(), part[CODE['"']], part[[CODE["="], CODE["("], CODE["{"]]].sum(), part[CODE["#"]]
+    chinese = han > words
+    shown = _WORDS[codes] | _HAN[codes]
+    distinct = 1 - again.sum() / max(1, shown.sum())
+    if chinese:
+        function = (x == CODE["chinese_function"]).sum() / han
+    else:
+        function = max(_FUNCTION[x].sum() / max(1, words), _FUNCTION[codes].sum() / max(1, _WORDS[codes].sum()))
+    if links >= 5 and words <= 3 * links:
+        return 1
+    if data_share < 0.1 and digits < 0.2 and quotes < 0.1 and code < 0.03 and function < (0.01 if chinese else 0.22) and (distinct < 0.5 or tags > 0.25):
+        return 1
+    data = data_share > 0.4 or digits > 0.3 or code > 0.12 or (quotes > 0.2 and digits > 0.12)
+    return 2 if data or distinct > 0.85 or (not chinese and function > 0.3) else 0
+
+
+def symbols(codes: np.ndarray, again: np.ndarray) -> np.ndarray:
+    return codes.astype(np.int64) + CLASSES * again
+
+
+def bigram_codes(x: np.ndarray) -> np.ndarray:
+    return np.concatenate(([CODE["break"]], x[:-1])) * SYMBOLS + x
+
+
+def bigram_table(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
+    """-log2 p of each bigram of symbols, smoothed by the symbol's own frequency."""
+    c2 = counts.reshape(SYMBOLS, SYMBOLS)
+    p1 = (c2.sum(axis=0) + 0.5) / (c2.sum() + 0.5 * SYMBOLS)
+    return -np.log2((c2 + weight * p1) / (c2.sum(axis=1, keepdims=True) + weight)).astype(np.float32).ravel()
+
+
+def _taken_apart(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(packed, np.uint8)
+    return both & (AGAIN - 1), both >= AGAIN
 
 
 def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, bits, odd_share, spam) of every row: mean surprisal in bits, share of abnormal blocks, verdict.
 
     Rows with a null key drop out, repeated rows are judged each by itself, other columns are ignored, whatever they are called.
-    A null or token-less text gets null ``bits``, ``odd_share`` 0 and is no spam. Texts are read whole. If no page reads as
-    prose (such as in an empty table) there is no normal range and nothing is spam. Three passes: one over the texts, which
-    stages a byte per token, one that counts trigrams and one that measures prose blocks and scores, over those bytes only.
+    A null or token-less text gets null ``bits``, ``odd_share`` 0 and is no spam, nor is a text of less than half a block. Texts are read whole. If no page reads as
+    prose (such as in an empty table) there is no normal range and nothing is spam; nor is anything if no candidate reads clearly
+    as a list. One pass over the texts stages a byte per token; the further ones read those bytes only, the last two those of candidates.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -206,30 +244,35 @@ def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
             out = []
             for t in batch["t"]:
                 t = t or ""
-                codes, distinct = encode(t)
-                out.append((codes.tobytes(), distinct, sum(map(len, _RUN.findall(t))) / max(1, len(t)) if len(t) >= 60 else 0.0, reads_as_prose(codes)))
-            yield pd.concat([batch[["k"]].reset_index(drop=True), pd.DataFrame(out, columns=["codes", "distinct", "data", "prose"])], axis=1)
+                codes, again = encode(t)
+                out.append(((codes + np.uint8(AGAIN) * again).tobytes(), sum(map(len, _RUN.findall(t))) / max(1, len(t)) if len(t) >= 60 else 0.0, reads_as_prose(codes)))
+            yield pd.concat([batch[["k"]].reset_index(drop=True), pd.DataFrame(out, columns=["codes", "data", "prose"])], axis=1)
 
-    pages = stage_table(spread(source).mapInPandas(read, f"k {key_type}, codes binary, distinct double, data double, prose boolean"), "pages")
+    pages = stage_table(spread(source).mapInPandas(read, f"k {key_type}, codes binary, data double, prose boolean"), "pages")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(CLASSES**3, np.int64)
+        three, two = np.zeros(CLASSES**3, np.int64), np.zeros(SYMBOLS**2, np.int64)
         for batch in batches:
             for b in batch["codes"]:
-                np.add.at(total, trigram_codes(np.frombuffer(b, np.uint8)), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"trigram": at.astype(np.int32), "n": total[at]})
-
-    counts = np.zeros(CLASSES**3)
-    counted = pages.where("prose").select("codes").mapInPandas(count, "trigram int, n bigint").groupBy("trigram").agg(F.sum("n").alias("n")).toPandas()
-    counts[counted["trigram"]] = counted["n"]
-    table = spark.sparkContext.broadcast(surprisal_table(counts))
+                codes, again = _taken_apart(b)
+                np.add.at(three, trigram_codes(codes), 1)
+                np.add.at(two, bigram_codes(symbols(codes, again)), 1)
+        for order, total in ((3, three), (2, two)):
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({"order": np.full(len(at), order, np.int32), "at": at.astype(np.int32), "n": total[at]})
+
+    three, prose_pairs = np.zeros(CLASSES**3), np.zeros(SYMBOLS**2)
+    counted = pages.where("prose").select("codes").mapInPandas(count, "order int, at int, n bigint").groupBy("order", "at").agg(F.sum("n").alias("n")).toPandas()
+    for order, total in ((3, three), (2, prose_pairs)):
+        of = counted[counted["order"] == order]
+        total[of["at"]] = of["n"]
+    table = spark.sparkContext.broadcast(surprisal_table(three))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros((2, _BINS), np.int64)
         for batch in batches:
             for b in batch["codes"]:
-                codes = np.frombuffer(b, np.uint8)
+                codes = _taken_apart(b)[0]
                 bins = np.minimum((block_means(codes, table.value)[0] / _BIN).astype(int), _BINS - 1)
                 np.add.at(seen[int(_chinese(codes))], bins, 1)
         script, at = np.nonzero(seen)
@@ -245,17 +288,42 @@ def score_pages(df: DataFrame, key: str, text: str) -> DataFrame:
         below = histogram.cumsum(axis=1) / histogram.sum(axis=1, keepdims=True)
         normal = [(float(np.searchsorted(row, LOW)) * _BIN, float(np.searchsorted(row, HIGH) + 1) * _BIN) for row in below]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for b, distinct, data in zip(batch["codes"], batch["distinct"], batch["data"]):
-                codes = np.frombuffer(b, np.uint8)
+            for b, data in zip(batch["codes"], batch["data"]):
+                codes, again = _taken_apart(b)
                 if not len(codes):
-                    out.append((None, 0.0, False))
+                    out.append((None, 0.0, None, 0))
                     continue
-                means, cuts = block_means(codes, table.value)
-                spam, share = is_spam(codes, distinct, data, means, cuts, normal[int(_chinese(codes))])
-                out.append((float((means * np.diff(cuts)).sum() / len(codes)), share, spam))
-            yield pd.concat([batch[["k"]].reset_index(drop=True), pd.DataFrame(out, columns=["bits", "odd_share", "spam"])], axis=1)
+                bits, share, odd = odd_blocks(codes, table.value, normal[int(_chinese(codes))])
+                candidate = share >= MOSTLY and 2 * len(codes) >= BLOCK
+                out.append((bits, share, (codes + np.uint8(AGAIN) * again)[odd].tobytes() if candidate else None, reads_as(codes, again, odd, data) if candidate else 0))
+            yield pd.concat([batch[["k"]].reset_index(drop=True), pd.DataFrame(out, columns=["bits", "odd_share", "odd", "kind"])], axis=1)
 
-    return pages.select("k", "codes", "distinct", "data").mapInPandas(judge, f"k {key_type}, bits double, odd_share double, spam boolean").withColumnRenamed("k", key)
+    looked = stage_table(pages.select("k", "codes", "data").mapInPandas(look, f"k {key_type}, bits double, odd_share double, odd binary, kind int"), "looked")
+
+    def count_kinds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3, SYMBOLS**2), np.int64)
+        for batch in batches:
+            for b, kind in zip(batch["odd"], batch["kind"]):
+                np.add.at(total[kind], bigram_codes(symbols(*_taken_apart(b))), 1)
+        kind, at = np.nonzero(total)
+        yield pd.DataFrame({"kind": kind.astype(np.int32), "at": at.astype(np.int32), "n": total[kind, at]})
+
+    pairs = np.zeros((3, SYMBOLS**2))
+    pairs[0] = prose_pairs
+    kinds = looked.where("kind > 0").select("odd", "kind").mapInPandas(count_kinds, "kind int, at int, n bigint").groupBy("kind", "at").agg(F.sum("n").alias("n")).toPandas()
+    pairs[kinds["kind"], kinds["at"]] = kinds["n"]
+    models = spark.sparkContext.broadcast([bigram_table(p) if p.any() else None for p in pairs])
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spam = []
+            for b in batch["odd"]:
+                means = [None if m is None or b is None else float(m[bigram_codes(symbols(*_taken_apart(b)))].mean()) for m in models.value]
+                prose, listed, data = means
+                spam.append(listed is not None and all(other is None or listed < other for other in (prose, data)))
+            yield batch.drop(columns="odd").assign(spam=spam)
+
+    return looked.select("k", "bits", "odd_share", "odd").mapInPandas(judge, f"k {key_type}, bits double, odd_share double, spam boolean").withColumnRenamed("k", key)

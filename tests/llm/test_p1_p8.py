@@ -131,8 +131,15 @@ def test_no_pages(spark):
 
 @pytest.mark.parametrize("text", ["", "的" * 50, "A B C", "https://x.example " * 9])
 def test_encoding_has_a_class_for_everything(text):
-    codes, distinct = sp.encode(text)
-    assert (codes < sp.CLASSES).all() and 0 <= distinct <= 1
+    codes, again = sp.encode(text)
+    assert (codes < sp.CLASSES).all() and len(again) == len(codes) and sp.CLASSES <= sp.AGAIN // 2
+
+
+def test_words_that_stood_before():
+    codes, again = sp.encode("red Red, blue red 7 7")
+    assert again.tolist() == [False, True, False, False, True, False, False]
+    packed = (codes + np.uint8(sp.AGAIN) * again).tobytes()
+    assert all((a == b).all() for a, b in zip(sp._taken_apart(packed), (codes, again)))
 
 
 @pytest.mark.parametrize("text", ["I'm sorry, but this falls to a doctor.", "Das kann ein Arzt besser sagen."])

@@ -34,17 +34,31 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_report(p5_found(spark, sf_dir), ["tbl", "kind", "ref_month"])
 
 
-def p5_partial_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Composite reference (document_id, content_hash) to documents under MATCH PARTIAL, per kind and method."""
+def _composite(spark: SparkSession, sf_dir: str, match: str) -> DataFrame:
     caps = spark.read.parquet(f"{sf_dir}/qmd_graph_capabilities.parquet")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    refs = caps.select("capability_id", "method", canonical_key(F.col("document_id")).alias("d"), canonical_key(F.col("content_hash")).alias("h"))
+    refs = caps.select("capability_id", canonical_key(F.col("document_id")).alias("d"), canonical_key(F.col("content_hash")).alias("h"))
     own = docs.select(canonical_key(F.col("document_id")).alias("kd"), canonical_key(F.col("hash")).alias("kh"))
-    orphans = orphan_references(refs, own, [("d", "kd"), ("h", "kh")], match="partial")
-    return orphan_report(orphans.withColumn("mask", F.concat(F.col("d").isNotNull().cast("int").cast("string"), F.col("h").isNotNull().cast("int").cast("string"))), ["kind", "mask"])
+    orphans = orphan_references(refs, own, [("d", "kd"), ("h", "kh")], match=match)
+    return orphans.withColumn("mask", F.concat(F.col("d").isNotNull().cast("int").cast("string"), F.col("h").isNotNull().cast("int").cast("string")))
+
+
+def p5_partial_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every orphan of the composite reference (document_id, content_hash) to documents under MATCH PARTIAL, with its null mask."""
+    return _composite(spark, sf_dir, "partial").select("capability_id", F.coalesce("d", F.lit("")).alias("d"), F.coalesce("h", F.lit("")).alias("h"), "kind", "mask")
+
 
+def p5_full_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same under MATCH FULL, where a partly null reference is an orphan: number per kind and mask."""
+    return orphan_report(_composite(spark, sf_dir, "full"), ["kind", "mask"])
+
+
+def p5_partial_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans under MATCH PARTIAL: number per kind and mask."""
+    return orphan_report(_composite(spark, sf_dir, "partial"), ["kind", "mask"])
 
-QUERIES = {"p5_found": p5_found, "p5_report": p5_report, "p5_partial_pairs": p5_partial_pairs}
+
+QUERIES = {"p5_found": p5_found, "p5_report": p5_report, "p5_partial_pairs": p5_partial_pairs, "p5_partial_orphans": p5_partial_orphans, "p5_full_pairs": p5_full_pairs}
 
 _KEY = "nullif(trim(regexp_replace(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
 _FOUND = f"""
@@ -63,15 +77,18 @@ b AS (
   FROM qmd_graph_capabilities q LEFT JOIN d ON d.k = {_KEY.format(c='q.document_id')} WHERE {_KEY.format(c='q.document_id')} IS NOT NULL),
 f AS (SELECT DISTINCT tbl, row_key, kind, strftime(make_timestamp((epoch(t) * 1000000)::BIGINT), '%Y-%m') AS ref_month FROM b WHERE kind IS NOT NULL)
 """
+_PAIRS = f"""
+WITH q0 AS (SELECT capability_id, {_KEY.format(c='document_id')} AS d, {_KEY.format(c='content_hash')} AS h FROM qmd_graph_capabilities),
+q AS (SELECT *, (d IS NOT NULL)::INT::VARCHAR || (h IS NOT NULL)::INT::VARCHAR AS mask FROM q0),
+t AS (SELECT {_KEY.format(c='document_id')} AS d, {_KEY.format(c='hash')} AS h FROM documents)
+"""
+_LOOSE = """((q.d IS NOT NULL AND q.h IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.d = q.d AND t.h = q.h))
+   OR (q.d IS NOT NULL AND q.h IS NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.d = q.d))
+   OR (q.d IS NULL AND q.h IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.h = q.h)))"""
 SQL = {
     "p5_found": _FOUND + "SELECT tbl, row_key, kind, ref_month FROM f",
     "p5_report": _FOUND + "SELECT tbl, kind, ref_month, count(*)::BIGINT AS n_orphans FROM f GROUP BY 1, 2, 3",
-    "p5_partial_pairs": f"""
-WITH q AS (SELECT {_KEY.format(c='document_id')} AS d, {_KEY.format(c='content_hash')} AS h FROM qmd_graph_capabilities),
-t AS (SELECT {_KEY.format(c='document_id')} AS d, {_KEY.format(c='hash')} AS h FROM documents)
-SELECT 'missing' AS kind, (q.d IS NOT NULL)::INT::VARCHAR || (q.h IS NOT NULL)::INT::VARCHAR AS mask, count(*)::BIGINT AS n_orphans FROM q
-WHERE (q.d IS NOT NULL AND q.h IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.d = q.d AND t.h = q.h))
-   OR (q.d IS NOT NULL AND q.h IS NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.d = q.d))
-   OR (q.d IS NULL AND q.h IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.h = q.h))
-GROUP BY 1, 2""",
+    "p5_partial_pairs": _PAIRS + f"SELECT 'missing' AS kind, mask, count(*)::BIGINT AS n_orphans FROM q WHERE {_LOOSE} GROUP BY 1, 2",
+    "p5_partial_orphans": _PAIRS + f"SELECT capability_id, coalesce(d, '') AS d, coalesce(h, '') AS h, 'missing' AS kind, mask FROM q WHERE {_LOOSE}",
+    "p5_full_pairs": _PAIRS + f"SELECT CASE WHEN mask = '11' THEN 'missing' ELSE 'mixed' END AS kind, mask, count(*)::BIGINT AS n_orphans FROM q WHERE mask IN ('01', '10') OR (mask = '11' AND {_LOOSE}) GROUP BY 1, 2",
 }

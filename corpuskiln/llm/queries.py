@@ -126,7 +126,15 @@ c AS (SELECT tbl, record_id, CASE WHEN len(fields) >= 2 AND len(list_filter(fiel
     ELSE 'P' || trim(regexp_replace(regexp_replace(lower(query), '[''’]', '', 'g'), '[^\p{L}\p{N}+#]+', ' ', 'g')) END AS form FROM f)
 """
 _KEY = "nullif(trim(regexp_replace(lower(trim(hash, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
+_P3 = f"""
+WITH c AS (SELECT DISTINCT {_KEY} AS hash, doc FROM content WHERE doc IS NOT NULL AND {_KEY} IS NOT NULL),
+w AS (SELECT row_number() OVER () AS id, hash, regexp_extract_all(lower(doc), '[\\p{{L}}\\p{{N}}]+') AS w FROM c),
+t AS (SELECT id, hash, list_distinct(list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) AS s FROM w WHERE len(w) >= 3),
+u AS (SELECT id, hash, len(s) AS n, unnest(s) AS x FROM t),
+p AS (SELECT a.id AS i, b.id AS j, any_value(a.hash) AS hash_a, any_value(b.hash) AS hash_b, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity FROM u a JOIN u b ON a.x = b.x AND a.hash < b.hash GROUP BY 1, 2)
+"""
 SQL = {
+    "p3_found": _P3 + "SELECT DISTINCT hash_a, hash_b FROM p WHERE similarity >= 0.7",
     "p4_found": f"SELECT {_KEY} AS hash, min(CASE WHEN regexp_matches(regexp_replace(doc, '[^\\s\\p{{Z}}\\x1c-\\x1f\\x85。！？]', 'x', 'g'), 'x{{1000}}x{{1000}}x{{1000}}x{{601}}') THEN 'hard' ELSE 'soft' END) AS kind FROM content WHERE length(doc) > 3600 AND {_KEY} IS NOT NULL GROUP BY 1",
     "p2_found": _P2 + ", k AS (SELECT *, min(record_id) OVER (PARTITION BY tbl, form) AS keep_id FROM c) SELECT tbl, keep_id, record_id AS copy_id FROM k WHERE keep_id <> record_id",
     "p2_records": _P2 + "SELECT tbl, min(record_id) AS keep_id, count(*)::BIGINT AS n_copies FROM c GROUP BY tbl, form",

@@ -146,7 +146,8 @@ def deduplicate(examples: DataFrame, key: str) -> DataFrame:
 
 def split(examples: DataFrame, key: str, eval_share: float = 0.1, seed: int = 42) -> DataFrame:
     """``split`` (train or eval) by a seeded hash of the key: the same wherever it runs."""
-    return examples.withColumn("split", F.when(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10000)) < int(eval_share * 10000), "eval").otherwise("train"))
+    share = F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.lit(8)), 16, 10).cast("bigint") % 10000
+    return examples.withColumn("split", F.when(share < int(eval_share * 10000), "eval").otherwise("train"))
 
 
 def score_summary(scores: DataFrame, score: str) -> DataFrame:

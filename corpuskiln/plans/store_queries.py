@@ -322,6 +322,17 @@ def _first(column: str, signs: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join("WHEN regexp_matches({}, '{}') THEN '{}'".format(column, pattern.replace("'", "''"), name) for name, pattern in signs) + " END"
 
 
+def _redacted(column: str) -> str:
+    """SQL of the text with secrets, links and local paths replaced; what looks behind in a pattern is put back instead."""
+    for pattern, put in T.REDACTIONS:
+        pattern, put = pattern.replace("'", "''"), put.replace("$1", "\\1")
+        if pattern.startswith("(?<!["):
+            inside, rest = pattern[len("(?<!["):].split("])", 1)
+            pattern, put = f"(^|[^{inside}]){rest}", f"\\1{put}"
+        column = f"regexp_replace({column}, '{pattern}', '{put}', 'g')"
+    return column
+
+
 SQL = {
     "reindex_classify": _CLASSIFY + " SELECT * FROM r",
     "reindex_counts": _CLASSIFY + " SELECT status, count(*)::BIGINT AS n FROM r GROUP BY 1",
@@ -367,5 +378,6 @@ SQL = {
     "content_hashes": "WITH t AS (SELECT doc_id, path, coalesce(text, '') AS t FROM documents) SELECT doc_id, sha256(t) AS plain, sha256('{\"content\":' || to_json(t)::VARCHAR || ',\"normalizationPolicyVersion\":\"1\"}') AS wrapped, sha256('{\"path\": ' || to_json(path)::VARCHAR || ', \"text\": ' || to_json(t)::VARCHAR || '}') AS spaced FROM t",
     "sensitive_scan": f"SELECT doc_id, coalesce({_first('title', T.SENSITIVE)}, {_first('text', T.SENSITIVE)}) AS reason FROM documents",
     "failure_class": f"WITH c AS (SELECT doc_id, coalesce({_first('text', T.FAILURES)}, 'unknown') AS kind FROM documents WHERE text IS NOT NULL) SELECT doc_id, kind, kind IN ('rate_limit', 'timeout', 'network', 'server') AS retryable FROM c",
+    "redacted": f"SELECT doc_id, length(regexp_replace({_redacted('text')}, '\\s+', '', 'g'))::INT AS chars FROM documents WHERE text IS NOT NULL",
     "intent_terms": rf"SELECT record_id, array_to_string(list_filter(list_transform(regexp_split_to_array(lower(intent), '\s+'), lambda x: regexp_replace(x, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')), lambda x: length(x) > 1 AND x NOT IN ({', '.join(repr(w) for w in T.INTENT_STOP_WORDS)})), ' ') AS terms FROM qmd_expansion_sports WHERE intent IS NOT NULL",
 }

@@ -169,13 +169,17 @@ class Corpus:
 
     @staging()
     def embed(self, force: bool = False) -> int:
-        """Embed pieces of bodies that have none under the model and fingerprint; the number of pieces written."""
+        """Embed pieces of bodies that have none under the model and fingerprint; the number of pieces written. A failing embedder is
+        tried again; a body of which a piece stays without vector keeps none and is pending as before."""
         have = self.vectors().where("false") if force else self.vectors()
         pending = stage_table(store.pending_embeddings(self.documents(), self.content(), have, self.model, self.fingerprint).select("hash"), "pending")
         bodies = self.content().join(pending, "hash", "left_semi")
         pieces = chunking.chunk_documents(bodies, "hash", "doc")
         totals = pieces.groupBy("hash").agg(F.count(F.lit(1)).cast("int").alias("total_chunks"))
-        new = vectors.embed(pieces, "text", "embedding", self.embedder).join(totals, "hash").select("hash", "seq", "pos", F.lit(self.model).alias("model"), F.lit(self.fingerprint).alias("embed_fingerprint"), "total_chunks", F.current_timestamp().alias("embedded_at"), "embedding")
+        embedded = vectors.embed(pieces, "text", "embedding") if self.embedder is None else stage_table(vectors.embed_with_retries(pieces, "text", "embedding", "failure", self.embedder), "tried")
+        if self.embedder is not None:
+            embedded = embedded.join(embedded.where("embedding is null").select("hash").distinct(), "hash", "left_anti")
+        new = embedded.join(totals, "hash").select("hash", "seq", "pos", F.lit(self.model).alias("model"), F.lit(self.fingerprint).alias("embed_fingerprint"), "total_chunks", F.current_timestamp().alias("embedded_at"), "embedding")
         new = stage_table(new, "embedded")
         stale = have.join(pending, "hash", "left_semi")
         if force or not stale.isEmpty():

@@ -277,3 +277,32 @@ def staleness_days(now: Column, last: Column) -> Column:
 
 def retry_delay_ms(attempt: Column, base: int = 1000, most: int = 60000) -> Column:
     return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), attempt - 1)).cast("bigint")
+
+
+def portable_path(c: Column) -> Column:
+    """A relative path with forward slashes and without empty and ``.`` parts; null where it is absolute, a URI, home-relative, climbs or is empty."""
+    slashed = F.replace(c, F.lit("\\"), F.lit("/"))
+    parts = F.filter(F.split(slashed, "/", -1), lambda x: (x != "") & (x != "."))
+    bad = (c == "") | F.contains(c, F.lit("\0")) | slashed.rlike(r"^~[^/]*(/|$)") | slashed.startswith("/") | c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+    return F.when(~bad & (F.size(parts) > 0) & ~F.array_contains(parts, ".."), F.array_join(parts, "/"))
+
+
+# Pieces of messages that speak of a passing failure of a provider, and patterns of server errors.
+TRANSIENT = "concurrency limit|rate limit|temporarily unavailable|stream_read_error|timeout|timed out|service unavailable|gateway timeout|bad gateway|apiconnectionerror|api connection error|connectionerror|connecterror|connecttimeout|readtimeout|clientconnectorerror|serverdisconnectederror|remote protocol error|jina_aiexception|jina ai exception|jina_ai exception|cannot connect to host|network error|fetch failed|ssl|unexpected_eof_while_reading|eof occurred in violation of protocol|connection reset|connection reset by peer|read reset|connection aborted|connection refused|socket hang up|temporary failure in name resolution|getaddrinfo|dns|httpx.|aiohttp.|urllib3.|econnreset|econnrefused|enotfound|etimedout|eai_again|(429)".split("|")
+TRANSIENT_PATTERNS = [r"(?i)(?:http|status(?: code)?|error code|code)[^\d]*(5\d\d)", r"(?i)\((5\d\d)\)"]
+
+
+def is_transient(c: Column) -> Column:
+    """Whether a message speaks of a passing failure; null for null."""
+    low = F.lower(c)
+    found = F.exists(F.array(*(F.lit(t) for t in TRANSIENT)), lambda t: F.contains(low, t))
+    for pattern in TRANSIENT_PATTERNS:
+        found = found | c.rlike(pattern)
+    return F.when(c.isNotNull(), found)
+
+
+def relative_time(seconds: Column) -> Column:
+    """Age in its largest whole unit: ``5s ago``, ``3m ago``, ``2h ago``, ``9d ago``."""
+    s = F.floor(seconds)
+    unit = lambda size, name: F.concat(F.floor(s / size).cast("string"), F.lit(f"{name} ago"))
+    return F.when(s < 60, unit(1, "s")).when(s < 3600, unit(60, "m")).when(s < 86400, unit(3600, "h")).otherwise(unit(86400, "d"))

@@ -154,3 +154,54 @@ def embed(df: DataFrame, text: str, out: str, embedder=None) -> DataFrame:
         return pd.Series([list(map(float, v)) for v in embedder(list(texts))])
 
     return df.withColumn(out, run(text))
+
+
+#: Texts of one call of an embedder, tries per text, and the share of failures from which a task gives up.
+CALL, ATTEMPTS, MOST_FAILED = 32, 3, 0.8
+
+
+def embed_with_retries(df: DataFrame, text: str, out: str, failure: str, embedder, *, call: int = CALL, attempts: int = ATTEMPTS, most_failed: float = MOST_FAILED) -> DataFrame:
+    """``df`` with a vector and, where there is none, the reason (``failure``).
+
+    ``embedder`` gets ``call`` texts at once. If a call fails its texts are tried one by one; texts without vector are tried again
+    at the end of the batch, ``attempts`` times in all. A task that has lost more than ``most_failed`` of at least ``call`` texts gives up the
+    rest, whose reason says so. Null texts are not embedded and have no failure.
+    """
+    ship_package(df.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{out}` array<double>, `{failure}` string"
+
+    def alone(t: str) -> tuple[list[float] | None, str | None]:
+        try:
+            v = embedder([t])[0]
+            return (None, "no vector") if v is None else (list(map(float, v)), None)
+        except Exception as error:  # noqa: BLE001 - an embedder may fail in any way
+            return None, str(error)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done = lost = 0
+        for batch in batches:
+            texts = list(batch[text])
+            result: list[tuple[list[float] | None, str | None]] = [(None, None)] * len(texts)
+            asked = [i for i, t in enumerate(texts) if t is not None]
+            for first in range(0, len(asked), call):
+                some = asked[first:first + call]
+                if done + lost >= call and lost > most_failed * (done + lost):
+                    for i in asked[first:]:
+                        result[i] = (None, "given up because too many failed")
+                    break
+                tries = dict.fromkeys(some, 1)
+                try:
+                    for i, v in zip(some, embedder([texts[i] for i in some])):
+                        result[i] = (None, "no vector") if v is None else (list(map(float, v)), None)
+                except Exception:  # noqa: BLE001
+                    for i in some:
+                        result[i] = alone(texts[i])
+                while left := [i for i in some if result[i][0] is None and tries[i] < attempts]:
+                    for i in left:
+                        tries[i] += 1
+                        result[i] = alone(texts[i])
+                done += sum(result[i][0] is not None for i in some)
+                lost += sum(result[i][0] is None for i in some)
+            yield batch.assign(**{out: [v for v, _ in result], failure: [why for _, why in result]})
+
+    return df.mapInPandas(run, fields)

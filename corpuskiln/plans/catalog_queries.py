@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskiln.functions.keys import canonical_key
+from corpuskiln.functions import text as T
+from corpuskiln.functions.keys import canonical_key, instant
 from corpuskiln.operators import catalog, evaluation, graph
 from corpuskiln.plans import graph_queries as G
 from corpuskiln.plans.retrieval_queries import _distance
+from corpuskiln.sources import sinks
 
 
 def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
@@ -130,7 +132,35 @@ def text_unit_identity(spark, d):
     return catalog.text_unit_identity(caps, docs).groupBy(F.coalesce("how", F.lit("none")).alias("how")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("document_id").alias("documents"))
 
 
-QUERIES = {f.__name__: f for f in (artifact_subset, stale_catalogs, model_metrics_cap, model_totals, recovery_summary, recovery_totals, rating_histogram, throughput, vector_sample, adopted_fingerprints, lineage_ids, output_scores, sensitive_fields, library_rollup, level_problems, text_unit_identity)}
+def portable_paths(spark, d):
+    """Paths in five spellings as portable ones; null where they are not."""
+    path = F.col("path")
+    spelled = F.element_at(F.array(path, F.concat(F.lit("/"), path), F.concat(F.lit("a/../"), path), F.concat(F.lit("./"), F.replace(path, F.lit("/"), F.lit("//"))), F.replace(path, F.lit("/"), F.lit("\\"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    return _read(spark, d, "documents").select("doc_id", T.portable_path(spelled).alias("portable"))
+
+
+def transient_texts(spark, d):
+    """Texts that speak of passing failures."""
+    return _read(spark, d, "documents").where("text is not null").select("doc_id", T.is_transient(F.col("text")).alias("passing"))
+
+
+def relative_ages(spark, d):
+    """Age of every document at a fixed time, in words."""
+    age = F.lit(1798761600) - F.floor(F.unix_millis(instant(F.col("modified_at"))) / 1000)
+    return _read(spark, d, "documents").where("modified_at is not null").select("doc_id", T.relative_time(age).alias("age"))
+
+
+def document_formats(spark, d):
+    """All fetched documents as csv, files and md, long ones skipped."""
+    docs = _read(spark, d, "documents").where("active and text is not null").select(F.col("doc_id").alias("ord"), F.col("path").alias("file"), "title", F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("context"), F.col("text").alias("body"), F.when(F.length("text") > 2048, F.lit("File too large")).alias("skip_reason"))
+    whole = None
+    for kind in ("csv", "files", "md"):
+        part = sinks.format_documents(docs, kind).select(F.lit(kind).alias("format"), "ord", "line")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
+QUERIES = {f.__name__: f for f in (artifact_subset, stale_catalogs, model_metrics_cap, model_totals, recovery_summary, recovery_totals, rating_histogram, throughput, vector_sample, adopted_fingerprints, lineage_ids, output_scores, sensitive_fields, library_rollup, level_problems, text_unit_identity, portable_paths, transient_texts, relative_ages, document_formats)}
 
 _K = G._K
 _A = "a AS (SELECT book_id, coalesce(ready, false) AS ready, unnest(CASE WHEN starts_with(trim(artifact_ids), '[') THEN from_json(artifact_ids, '[\"VARCHAR\"]') WHEN artifact_ids IS NULL THEN [NULL] ELSE [regexp_replace(trim(artifact_ids), '^\"|\"$', '', 'g')] END) AS x FROM qmd_graph_capabilities), b AS (SELECT DISTINCT book_id FROM qmd_graph_capabilities WHERE NOT coalesce(ready, false)), i AS (SELECT DISTINCT book_id, ready, x FROM a WHERE trim(coalesce(x, '')) <> '')"
@@ -152,7 +182,11 @@ def _lineage_sql() -> str:
     return f"WITH d AS (SELECT *, {h} AS h FROM documents) SELECT doc_id, CASE WHEN h IS NOT NULL THEN {lineage} END AS lineage, {piece} AS piece FROM d"
 
 
-_HYDE = r"trim(coalesce(list_filter(o, lambda x: x.type = 'hyde' AND x.text IS NOT NULL)[-1].text, ''))"
+def _csv(column: str) -> str:
+    """SQL of a field of a CSV line."""
+    return f"CASE WHEN regexp_matches(coalesce({column}, ''), '[,\"' || chr(10) || ']') THEN '\"' || replace({column}, '\"', '\"\"') || '\"' ELSE coalesce({column}, '') END"
+
+
 _EVENTS = "e AS (SELECT user_id AS item, event_type, event_type = 'error' AS retryable, event_id AS retry_at, (props->>'k')::BIGINT AS wait FROM events)"
 SQL = {
     "artifact_subset": f"WITH {_A}, u AS (SELECT book_id, count(*) AS n FROM i WHERE NOT ready AND NOT EXISTS (SELECT 1 FROM i j WHERE j.ready AND j.book_id = i.book_id AND j.x = i.x) GROUP BY 1) SELECT b.book_id, coalesce(n, 0) = 0 AS subset FROM b LEFT JOIN u USING (book_id)",
@@ -171,4 +205,8 @@ SQL = {
     "library_rollup": G.SQL["communities_rollup"].replace("SELECT source AS member", "SELECT upper(left(source, 1)) AS member"),
     "level_problems": f"WITH u AS (SELECT {_K.format(c='document_id')} AS id, source AS member, CASE WHEN active THEN 'g1' ELSE 'g0' END AS generation FROM documents), c AS (SELECT {_K.format(c='document_id')} AS id, kind FROM qmd_graph_capabilities WHERE {_K.format(c='document_id')} IS NOT NULL), p AS (SELECT 'edge_without_unit' AS problem, 2 * count(*)::BIGINT AS n FROM c WHERE kind = 'graph_query' AND id NOT IN (SELECT id FROM u) UNION ALL SELECT 'evidence_without_unit', count(*) FROM c WHERE id NOT IN (SELECT id FROM u) UNION ALL SELECT 'unit_without_evidence', count(DISTINCT id) FROM u WHERE id NOT IN (SELECT id FROM c) UNION ALL SELECT 'unit_of_unknown_member', count(*) FROM u WHERE member IS NULL OR member NOT IN (SELECT source FROM source_targets) UNION ALL SELECT 'stale_unit', count(*) FROM u WHERE generation <> 'g1' UNION ALL SELECT 'too_many_units', count(*) FROM u HAVING count(*) > 100) SELECT problem, n FROM p WHERE n > 0",
     "text_unit_identity": rf"WITH d AS (SELECT {_K.format(c='document_id')} AS id, lower(regexp_extract(path, '([^/]*)$', 1)) AS name FROM documents), n AS (SELECT name, min(id) AS named FROM d WHERE name <> '' GROUP BY 1 HAVING count(DISTINCT id) = 1), c AS (SELECT DISTINCT capability_id, {_K.format(c='document_id')} AS id, lower(right(capability_id, 3) || '.md') AS name FROM qmd_graph_capabilities), j AS (SELECT c.*, c.id IN (SELECT id FROM d) AS there, named FROM c LEFT JOIN n USING (name)) SELECT CASE WHEN coalesce(there, false) THEN 'id' WHEN named IS NOT NULL THEN 'name' ELSE 'none' END AS how, count(*)::BIGINT AS n, count(DISTINCT CASE WHEN coalesce(there, false) THEN id ELSE named END)::BIGINT AS documents FROM j GROUP BY 1",
+    "portable_paths": "SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 3, 4) THEN path END AS portable FROM documents",
+    "transient_texts": "SELECT doc_id, " + " OR ".join([*(f"contains(lower(text), '{t}')" for t in T.TRANSIENT), *(f"regexp_matches(text, '{p}')" for p in T.TRANSIENT_PATTERNS)]) + " AS passing FROM documents WHERE text IS NOT NULL",
+    "relative_ages": "WITH a AS (SELECT doc_id, 1798761600 - floor(epoch_ms(modified_at::TIMESTAMPTZ) / 1000)::BIGINT AS s FROM documents WHERE modified_at IS NOT NULL) SELECT doc_id, CASE WHEN s < 60 THEN s || 's ago' WHEN s < 3600 THEN s // 60 || 'm ago' WHEN s < 86400 THEN s // 3600 || 'h ago' ELSE s // 86400 || 'd ago' END AS age FROM a",
+    "document_formats": f"WITH d AS (SELECT doc_id AS ord, path AS file, title, CASE WHEN doc_id % 3 = 0 THEN coalesce(source, '') ELSE '' END AS ctx, CASE WHEN length(text) > 2048 THEN 'File too large' ELSE text END AS shown, length(text) > 2048 AS skipped FROM documents WHERE active AND text IS NOT NULL) SELECT 'csv' AS format, ord, {_csv('file')} || ',' || {_csv('title')} || ',' || {_csv('ctx')} || ',' || CASE WHEN skipped THEN 'true' ELSE 'false' END || ',' || {_csv('shown')} AS line FROM d UNION ALL SELECT 'files', ord, file || CASE WHEN ctx <> '' THEN ',\"' || replace(ctx, '\"', '\"\"') || '\"' ELSE '' END || CASE WHEN skipped THEN ',[SKIPPED]' ELSE '' END FROM d UNION ALL SELECT 'md', ord, '## ' || file || chr(10) || chr(10) || CASE WHEN coalesce(title, '') <> '' AND title <> file THEN '**Title:** ' || title || chr(10) || chr(10) ELSE '' END || CASE WHEN ctx <> '' THEN '**Context:** ' || ctx || chr(10) || chr(10) ELSE '' END || CASE WHEN skipped THEN '> ' || shown || chr(10) ELSE '```' || chr(10) || shown || chr(10) || '```' || chr(10) END FROM d",
 }

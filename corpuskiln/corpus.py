@@ -8,6 +8,9 @@ Collections and contexts are small and live in the state file.
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +85,18 @@ class Corpus:
         self.state["collections"][name] = {"path": path, "pattern": pattern, "ignore": ignore or [], "default": default}
         self._save()
 
+    def configure(self, collections: dict[str, dict]) -> bool:
+        """Register exactly these collections (name -> path, pattern, ignore, default, contexts by prefix); False if nothing changed since
+        the last configuration. Documents of collections that are gone stay until those are removed."""
+        mark = hashlib.sha256(json.dumps(collections, sort_keys=True).encode()).hexdigest()
+        if self.state.get("configured") == mark:
+            return False
+        self.state["collections"] = {n: {"path": c["path"], "pattern": c.get("pattern", "*.md"), "ignore": c.get("ignore") or [], "default": c.get("default", True)} for n, c in collections.items()}
+        self.state["contexts"] = [[n, prefix, text] for n, c in collections.items() for prefix, text in sorted((c.get("contexts") or {}).items())]
+        self.state["configured"] = mark
+        self._save()
+        return True
+
     def rename_collection(self, old: str, new: str) -> bool:
         """False if there is no such collection; an existing target is an error."""
         if new in self.state["collections"]:
@@ -192,10 +207,10 @@ class Corpus:
     def index(self) -> postings.Index:
         """The search index of the active documents; built if a mutation came after the last one."""
         made = self.state["index"]
-        if made is None or made["stem"] != self.stem:
+        if made is None or made["stem"] != self.stem or made.get("version") != postings.VERSION:
             built = postings.build(self._joined(), stem=self.stem)
             tables = {"index": self.folder.write_table(built.terms.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id"), "index")}
-            self.state["index"] = made = {"stem": self.stem, "documents": built.documents, "mean": built.mean, "tables": tables}
+            self.state["index"] = made = {"stem": self.stem, "version": postings.VERSION, "documents": built.documents, "mean": built.mean, "tables": tables}
             self._save()
         return postings.Index(self.spark.read.schema(postings.SCHEMA).parquet(self.folder.path(made["tables"]["index"])), made["documents"], made["mean"], made["stem"])
 
@@ -225,7 +240,7 @@ class Corpus:
         if parsed:
             return fusion.structured(lex, sem, parsed.searches, docs, limit=limit, skip_rerank=skip_rerank, scorer=self.reranker)
         query = text.strip().removeprefix("expand:").strip()
-        more = self.expander(query) if self.expander else []
+        more = query_document.expand(query, self.expander, self.folder, self.model) if self.expander else []
         return fusion.hybrid(lex, sem, query, more, docs, limit=limit, skip_rerank=skip_rerank, scorer=self.reranker)
 
     def get(self, asked: str) -> DataFrame:

@@ -153,6 +153,22 @@ def scope_frames(documents: DataFrame, text_units: DataFrame, entities: DataFram
     return {"documents": docs, "text_units": units, "entities": of(entities, "id"), "relationships": of(relationships, "id"), "communities": kept, "community_reports": reports.join(kept.select("community"), "community", "left_semi")}
 
 
+class ScopeError(ValueError):
+    """A stage of a scope that holds nothing; ``stage`` names it."""
+
+    def __init__(self, stage: str):
+        super().__init__(f"the scope leaves no {stage.replace('_', ' ')}")
+        self.stage = stage
+
+
+def checked_scope(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Frames of ``scope_frames``, failing with the first stage that is empty."""
+    for stage, frame in frames.items():
+        if frame.isEmpty():
+            raise ScopeError(stage)
+    return frames
+
+
 def match_capabilities(candidates: DataFrame, capabilities: DataFrame) -> DataFrame:
     """(candidate_id, capability_id): ready capabilities by document id, by source id, or by content hash where that hash
     belongs to one document only, each pair once.

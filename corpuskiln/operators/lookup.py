@@ -110,12 +110,13 @@ def with_contexts(documents: DataFrame, contexts: DataFrame, global_context: str
     return found.withColumn("context", F.when(F.size(whole) > 0, F.array_join(whole, "\n\n"))).drop("cs")
 
 
-def longest_prefix(paths: DataFrame, path: str, roots: DataFrame, root: str, name: str) -> DataFrame:
-    """``name`` of the longest root that a path lies below (or equals), null if none. Roots are few."""
+def longest_prefix(paths: DataFrame, path: str, roots: DataFrame, root: str, name: str, order: str | None = None) -> DataFrame:
+    """``name`` of the longest root that a path lies below (or equals), null if none; with ``order``, a column of ``roots``, of the
+    first such root. Roots are few."""
     below = (F.col("__r") == F.col(path)) | F.startswith(F.col(path), F.concat("__r", F.lit("/")))
-    small = roots.select(F.regexp_replace(F.col(root), "/+$", "").alias("__r"), F.col(name))
+    small = roots.select(F.regexp_replace(F.col(root), "/+$", "").alias("__r"), F.col(name), (-F.col(order) if order else F.length(F.regexp_replace(F.col(root), "/+$", ""))).alias("__o"))
     key = paths.withColumn("__k", F.monotonically_increasing_id())
-    best = key.select("__k", path).join(F.broadcast(small), below).groupBy("__k").agg(F.max_by(name, F.length("__r")).alias(name), F.max_by("__r", F.length("__r")).alias("__r"))
+    best = key.select("__k", path).join(F.broadcast(small), below).groupBy("__k").agg(F.max_by(name, "__o").alias(name), F.max_by("__r", "__o").alias("__r"))
     return key.join(best, "__k", "left").withColumn("relative", F.when(F.col("__r").isNotNull(), F.substr(path, F.length("__r") + 2))).drop("__k", "__r")
 
 

@@ -19,6 +19,8 @@ from corpuskiln.operators import lexical
 from corpuskiln.operators.ranking import with_rank
 from corpuskiln.session import spread, stage_table
 
+#: Version of the analysis of texts; an index made by another one has to be built anew.
+VERSION = 1
 SCHEMA = "term string, doc_id bigint, source string, length double, path array<int>, title array<int>, body array<int>"
 
 

@@ -63,3 +63,16 @@ def expansions(policy: DataFrame, query: str, most: int = 6) -> list[Search]:
 def fallback_expansions(query: str) -> list[Search]:
     """What is searched where no expansion is at hand."""
     return [Search("hyde", f"Information about {query}"), Search("lex", query), Search("vec", query)]
+
+
+def expand(query: str, expander, folder=None, model: str = "default") -> list[Search]:
+    """The expander's searches for a query, without those that only repeat it; kept in ``folder`` and taken from there next time."""
+    from hashlib import sha256
+
+    name = f"expansion-{sha256(f'{model}\x1f{query}'.encode()).hexdigest()}.json"
+    found = folder.read_json(name) if folder is not None else None
+    if found is None:
+        found = [[s.type, s.query] for s in expander(query) if " ".join(s.query.lower().split()) != " ".join(query.lower().split())]
+        if folder is not None:
+            folder.write_json(name, found)
+    return [Search(*x) for x in found]

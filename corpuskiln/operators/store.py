@@ -103,6 +103,19 @@ def case_twins(documents: DataFrame) -> DataFrame:
     return documents.withColumn("low", low).join(groups, ["collection", "low"]).select("collection", "path", "keep")
 
 
+def migrate_case_paths(documents: DataFrame, asked: DataFrame) -> DataFrame:
+    """Documents after asked paths (collection, path) took over rows that differ from them in ASCII case only.
+
+    Where no row has the asked path exactly, the row with the smallest ``doc_id`` that has it but for case is renamed to it; of several
+    spellings asked the smallest counts. Other rows stay as they are.
+    """
+    fold = lambda c: F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    new = asked.select(*KEY).distinct().join(documents.select(*KEY), KEY, "left_anti").groupBy("collection", fold("path").alias("low")).agg(F.min("path").alias("renamed"))
+    first = documents.groupBy("collection", fold("path").alias("low")).agg(F.min("doc_id").alias("doc_id"))
+    moved = first.join(new, ["collection", "low"]).select("doc_id", "renamed")
+    return documents.join(moved, "doc_id", "left").withColumn("path", F.coalesce("renamed", "path")).select(*documents.columns)
+
+
 def trim_cache(cache: DataFrame, key: str, at: str, keep: int = 1000) -> DataFrame:
     """The newest rows of a result cache."""
     return cache.orderBy(F.col(at).desc(), key).limit(keep)

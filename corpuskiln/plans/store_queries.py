@@ -291,7 +291,20 @@ def redacted(spark, d):
     return _read(spark, d, "documents").where("text is not null").select("doc_id", F.length(F.regexp_replace(T.redact(F.col("text")), r"\s+", "")).alias("chars"))
 
 
-QUERIES = {f.__name__: f for f in (reindex_classify, reindex_counts, document_upsert, content_insert, soft_delete, orphan_content, remove_collection, orphan_vectors, inactive_documents, embedding_upsert, incomplete_embeddings, pending_embeddings, scoped_clear_hashes, case_twins, cache_trim, collection_status, embedding_coverage, chunk_counts, needs_embedding_count, index_staleness, dedupe_content_hash, content_first_path, first_vectors, documents_with_content, prefix_listing, suffix_match, docid_lookup, glob_match, multi_get, lookup_cascade, similar_files, collection_filter, context_inheritance, folders_without_context, path_to_collection, line_slice, line_numbers, snippet_basic, title_extract, path_slug, virtual_path_parse, content_hashes, sensitive_scan, failure_class, intent_terms, redacted)}
+def case_migration(spark, d):
+    """Paths after every path was asked for in capitals."""
+    docs = _read(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("collection"), "path")
+    return store.migrate_case_paths(docs, docs.select("collection", F.upper("path").alias("path"))).select("doc_id", "path")
+
+
+def path_to_first_root(spark, d):
+    """First matching root, in table order, of each absolute path and the path below it."""
+    roots = spark.createDataFrame([("kb", "/data/kb", 2), ("kb-es", "/data/kb/es", 1), ("kb-en", "/data/kb/en", 3)], "name string, root string, pos int")
+    paths = _read(spark, d, "documents").select("doc_id", F.concat(F.lit("/data/kb/"), F.col("path")).alias("file"))
+    return lookup.longest_prefix(paths, "file", roots, "root", "name", "pos").select("doc_id", "name", "relative")
+
+
+QUERIES = {f.__name__: f for f in (case_migration, path_to_first_root, reindex_classify, reindex_counts, document_upsert, content_insert, soft_delete, orphan_content, remove_collection, orphan_vectors, inactive_documents, embedding_upsert, incomplete_embeddings, pending_embeddings, scoped_clear_hashes, case_twins, cache_trim, collection_status, embedding_coverage, chunk_counts, needs_embedding_count, index_staleness, dedupe_content_hash, content_first_path, first_vectors, documents_with_content, prefix_listing, suffix_match, docid_lookup, glob_match, multi_get, lookup_cascade, similar_files, collection_filter, context_inheritance, folders_without_context, path_to_collection, line_slice, line_numbers, snippet_basic, title_extract, path_slug, virtual_path_parse, content_hashes, sensitive_scan, failure_class, intent_terms, redacted)}
 
 _K = "nullif(trim(regexp_replace(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
 _MS = "epoch_ms({c}::TIMESTAMPTZ)"
@@ -334,6 +347,8 @@ def _redacted(column: str) -> str:
 
 
 SQL = {
+    "case_migration": "WITH d AS (SELECT doc_id, coalesce(source, '') AS c, path FROM documents), f AS (SELECT c, lower(path) AS low, min(doc_id) AS doc_id FROM d GROUP BY 1, 2), u AS (SELECT c, lower(path) AS low, min(upper(path)) AS up FROM d WHERE NOT EXISTS (SELECT 1 FROM d e WHERE e.c = d.c AND e.path = upper(d.path)) GROUP BY 1, 2) SELECT d.doc_id, coalesce(up, path) AS path FROM d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN u ON u.c = f.c AND u.low = f.low",
+    "path_to_first_root": "SELECT doc_id, CASE WHEN starts_with(path, 'es/') THEN 'kb-es' ELSE 'kb' END AS name, CASE WHEN starts_with(path, 'es/') THEN substr(path, 4) ELSE path END AS relative FROM documents",
     "reindex_classify": _CLASSIFY + " SELECT * FROM r",
     "reindex_counts": _CLASSIFY + " SELECT status, count(*)::BIGINT AS n FROM r GROUP BY 1",
     "document_upsert": f"WITH {_D}, {_S} SELECT d.collection, d.path, CASE WHEN s.path IS NOT NULL THEN s.title ELSE d.title END AS title, CASE WHEN s.path IS NOT NULL THEN s.hash ELSE d.hash END AS hash, {_MS.format(c='d.created_at')} AS created_ms, CASE WHEN s.path IS NOT NULL THEN 1767225600000 ELSE {_MS.format(c='d.modified_at')} END AS modified_ms, (s.path IS NOT NULL OR coalesce(d.active, false)) AS active FROM d LEFT JOIN s ON s.collection = d.collection AND s.path = d.path",

@@ -113,3 +113,54 @@ def test_a_local_folder_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError):
         Folder(spark, str(tmp_path / "mine"))
     assert Folder(spark, f"{shared}/mine").names() == []
+
+
+def test_configuration_and_expansions(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.md").write_text("# A\nThe old harbour.")
+    asked = []
+
+    def expander(query):
+        asked.append(query)
+        return [Search("lex", "harbour"), Search("vec", " Old  Boats")]
+
+    c = Corpus(spark, str(tmp_path / "store"), expander=expander)
+    config = {"notes": {"path": str(tmp_path / "src"), "contexts": {"/": "Notes"}}}
+    assert c.configure(config) and not c.configure(config) and c.list_contexts() == [("notes", "/", "Notes")]
+    assert c.configure({**config, "more": {"path": str(tmp_path / "src"), "default": False}}) and c.default_collections() == ["notes"]
+    c.update(["notes"])
+    for _ in range(2):
+        assert c.search("old boats", skip_rerank=True).count() == 1
+    assert asked == ["old boats"]
+    assert query_document.expand("old boats", expander) == [Search("lex", "harbour")]
+    c.state["index"]["version"] = 0
+    before = c.state["index"]["tables"]["index"]
+    assert c.index().documents == 1 and c.state["index"]["tables"]["index"] != before
+
+
+def test_an_empty_scope_fails(spark):
+    full, none = spark.range(1), spark.range(0)
+    assert graph.checked_scope({"documents": full}) == {"documents": full}
+    with pytest.raises(graph.ScopeError, match="no text units") as error:
+        graph.checked_scope({"documents": full, "text_units": none, "entities": none})
+    assert error.value.stage == "text_units"
+
+
+def test_late_events_drop_out_of_a_stream(spark, tmp_path):
+    """Counts come once the watermark has passed a window; rows older than the watermark are not counted any more."""
+    from corpuskiln.streaming.reindex import windowed_counts
+
+    def run(name, *rows):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(f'{{"ts": "2026-01-01T{t}:00Z", "kind": "{k}"}}' for t, k in rows))
+        events = spark.readStream.schema("ts timestamp, kind string").json(str(tmp_path / "in"))
+        counts = windowed_counts(events, "ts", "kind", "1 hour", "10 minutes").select(F.date_format("start", "HH").alias("hour"), "kind", "n")
+        query = counts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        assert query.awaitTermination(120)
+        return {(r["hour"], r["kind"]): r["n"] for r in spark.read.schema("hour string, kind string, n bigint").parquet(str(tmp_path / "out")).collect()}
+
+    run("a", ("08:10", "x"), ("08:50", "x"), ("09:05", "y"))
+    got = run("b", ("10:30", "x"), ("08:55", "x"))
+    got = run("c", ("08:20", "x"), ("12:00", "z"))
+    assert got[("08", "x")] in (2, 3) and got[("09", "y")] == 1 and ("12", "z") not in got
+    assert run("d", ("08:20", "x"), ("08:21", "x"))[("08", "x")] == got[("08", "x")]

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -210,13 +211,21 @@ class Sentences:
             yield at, hashes
 
 
+@lru_cache(1 << 16)
+def _asked(q: str) -> tuple[list[str], set[str], str | None, set[str]]:
+    """A query's words, their set, its language and the words that may tell the answer's language; queries come up again and again."""
+    raw = _WORD.findall(q)
+    qw = [w.lower() for w in raw]
+    return qw, set(qw), language_of(q, qw)[0], {w.lower() for w in raw if not w[0].isupper() or w.isupper()} | set(qw[:1])
+
+
 def _votes(query: str | None, texts: list[str | None] | None, hyde: bool) -> tuple:
     """(votes, other, answer language, query language, query words, text if unsure, its last word): what the pair alone tells."""
     texts = [_bare(t) for t in texts or ()]
     text, q = " ".join(t for t in texts if t), _bare(query)
     low = text.lower()
-    aw, raw = _WORD.findall(low), _WORD.findall(q)
-    qw = [w.lower() for w in raw]
+    aw = _WORD.findall(low)
+    qw, known, asked, lower = _asked(q)
     stand_in = not aw or all(map(_no_value, texts))
     letters = 0  # counted as far as any vote asks
     for w in aw:
@@ -228,7 +237,7 @@ def _votes(query: str | None, texts: list[str | None] | None, hyde: bool) -> tup
     rest = aw
     while rest and rest[0] in QUESTION_LABELS and (not qw or rest[0] != qw[0]):
         rest = rest[1:]
-    k, known = len(qw), set(qw)
+    k = len(qw)
     repeats = bool(k and rest and len(rest) % k == 0 and rest[:k] == qw and rest == qw * (len(rest) // k))
     new = len([w for w in rest if w not in known and w not in QUESTION_LABELS])
     share = 1 - new / len(rest) if rest else 0
@@ -262,12 +271,10 @@ def _votes(query: str | None, texts: list[str | None] | None, hyde: bool) -> tup
     t = (1 if used and broken else other if unsure else -1, 1 if opened else other, 1 if unsure and final.lower() in NOT_LAST else other)
 
     spoken, lead = language_of(text, aw)
-    asked, _ = language_of(q, qw)
     usable = not stand_in and not copied and letters >= 12
     answer = spoken if usable and lead >= 2 else None
     script, asked_script = (x if x in SCRIPTS else "latin" for x in (spoken, asked))
     lang = (0 if answer is None or asked is None else 1 if asked != spoken else -1, 0 if not usable else 1 if script != asked_script else -1 if script != "latin" else 0)
-    lower = {w.lower() for w in raw if not w[0].isupper() or w.isupper()} | set(qw[:1])
     return "".join(map(_SIGN.__getitem__, e + c + r + t + lang)), other, answer, asked, lower, text if unsure else None, final
 
 
@@ -415,7 +422,7 @@ def _count(kept: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             hashes.append(tokens.words[inner])
             ended.append(np.zeros(len(inner), bool))
             first = last
-        asked = Sentences([q for q in queries if q]).words
+        asked = Sentences(sorted({q for q in queries if q})).words  # only whether a word is there counts
         words = np.concatenate([np.zeros(0, np.uint64), asked, *hashes])
         stops = np.concatenate([np.zeros(len(asked), bool), *ended])
         found = holds(kept, words)

@@ -431,6 +431,7 @@ SQL: dict[str, str] = {
     "normalized_output": "SELECT record_id, array_to_string(" + " || ".join(f"list_transform(list_filter({_NORM}, lambda x: x.type {t}), lambda x: x.type || ': ' || trim(x.text))" for t in ("= 'hyde'", "= 'lex'", "NOT IN ('hyde', 'lex')")) + ", chr(10)) AS text FROM qmd_expansion_locations",
     "expansion_parse": r"WITH t AS (SELECT array_to_string(list_transform(list_filter(output, lambda x: x.text IS NOT NULL), lambda x: x.type || ': ' || x.text), chr(10)) AS t FROM qmd_expansion_locations WHERE output IS NOT NULL), l AS (SELECT unnest(string_split(t, chr(10))) AS x FROM t) SELECT regexp_extract(trim(x), '^(lex|vec|hyde):', 1) AS type, count(*)::BIGINT AS n FROM l WHERE regexp_matches(trim(x), '^(lex|vec|hyde):') GROUP BY 1",
     "example_dedupe": "SELECT min(record_id) AS record_id FROM qmd_expansion_personal_entities WHERE query IS NOT NULL GROUP BY lower(trim(query))",
+    "embedding_batches": "WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS source, strlen(text) AS bytes, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY doc_id) AS rn FROM documents WHERE text IS NOT NULL), r AS (SELECT doc_id, source, rn, 0 AS batch, 1 AS items, bytes AS room FROM t WHERE rn = 1 UNION ALL SELECT t.doc_id, t.source, t.rn, CASE WHEN items >= 64 OR room + bytes > 200000 THEN batch + 1 ELSE batch END, CASE WHEN items >= 64 OR room + bytes > 200000 THEN 1 ELSE items + 1 END, CASE WHEN items >= 64 OR room + bytes > 200000 THEN bytes ELSE room + bytes END FROM r JOIN t ON t.source = r.source AND t.rn = r.rn + 1) SELECT doc_id, source, batch::INT AS batch FROM r",
     "split_sizes": "SELECT CASE WHEN ('0x' || left(md5('42:' || record_id), 8))::BIGINT % 10000 < 1000 THEN 'eval' ELSE 'train' END AS split, count(*)::BIGINT AS n FROM qmd_expansion_sports GROUP BY 1",
     "book_slugs": r"SELECT doc_id, CASE WHEN title IS NOT NULL THEN coalesce(nullif(trim(regexp_replace(regexp_replace(lower(strip_accents(regexp_replace(translate(title, '：，？！…', ':,?!.'), '\p{Z}', ' ', 'g'))), '[^\x00-\x7f]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'book') END AS slug FROM documents",
     "micro_f1": "WITH s AS (SELECT record_id, unnest(output) AS x FROM qmd_expansion_locations), t AS (SELECT DISTINCT record_id, x.type AS type, lower(trim(x.text)) AS text FROM s WHERE x.text IS NOT NULL), g AS (SELECT coalesce(p.type, t.type) AS type, count(p.text) AS p, count(t.text) AS t, count(CASE WHEN p.text IS NOT NULL AND t.text IS NOT NULL THEN 1 END) AS hit FROM (SELECT record_id + 1 AS record_id, type, text FROM t) p FULL JOIN t ON t.record_id = p.record_id AND t.type = p.type AND t.text = p.text GROUP BY 1), w AS (SELECT * FROM g UNION ALL SELECT 'all', sum(p), sum(t), sum(hit) FROM g) SELECT type, p::BIGINT AS p, t::BIGINT AS t, hit::BIGINT AS hit, round(hit / p, 6) AS precision, round(hit / t, 6) AS recall, round(2 * hit / (p + t), 6) AS f1 FROM w",

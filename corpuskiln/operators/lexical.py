@@ -161,9 +161,12 @@ def search(docs: DataFrame, query: str, *, limit: int = 20, collection: str | No
 
 
 def document_frequency(docs: DataFrame, text: str) -> DataFrame:
-    """(term, df, cf): documents and occurrences of each term. Terms are counted per document before the shuffle."""
-    terms = F.filter(F.split(F.trim(token_string(F.col(text))), "  "), lambda t: t != "")
-    return docs.select(F.monotonically_increasing_id().alias("d"), terms.alias("t")).select("d", F.explode("t").alias("term")).groupBy("d", "term").agg(F.count(F.lit(1)).alias("tf")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    """(term, df, cf): documents and occurrences of each term. A document's terms are sorted within its row, where the first of equal
+    ones counts for the document, so there is one shuffle, on the term, after map-side counts."""
+    terms = F.sort_array(F.filter(F.split(F.trim(token_string(F.col(text))), "  "), lambda t: t != ""))
+    marked = docs.select(terms.alias("t")).select(F.explode(F.arrays_zip(F.col("t").alias("term"), F.concat(F.array(F.lit(None).cast("string")), F.col("t")).alias("before"))).alias("x"))
+    rows = marked.select("x.term", "x.before").where("term is not null")
+    return rows.groupBy("term").agg(F.count_if(~F.col("term").eqNullSafe(F.col("before"))).alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def _any(conditions: list[Column]) -> Column:

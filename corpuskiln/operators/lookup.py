@@ -67,6 +67,12 @@ def glob_pattern(glob: str) -> str:
     return f"^{out}$"
 
 
+def in_collections(documents: DataFrame, names: list[str], column: str = "source") -> DataFrame:
+    """Active documents of the named collections; no names mean all. Names are typed by users, so they are few."""
+    active = documents.where("active")
+    return active.where(F.col(column).isin(names)) if names else active
+
+
 def by_glob(documents: DataFrame, glob: str) -> DataFrame:
     """Documents whose virtual path, path or collection/path matches a glob."""
     p, c = glob_pattern(glob), F.coalesce("source", F.lit(""))

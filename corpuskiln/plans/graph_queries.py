@@ -10,6 +10,7 @@ from corpuskiln.functions.text import TOPIC_STOP_WORDS, topic_tokens
 from corpuskiln.functions.udfs import book_slug
 from corpuskiln.operators import chunking, evaluation, graph, lexical, ranking, routing, state
 from corpuskiln.plans.retrieval_queries import _bm25_sql, _distance
+from corpuskiln.session import stage_table
 from corpuskiln.sources import readers, sinks
 
 
@@ -68,6 +69,7 @@ def scope_semijoin_chain(spark, d):
     """Rows of each graph frame left within the documents of one source."""
     docs = _read(spark, d, "documents").select(canonical_key(F.col("document_id")).alias("id"), "source", canonical_key(F.col("hash")).alias("hash"))
     v = _read(spark, d, "content_vectors").select(canonical_key(F.col("hash")).alias("hash"), "seq").where("hash is not null").distinct()
+    v = stage_table(v, "pieces")  # five frames are made of it
     unit = F.concat_ws("_", "hash", "seq")
     units = v.join(docs, "hash").select(unit.alias("id"), F.col("id").alias("document_id"))
     per = v.groupBy("hash").agg(F.array_sort(F.collect_list(unit)).alias("text_unit_ids"))  # pieces of one body

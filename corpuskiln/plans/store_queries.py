@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions import text as T
 from corpuskiln.functions.keys import canonical_key, instant
-from corpuskiln.operators import lookup, store
+from corpuskiln.operators import lexical, lookup, store
+from corpuskiln.plans.retrieval_queries import _bm25_sql
 
 
 def _read(spark: SparkSession, d: str, t: str) -> DataFrame:
@@ -204,8 +205,16 @@ def similar_files(spark, d):
 
 
 def collection_filter(spark, d):
-    """Active documents of the collections that are searched by default."""
-    return _read(spark, d, "documents").where("active and source in ('essays', 'letters', 'inbox')").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    """Active documents of three collections, by collection."""
+    return lookup.in_collections(_read(spark, d, "documents"), ["essays", "letters", "inbox"]).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bm25_with_context(spark, d):
+    """The best documents of a search with the contexts of their paths."""
+    docs = _read(spark, d, "documents")
+    top = lexical.search(docs, "harbour telescope", limit=10, stem=False).select("doc_id", "rank")
+    found = docs.select("doc_id", "source", "path").join(F.broadcast(top), "doc_id")  # ten rows
+    return lookup.with_contexts(found, _contexts(spark), "Knowledge base").select("doc_id", "rank", "context")
 
 
 _CONTEXTS = [("web-clips", "/", "Clipped pages"), ("web-clips", "/es", "Spanish pages"), ("essays", "/en", "English essays"), ("essays", "/", "Essays")]
@@ -304,7 +313,7 @@ def path_to_first_root(spark, d):
     return lookup.longest_prefix(paths, "file", roots, "root", "name", "pos").select("doc_id", "name", "relative")
 
 
-QUERIES = {f.__name__: f for f in (case_migration, path_to_first_root, reindex_classify, reindex_counts, document_upsert, content_insert, soft_delete, orphan_content, remove_collection, orphan_vectors, inactive_documents, embedding_upsert, incomplete_embeddings, pending_embeddings, scoped_clear_hashes, case_twins, cache_trim, collection_status, embedding_coverage, chunk_counts, needs_embedding_count, index_staleness, dedupe_content_hash, content_first_path, first_vectors, documents_with_content, prefix_listing, suffix_match, docid_lookup, glob_match, multi_get, lookup_cascade, similar_files, collection_filter, context_inheritance, folders_without_context, path_to_collection, line_slice, line_numbers, snippet_basic, title_extract, path_slug, virtual_path_parse, content_hashes, sensitive_scan, failure_class, intent_terms, redacted)}
+QUERIES = {f.__name__: f for f in (bm25_with_context, case_migration, path_to_first_root, reindex_classify, reindex_counts, document_upsert, content_insert, soft_delete, orphan_content, remove_collection, orphan_vectors, inactive_documents, embedding_upsert, incomplete_embeddings, pending_embeddings, scoped_clear_hashes, case_twins, cache_trim, collection_status, embedding_coverage, chunk_counts, needs_embedding_count, index_staleness, dedupe_content_hash, content_first_path, first_vectors, documents_with_content, prefix_listing, suffix_match, docid_lookup, glob_match, multi_get, lookup_cascade, similar_files, collection_filter, context_inheritance, folders_without_context, path_to_collection, line_slice, line_numbers, snippet_basic, title_extract, path_slug, virtual_path_parse, content_hashes, sensitive_scan, failure_class, intent_terms, redacted)}
 
 _K = "nullif(trim(regexp_replace(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13))), '^sha256:', '')), '')"
 _MS = "epoch_ms({c}::TIMESTAMPTZ)"
@@ -347,6 +356,7 @@ def _redacted(column: str) -> str:
 
 
 SQL = {
+    "bm25_with_context": f"WITH {_bm25_sql('harbour telescope')}, top AS (SELECT doc_id, row_number() OVER (ORDER BY raw DESC, doc_id)::INT AS rank FROM (SELECT * FROM s ORDER BY raw DESC, doc_id LIMIT 10)), x(collection, prefix, context) AS (VALUES {_VALUES}), h AS (SELECT doc_id, string_agg(context, chr(10) || chr(10) ORDER BY length(prefix), prefix) AS c FROM documents JOIN x ON x.collection = source AND starts_with('/' || path, prefix) GROUP BY 1) SELECT top.doc_id, rank, 'Knowledge base' || coalesce(chr(10) || chr(10) || h.c, '') AS context FROM top LEFT JOIN h USING (doc_id)",
     "case_migration": "WITH d AS (SELECT doc_id, coalesce(source, '') AS c, path FROM documents), f AS (SELECT c, lower(path) AS low, min(doc_id) AS doc_id FROM d GROUP BY 1, 2), u AS (SELECT c, lower(path) AS low, min(upper(path)) AS up FROM d WHERE NOT EXISTS (SELECT 1 FROM d e WHERE e.c = d.c AND e.path = upper(d.path)) GROUP BY 1, 2) SELECT d.doc_id, coalesce(up, path) AS path FROM d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN u ON u.c = f.c AND u.low = f.low",
     "path_to_first_root": "SELECT doc_id, CASE WHEN starts_with(path, 'es/') THEN 'kb-es' ELSE 'kb' END AS name, CASE WHEN starts_with(path, 'es/') THEN substr(path, 4) ELSE path END AS relative FROM documents",
     "reindex_classify": _CLASSIFY + " SELECT * FROM r",

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from corpuskiln.operators import catalog, graph, ranking
+from corpuskiln.operators import catalog, graph, ranking, state, vectors
 
 
 def test_sets(spark):
@@ -78,3 +78,23 @@ def test_parts_of_many_ids(spark):
     ids = spark.createDataFrame([(f"{i:04d}",) for i in range(1000)], "id string").repartition(5)
     assert {r["part"]: r["count"] for r in ranking.partition_plan(ids, "id", 300).groupBy("part").count().collect()} == {1: 300, 2: 300, 3: 300, 4: 100}
     assert ranking.partition_plan(ids, "id", 300).where("id = '0300'").first()["part"] == 2 and ranking.partition_plan(ids.limit(0), "id", 3).count() == 0
+
+
+def test_states(spark):
+    rows = spark.createDataFrame([("a", "failed", True), ("a", "open", False), ("b", "done", False), (None, None, None)], "i string, s string, r boolean")
+    rule = state.first_true([("retry", F.bool_or(F.col("r"))), ("done", F.bool_and(F.col("s") == "done"))], "open")
+    assert {x["i"]: x["state"] for x in rows.groupBy("i").agg(rule.alias("state")).collect()} == {"a": "retry", "b": "done", None: "open"}
+    assert rows.groupBy("i").agg(state.first_true([], "none").alias("state")).select("state").distinct().first()[0] == "none"
+    stored = spark.createDataFrame([("k1", 1, "x"), ("k2", 5, "y")], "k string, at int, v string")
+    after = state.upsert_artifacts(stored, spark.createDataFrame([("k1", 2, "z"), ("k2", 3, "w"), ("k3", 1, "n")], "k string, at int, v string"), ["k"], "at", "v")
+    assert {r["k"]: r["v"] for r in after.collect()} == {"k1": "z", "k2": "y", "k3": "n"}
+    costs = spark.createDataFrame([("m1", 2), ("m1", 5), ("m2", 7)], "m string, at int")
+    assert {r["m"]: r["requests"] for r in state.cost_groups(costs, ["m"], "at").collect()} == {"m1": 1, "m2": 0}
+
+
+def test_nearest_of_nothing(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0])], "vec_id bigint, embedding array<double>")
+    q = spark.createDataFrame([(7, [1.0, 0.1]), (8, [2.0]), (9, None), (10, [])], "query_id bigint, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in vectors.nearest(v, "vec_id", "embedding", q, "query_id", "embedding", 2).collect()}
+    assert got == {(7, 1): 1, (7, 2): 2, (8, 1): 3}
+    assert vectors.nearest(v.limit(0), "vec_id", "embedding", q, "query_id", "embedding", 2).count() == vectors.nearest(v, "vec_id", "embedding", q.limit(0), "query_id", "embedding", 2).count() == 0

@@ -80,7 +80,6 @@ POLITE = re.compile(r"^\W*(hello|hi|thanks for asking|thank you for asking|let m
 
 _INVISIBLE = re.compile(r"[\s​-‏⁠﻿­⠀ㅤ]+")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
-_TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+")
 # What may follow a sentence's end, what ends a sentence, and what breaks one off.
 CLOSERS, TERMINAL, OPEN_END = "'\"”’»)]}*_>」』", ".!?。！？", "…,;:，；：、&+/\\([{-–—"
@@ -147,51 +146,70 @@ def language_of(text: str, words: list[str] | None = None) -> tuple[str | None,
     return (best, n - m) if n > m else (None, 0)
 
 
-class _Tokens(dict):
-    """Numbers of tokens, and for each its 64-bit values as a word, at a sentence's start and within it, and whether it ends a sentence."""
-
-    def __init__(self):
-        self.values, self.table = [], np.zeros((0, 4), np.uint64)
-
-    def __missing__(self, token: str) -> int:
-        start = "0" if token.isdigit() else token.lower()
-        within = "X" if token[0].isalpha() and token[0].isupper() else start
-        self[token] = at = len(self.table) + len(self.values)
-        self.values.append((*word_ids([token, start, within]), int(token in TERMINAL)))
-        return at
-
-    def rows(self, tokens: list[str]) -> np.ndarray:
-        if len(self.table) > 1 << 20:
-            self.clear()
-            self.__init__()
-        at = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        if self.values:
-            self.table, self.values = np.concatenate((self.table, np.array(self.values, np.uint64))), []
-        return self.table[at]
-
-
-_TOKENS = _Tokens()
+# Kinds of characters (in the two low bits: 0 separates, 1 letters, 2 digits, 3 marks) and marks of capitals and sentence ends.
+_UPPER, _STOP, _UNSEEN = 4, 8, 255
+_KIND, _LOWER = np.full(0x110000, _UNSEEN, np.uint8), np.zeros(0x110000, np.uint32)
+# An odd factor, its inverse modulo 2**64, and the hashes of numbers and of capitalised words.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_NUMBER, _NAME = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _kinds(code: np.ndarray) -> np.ndarray:
+    """Kind and marks of each code point; those not seen before are looked up one by one."""
+    kinds = _KIND[code]
+    if (kinds == _UNSEEN).any():
+        for c in np.unique(code[kinds == _UNSEEN]).tolist():
+            ch = chr(c)
+            low = ch.lower()
+            _LOWER[c] = ord(low) if len(low) == 1 else c
+            kind = 2 if ch.isdecimal() else 1 if ch.isalnum() else 0 if ch.isspace() or ch == "_" else 3
+            _KIND[c] = kind + (_UPPER if ch.isalpha() and ch.isupper() else 0) + (_STOP if ch in TERMINAL else 0)
+        kinds = _KIND[code]
+    return kinds
+
+
+def token_runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, end, kind with marks of the first character) of each token: a run of letters, a run of digits or a mark."""
+    kinds = _kinds(code)
+    plain = kinds & 3
+    begins = np.ones(len(code), bool)
+    begins[1:] = (plain[1:] != plain[:-1]) | (plain[1:] == 3)
+    first = np.flatnonzero(begins)
+    end = np.append(first[1:], len(code))
+    token = plain[first] > 0
+    return first[token], end[token], kinds[first[token]]
+
+
+def _run_hashes(code: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of code points: equal runs have equal hashes, wherever they stand."""
+    if len(_POWERS[0]) < len(code):
+        for i, factor in enumerate((_BASE, _INVERSE)):
+            _POWERS[i] = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(2 * len(code), factor, np.uint64))))
+    sums = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _POWERS[0][:len(code)], out=sums[1:])
+    return mix((sums[end] - sums[first]) * _POWERS[1][first] + (end - first).astype(np.uint64))
 
 
 class Sentences:
     """Tokens of several texts in one line. In contexts they count in lower case, numbers as 0 and capitalised words within a sentence as X."""
 
     def __init__(self, texts: list[str]):
-        tokens, sizes = [], []
-        for text in texts:
-            got = _TOKEN.findall(text)
-            tokens += got
-            sizes.append(len(got))
-        sizes = np.array(sizes, np.int64)
-        table = _TOKENS.rows(tokens)
-        self.ends, self.words = np.cumsum(sizes), mix(table[:, 0])
-        self.position = np.arange(len(tokens)) - np.repeat(self.ends - sizes, sizes)
-        stop = table[:, 3] == 1
+        code = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first, end, kind = token_runs(code)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:len(texts)]
+        sizes = np.bincount(np.searchsorted(begins, first, side="right") - 1, minlength=len(texts)) if len(first) else np.zeros(len(texts), np.int64)
+        self.words = _run_hashes(code, first, end)
+        self.ends = np.cumsum(sizes)
+        self.position = np.arange(len(first)) - np.repeat(self.ends - sizes, sizes)
+        stop = (kind & _STOP) > 0
         starts = self.position == 0
         starts[1:] |= stop[:-1]
-        self.value = np.where(starts, table[:, 1], table[:, 2])
+        value = np.where((kind & 3) == 2, _NUMBER, _run_hashes(_LOWER[code], first, end))
+        self.value = np.where(~starts & ((kind & _UPPER) > 0), _NAME, value)
         self.before_stop = np.append(stop[1:], False)
-        self.inner = np.ones(len(tokens), bool)
+        self.inner = np.ones(len(first), bool)
         self.inner[self.ends[sizes > 0] - 1] = False
 
     def contexts(self, at: np.ndarray, kept: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -392,7 +410,9 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, h in zip(row_of[at].tolist(), hashes.view(np.int64).tolist()):
                 contexts[i].append(h)
         each = iter(contexts)
-        words = [None if u is None or not w or _HAN.search(w) else int(mix(np.array(word_ids([w]), np.uint64)).view(np.int64)[0]) for u, w in zip(unsure, final)]
+        asked_words = [None if u is None or not w or _HAN.search(w) else w for u, w in zip(unsure, final)]
+        hashed = iter(Sentences([w for w in asked_words if w]).words.view(np.int64).tolist())  # a word is one token
+        words = [next(hashed) if w else None for w in asked_words]
         ids = np.array([i for x in query_words for i in word_ids(list(x))], np.uint64).view(np.int64)
         offsets = np.cumsum([0, *map(len, query_words)], dtype=np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -409,9 +429,9 @@ def _count(kept: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
         texts = [_bare(t) for p in parts for t in p or () if t]
         hashes, ended = [], []
         first = 0
-        while first < len(texts):  # some megabytes of text at a time
+        while first < len(texts):  # as much text at a time as stays in the processor's cache
             last, size = first, 0
-            while last < len(texts) and (last == first or size + len(texts[last]) <= 1 << 21):
+            while last < len(texts) and (last == first or size + len(texts[last]) <= 1 << 18):
                 size += len(texts[last])
                 last += 1
             tokens = Sentences(texts[first:last])
@@ -419,15 +439,17 @@ def _count(kept: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             for at, h in tokens.contexts(inner, kept):
                 hashes.append(h)
                 ended.append(tokens.before_stop[at])
-            hashes.append(tokens.words[inner])
-            ended.append(np.zeros(len(inner), bool))
+            words = tokens.words[inner]
+            words = words[holds(kept, words)]
+            hashes.append(words)
+            ended.append(np.zeros(len(words), bool))
             first = last
         asked = Sentences(sorted({q for q in queries if q})).words  # only whether a word is there counts
-        words = np.concatenate([np.zeros(0, np.uint64), asked, *hashes])
+        asked = asked[holds(kept, asked)]
+        seen = np.concatenate([asked, *hashes])
         stops = np.concatenate([np.zeros(len(asked), bool), *ended])
-        found = holds(kept, words)
-        values, at, n = np.unique(words[found], return_inverse=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.bincount(at, stops[found], len(values)).astype(np.int64)), pa.array(n.astype(np.int64))], ["h", "ends", "n"])
+        values, at, n = np.unique(seen, return_inverse=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.bincount(at, stops, len(values)).astype(np.int64)), pa.array(n.astype(np.int64))], ["h", "ends", "n"])
 
 
 def _with_hot(many: DataFrame, one: DataFrame, key: str, weight: str) -> DataFrame:

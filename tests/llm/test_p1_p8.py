@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -82,6 +83,16 @@ def test_contexts_are_counted_alike_everywhere():
     assert whole == alone and s.before_stop.sum() == 2
 
 
+@pytest.mark.parametrize("text", ["", " _ ", "The Red_Fox ran 12km; isn't it? 今天去。Ünï ² x\u0301 \u00a0 Ⅷ٣ \ud800 İ", "a" * 3000 + " ..!", "\n\t-- x__y 3.5"])
+def test_tokens_are_runs_of_letters_digits_or_marks(text):
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    first, end, _ = pd_.token_runs(code)
+    assert [text[a:b] for a, b in zip(first, end)] == re.findall(r"[^\W\d_]+|\d+|[^\w\s]", text)
+    hashes = dict(zip((text[a:b] for a, b in zip(first, end)), pd_._run_hashes(code, first, end).tolist()))
+    again = pd_.Sentences([f"x {w}" for w in hashes])
+    assert len(set(hashes.values())) == len(hashes) and [again.words[e - 1] for e in again.ends] == list(hashes.values())
+
+
 def test_label_model():
     counts = {(1, 1, 1): 50.0, (-1, -1, -1): 900.0, (1, 1, -1): 5.0, (-1, -1, 1): 10.0, (0, 0, 0): 30.0}
     p = pd_.fit_label_model(counts)
